@@ -161,3 +161,20 @@ def with_hash_piece(df: DataFrame, key: str, seed: int, name: str = "_piece") ->
     """Evenly filled pieces in the order of the key's hash."""
     n = pieces(df.sparkSession)
     return df.withColumn(name, F.floor(hash_bucket(key, seed) * F.lit(n) / F.lit(float(HASH_SPACE))))
+
+
+def global_rank(df: DataFrame, value: str, tie: str, name: str = "rank") -> DataFrame:
+    """Position of every row by `value` descending, ties by numeric `tie` ascending.
+
+    The rows above a value come from the ladder of counts; the rows sharing a value are
+    numbered piece by piece, so neither the table nor a popular value needs a single task.
+    """
+    above = ladder(df, value).select(
+        F.col(value).alias("_v"), (F.col("n_total") - F.col("n_before") - F.col("n")).alias("_above")
+    )
+    tagged = with_value_piece(df.withColumn("_v", F.col(value).cast("double")).withColumn(
+        "_tie", F.col(tie).cast("double")), "_tie")
+    numbered = split_row_number(tagged, ("_v",), [F.col(tie)], "_within", "_piece")
+    return numbered.join(above, "_v").withColumn(name, F.col("_above") + F.col("_within")).drop(
+        "_v", "_tie", "_above", "_within"
+    )
