@@ -36,8 +36,8 @@ def lambert93_to_degrees(x: str | Column, y: str | Column, rounds: int = 6) -> t
     iso = -F.log(F.sqrt(dx * dx + dy * dy) / CONE_CONSTANT) / CONE_EXPONENT
     lat = 2 * F.atan(F.exp(iso)) - math.pi / 2
     for _ in range(rounds):
-        s = F.sin(lat) * ECCENTRICITY
-        lat = 2 * F.atan(F.pow((1 + s) / (1 - s), ECCENTRICITY / 2) * F.exp(iso)) - math.pi / 2
+        # atanh keeps one reference to the previous round, so the expression stays linear.
+        lat = 2 * F.atan(F.exp(iso + ECCENTRICITY * F.atanh(ECCENTRICITY * F.sin(lat)))) - math.pi / 2
     return lon, F.degrees(lat)
 
 

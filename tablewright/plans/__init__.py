@@ -4,6 +4,7 @@ from importlib import import_module
 
 SECTIONS: tuple[str, ...] = (
     "columns",
+    "quality",
 )
 
 
