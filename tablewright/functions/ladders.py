@@ -100,8 +100,8 @@ def quantiles(
     df: DataFrame, value: str, probabilities: dict[str, float], keys: tuple[str, ...] = ()
 ) -> DataFrame:
     """Exact quantiles of one column, one row per group (one row without keys)."""
-    steps = ladder(df, value, keys)
-    aggs = quantile_columns(probabilities, value)
+    steps = ladder(df.select(*keys, F.col(value).alias("_x")), "_x", keys)
+    aggs = quantile_columns(probabilities, "_x")
     return steps.groupBy(*keys).agg(*aggs) if keys else steps.agg(*aggs)
 
 
@@ -120,8 +120,8 @@ def quantile_struct(df: DataFrame, value: str, probabilities: dict[str, float])
 
 def average_rank(df: DataFrame, value: str, keys: tuple[str, ...] = ()) -> DataFrame:
     """`(keys, value, rank, n_total)` with tied values sharing their mean rank."""
-    return ladder(df, value, keys).select(
-        *keys, value, (F.col("n_before") + (F.col("n") + 1) / 2).alias("rank"), "n_total"
+    return ladder(df.select(*keys, F.col(value).alias("_x")), "_x", keys).select(
+        *keys, F.col("_x").alias(value), (F.col("n_before") + (F.col("n") + 1) / 2).alias("rank"), "n_total"
     )
 
 
@@ -169,8 +169,8 @@ def global_rank(df: DataFrame, value: str, tie: str, name: str = "rank") -> Data
     The rows above a value come from the ladder of counts; the rows sharing a value are
     numbered piece by piece, so neither the table nor a popular value needs a single task.
     """
-    above = ladder(df, value).select(
-        F.col(value).alias("_v"), (F.col("n_total") - F.col("n_before") - F.col("n")).alias("_above")
+    above = ladder(df.select(F.col(value).alias("_x")), "_x").select(
+        F.col("_x").alias("_v"), (F.col("n_total") - F.col("n_before") - F.col("n")).alias("_above")
     )
     tagged = with_value_piece(df.withColumn("_v", F.col(value).cast("double")).withColumn(
         "_tie", F.col(tie).cast("double")), "_tie")

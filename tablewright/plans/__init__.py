@@ -5,6 +5,8 @@ from importlib import import_module
 SECTIONS: tuple[str, ...] = (
     "columns",
     "quality",
+    "io",
+    "aggregates",
 )
 
 
