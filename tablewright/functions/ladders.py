@@ -112,10 +112,16 @@ def quantile_table(
     return quantiles(melt(df, columns, keys), "value", probabilities, (*keys, "column"))
 
 
-def quantile_struct(df: DataFrame, value: str, probabilities: dict[str, float]) -> Column:
-    """The quantiles as a scalar subquery, to be used inside any expression."""
-    one_row = quantiles(df, value, probabilities)
-    return one_row.select(F.struct(*probabilities).alias("q")).scalar()
+def with_quantiles(
+    df: DataFrame, columns: list[str], probabilities: dict[str, float], name: str = "_q"
+) -> DataFrame:
+    """Add a struct `name.<column>.<probability name>` holding exact global quantiles.
+
+    One subquery serves all columns, and it is referenced once however often the struct is used.
+    """
+    table = quantile_table(df, columns, probabilities)
+    per_column = [F.max(F.when(F.col("column") == c, F.struct(*probabilities))).alias(c) for c in columns]
+    return df.withColumn(name, table.agg(F.struct(*per_column).alias("q")).scalar())
 
 
 def average_rank(df: DataFrame, value: str, keys: tuple[str, ...] = ()) -> DataFrame:

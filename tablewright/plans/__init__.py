@@ -7,6 +7,8 @@ SECTIONS: tuple[str, ...] = (
     "quality",
     "io",
     "aggregates",
+    "order",
+    "evaluation",
 )
 
 

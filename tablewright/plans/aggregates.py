@@ -13,7 +13,7 @@ from tablewright.operators.retail import what_if
 from tablewright.plans.columns import GENRES, NORMAL_SQL, r6
 from tablewright.plans.quality import CLEAN_BUILDINGS_SQL
 from tablewright.plans.registry import query
-from tablewright.plans.shared import YEAR_SQL, tags_clean, text_moment
+from tablewright.plans.shared import YEAR_SQL, tags_clean
 
 ONE = F.lit(1)
 
