@@ -132,7 +132,9 @@ def cosine_neighbours(
         F.pmod(F.xxhash64(F.col(item), F.lit(7)), F.lit(i_blocks)).cast("int").alias("b"),
     )
     left = rows.withColumn("p", F.col("b")).withColumn("q", F.explode(F.sequence(F.col("b"), F.lit(i_blocks - 1))))
-    right = rows.withColumn("q", F.col("b")).withColumn("p", F.explode(F.sequence(F.lit(0), F.col("b"))))
+    # Fresh column names keep the two uses of the same table apart.
+    again = rows.select(*[F.col(c).alias(c) for c in rows.columns])
+    right = again.withColumn("q", F.col("b")).withColumn("p", F.explode(F.sequence(F.lit(0), F.col("b"))))
 
     def multiply(key, lhs: pd.DataFrame, rhs: pd.DataFrame) -> pd.DataFrame:
         if lhs.empty or rhs.empty:

@@ -9,6 +9,9 @@ SECTIONS: tuple[str, ...] = (
     "aggregates",
     "order",
     "evaluation",
+    "recommend",
+    "domains",
+    "models",
 )
 
 

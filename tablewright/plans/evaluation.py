@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import aggregates as A
 from tablewright.operators import metrics as E
+from tablewright.operators.sampling import random_split
 from tablewright.plans.columns import r6
 from tablewright.plans.order import QUART_SQL
 from tablewright.plans.registry import query
 from tablewright.plans.shared import POP_SQL, SPLIT_SQL, item_vectors, pop_lists
+from tablewright.plans.views import BUCKET
 
 ONE = F.lit(1)
 
@@ -219,17 +221,17 @@ def _(t):
     return E.best_model(model_table(t), "model", "mae").withColumn("mae", r6("mae"))
 
 
-CONFORMAL_SQL = """
-cal as (select abs(y_true - y_pred) as e, row_number() over (order by abs(y_true - y_pred)) as rn, count(*) over () as n from scored where doc_id % 2 = 0),
+CONFORMAL_SQL = f"""
+part as (select *, case when {BUCKET('cast(doc_id as varchar)')} / 4294967296::double < 0.5::double then 'calibrate' else 'test' end as half from scored),
+cal as (select abs(y_true - y_pred) as e, row_number() over (order by abs(y_true - y_pred)) as rn, count(*) over () as n from part where half = 'calibrate'),
 k as (select e as radius from cal where rn = least(greatest(ceil((n + 1) * 0.9::double - 1e-9), 1), n))"""
 
 
 @query("ml27_conformal", "scored", f"""
-with {CONFORMAL_SQL} select round(any_value(radius), 6) as radius, round(avg(cast(abs(y_true - y_pred) <= radius as int)), 6) as coverage, count(*) as n from scored, k where doc_id % 2 = 1""")
+with {CONFORMAL_SQL} select round(any_value(radius), 6) as radius, round(avg(cast(abs(y_true - y_pred) <= radius as int)), 6) as coverage, count(*) as n from part, k where half = 'test'""")
 def _(t):
-    scored = t.scored
-    # Even documents calibrate, odd ones are scored: the two halves of the split-conformal method.
-    radius = E.conformal_radius(scored.where("doc_id % 2 = 0"), "y_true", "y_pred", 0.1).scalar()
-    held = scored.where("doc_id % 2 = 1")
+    part = t.scored.withColumn("half", random_split("doc_id", {"calibrate": 0.5, "test": 0.5}))
+    radius = E.conformal_radius(part.where("half = 'calibrate'"), "y_true", "y_pred", 0.1).scalar()
+    held = part.where("half = 'test'")
     c = E.coverage(held, "y_true", "y_pred", radius)
     return c.select(r6(radius).alias("radius"), r6("coverage").alias("coverage"), "n")
