@@ -5,6 +5,8 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,18 +85,18 @@ def norm(v: str | Column) -> Column:
 
 
 def unit_vector(v: str | Column) -> Column:
-    length = norm(v)
-    return F.transform(as_column(v), lambda x: F.coalesce(ratio(x, length), F.lit(0.0)))
+    v = as_column(v)
+    # The repeated length is computed once per row; inside a lambda it would be once per element.
+    return F.zip_with(v, F.array_repeat(norm(v), F.size(v)), lambda x, n: F.coalesce(ratio(x, n), F.lit(0.0)))
 
 
-def vector_mean(df: DataFrame, keys: list[str], vector: str, weight: str | Column | None = None) -> DataFrame:
-    """Weighted sum of vectors per key as `(keys, profile)`, one number per position.
+def vector_mean(df: DataFrame, keys: list[str], vector: str, weight: str | None = None) -> DataFrame:
+    """Weighted mean vector per key as `(keys, profile)`.
 
-    Positions are summed by a partial aggregate, so a hot key sends one row per task and
-    position, whatever the number of its vectors.
+    The summarizer merges partial results before the shuffle, so a hot key sends one vector per
+    task, whatever the number of its rows.
     """
-    w = F.lit(1.0) if weight is None else as_column(weight).cast("double")
-    cells = df.select(*keys, w.alias("_w"), F.posexplode(vector).alias("_pos", "_x"))
-    sums = cells.groupBy(*keys, "_pos").agg(F.sum(F.col("_w") * F.col("_x").cast("double")).alias("_s"))
-    ordered = F.array_sort(F.collect_list(F.struct("_pos", "_s")))
-    return sums.groupBy(*keys).agg(F.transform(ordered, lambda s: s["_s"]).alias("profile"))
+    data = df.select(*keys, array_to_vector(F.col(vector).cast("array<double>")).alias("_v"),
+                     (F.lit(1.0) if weight is None else F.col(weight).cast("double")).alias("_w"))
+    means = data.groupBy(*keys).agg(Summarizer.mean(F.col("_v"), F.col("_w")).alias("_m"))
+    return means.select(*keys, vector_to_array("_m").alias("profile"))

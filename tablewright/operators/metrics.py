@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.ladders import global_rank, ladder
-from tablewright.functions.scalars import as_column, flag, ratio, unit_vector
+from tablewright.functions.scalars import as_column, dot, flag, ratio, unit_vector, vector_mean
 from tablewright.operators.profiling import bin_number
 
 # ---- regression
@@ -286,13 +286,13 @@ def diversity(lists: DataFrame, items: DataFrame) -> DataFrame:
     The sum over pairs is (|sum of unit vectors|^2 - n) / 2, so no pair is formed.
     """
     units = items.select("movieId", unit_vector("embedding").alias("_v"))
-    cells = lists.join(units, "movieId").select("userId", "movieId", F.posexplode("_v").alias("_p", "_x"))
-    sums = cells.groupBy("userId", "_p").agg(
-        F.sum("_x").alias("_s"), F.sum(F.col("_x") * F.col("_x")).alias("_q"), F.count(F.lit(1)).alias("_n"))
-    per_user = sums.groupBy("userId").agg(
-        F.sum(F.col("_s") * F.col("_s")).alias("_ss"), F.sum("_q").alias("_qq"), F.max("_n").alias("_n"))
-    mean_cosine = ratio(F.col("_ss") - F.col("_qq"), F.col("_n") * (F.col("_n") - 1))
-    return per_user.where("_n > 1").agg(F.avg(1 - mean_cosine).alias("diversity"))
+    joined = lists.join(units, "movieId")
+    sizes = joined.groupBy("userId").agg(F.count(F.lit(1)).alias("_n"))
+    per_user = vector_mean(joined, ["userId"], "_v").join(sizes, "userId").where("_n > 1")
+    # |sum|^2 = n^2 |mean|^2 and the squared lengths of unit vectors sum to n.
+    n = F.col("_n")
+    mean_cosine = (n * n * dot("profile", "profile") - n) / (n * (n - 1))
+    return per_user.agg(F.avg(1 - mean_cosine).alias("diversity"))
 
 
 def serendipity(lists: DataFrame, train: DataFrame, test: DataFrame, catalogue: DataFrame, k: int = 10, share: float = 0.1) -> DataFrame:

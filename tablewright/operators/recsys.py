@@ -11,6 +11,7 @@ from tablewright.functions.ladders import global_rank, split_row_number, with_va
 from tablewright.functions.scalars import hash_bucket, ratio, unit_vector, vector_mean
 from tablewright.operators.retrieval import block_topk
 from tablewright.session import pieces
+from tablewright.sources.tables import stored
 
 LIKED = 3.5
 
@@ -190,8 +191,8 @@ def vector_topk(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | No
 
 
 def content_topk(train: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
-    units = items.select("movieId", unit_vector("embedding").alias("embedding"))
-    return vector_topk(content_profiles(train, items), units, k, seen=train)
+    units = stored(items.select("movieId", unit_vector("embedding").alias("embedding")), "item-vectors")
+    return vector_topk(stored(content_profiles(train, items), "user-vectors"), units, k, seen=train)
 
 
 def z_scores(scores: DataFrame, name: str) -> DataFrame:
@@ -263,10 +264,11 @@ def hybrid_topk(
         "userId", (wa * F.col("_ma") + wb * F.col("_mb")).alias("_shift"),
         F.concat(F.transform("_pa", lambda x: x * wa), F.transform("_pb", lambda x: x * wb)).alias("profile"),
     )
+    both = stored(both, "hybrid-users")
     items = items_a.select("movieId", F.col("embedding").cast("array<double>").alias("_a")).join(
         items_b.select("movieId", F.col("embedding").cast("array<double>").alias("_b")), "movieId"
     ).select("movieId", F.concat("_a", "_b").alias("embedding"))
-    top = vector_topk(both, items, k, seen)
+    top = vector_topk(both, stored(items, "hybrid-items"), k, seen)
     return top.join(both.select("userId", "_shift"), "userId").select(
         "userId", "movieId", (F.col("score") - F.col("_shift")).alias("score"), "rank"
     )

@@ -12,7 +12,8 @@ from tablewright.operators.missing import clean_buildings
 from tablewright.plans.columns import r6
 from tablewright.plans.quality import CLEAN_BUILDINGS_SQL
 from tablewright.plans.registry import query
-from tablewright.plans.shared import DEGREE_SQL, TAG_SQL, stored, tags_clean
+from tablewright.plans.shared import DEGREE_SQL, TAG_SQL, tags_clean
+from tablewright.sources.tables import stored
 
 ONE = F.lit(1)
 

@@ -19,10 +19,11 @@ from tablewright.operators import topics as P
 from tablewright.operators.missing import clean_buildings
 from tablewright.plans.columns import LINKS, r6
 from tablewright.plans.registry import query
-from tablewright.plans.shared import split_ratings, stored
+from tablewright.plans.shared import split_ratings
 from tablewright.plans.views import BUCKET
 from tablewright.session import scratch_path
 from tablewright.sources import files as IMG
+from tablewright.sources.tables import stored
 
 ONE = F.lit(1)
 HOUSE = ["total_bsmt_sf", "first_flr_sf", "year_built", "year_remod"]

@@ -12,9 +12,10 @@ from tablewright.operators.text import relevance_vectors, tag_relevance
 from tablewright.plans.columns import r6
 from tablewright.plans.registry import query
 from tablewright.plans.shared import (
-    POP_SQL, SPLIT_SQL, TAG_SQL, VECTOR_SQL, item_vectors, pop_lists, split_ratings, stored, tags_clean,
+    POP_SQL, SPLIT_SQL, TAG_SQL, VECTOR_SQL, item_vectors, pop_lists, split_ratings, tags_clean,
 )
 from tablewright.plans.views import BUCKET
+from tablewright.sources.tables import stored
 
 ONE = F.lit(1)
 

@@ -9,8 +9,7 @@ from tablewright.operators.recsys import popularity_topk
 from tablewright.operators.text import clean_tags
 from tablewright.operators.windows import leave_last_out
 from tablewright.plans.columns import NORMAL_SQL
-from tablewright.session import scratch_path
-from tablewright.sources.tables import save_parquet
+from tablewright.sources.tables import stored
 
 YEAR_SQL = r"coalesce(cast(nullif(regexp_extract(title, '\((\d{4})\)', 1), '') as int), -1)"
 
@@ -33,12 +32,6 @@ def tags_clean(t) -> DataFrame:
     return clean_tags(t.tags)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """The frame written to the shared folder and read back, for results several steps use."""
-    path = save_parquet(df, scratch_path(df.sparkSession, label))
-    return df.sparkSession.read.parquet(path)
-
-
 def split_ratings(t) -> DataFrame:
     return stored(leave_last_out(t.ratings), "split")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.session import scratch_path
 from tablewright.sources.schemas import BUILDING_TEXT, RATINGS, TAGS
 
 
@@ -60,6 +61,16 @@ def save_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by
     return path
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The frame written to the shared folder and read back.
+
+    For results that several steps use: lineage ends at the table, counts come from its footers,
+    and a lost executor costs a re-read, not a recomputation.
+    """
+    path = save_parquet(df, scratch_path(df.sparkSession, label))
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def save_csv(df: DataFrame, path: str, sep: str = ",") -> str:
     df.write.mode("overwrite").csv(path, header=True, sep=sep, escape='"')
     return path
