@@ -27,7 +27,7 @@ SEED = 42
 # ---- preparation
 
 
-def standardise(df: DataFrame, columns: list[str], fit_on: Column | None = None) -> DataFrame:
+def standardise(df: DataFrame, columns: list[str], fit_on: str | Column | None = None) -> DataFrame:
     """(x - mean) / population deviation, both taken from the rows of `fit_on` (a condition)."""
     base = df if fit_on is None else df.where(fit_on)
     moments = base.agg(F.struct(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(c) for c in columns]).alias("_m"))

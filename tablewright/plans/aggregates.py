@@ -15,7 +15,6 @@ from tablewright.plans.quality import CLEAN_BUILDINGS_SQL
 from tablewright.plans.registry import query
 from tablewright.plans.shared import YEAR_SQL, tags_clean
 
-ONE = F.lit(1)
 
 
 @query("jn01_inner_dimension", "ratings movies", """
@@ -23,7 +22,7 @@ select p.genre, count(*) as n, round(avg(rating), 6) as mean_rating from ratings
  (select movieId, unnest(string_split(genres, '|')) as genre from movies) p using (movieId) where genre <> '(no genres listed)' group by 1""")
 def _(t):
     joined = t.ratings.join(C.exploded_genres(t.movies), "movieId")
-    return joined.groupBy("genre").agg(F.count(ONE).alias("n"), r6(F.avg("rating")).alias("mean_rating"))
+    return joined.groupBy("genre").agg(F.count("*").alias("n"), r6(F.avg("rating")).alias("mean_rating"))
 
 
 @query("jn02_left_features", "ratings movies", f"""
@@ -46,7 +45,7 @@ def _(t):
 @query("jn04_semi_join", "ratings", """
 select userId, movieId, rating from ratings where userId in (select userId from ratings group by userId having count(*) >= 45)""")
 def _(t):
-    active = t.ratings.groupBy("userId").agg(F.count(ONE).alias("n")).where("n >= 45")
+    active = t.ratings.groupBy("userId").agg(F.count("*").alias("n")).where("n >= 45")
     return J.restrict_to(t.ratings, active, ["userId"]).select("userId", "movieId", "rating")
 
 
@@ -90,7 +89,7 @@ def _(t):
 select branch, payment, round(sum(total), 4) as total, count(*) as n, round(avg(rating), 4) as mean_rating from transactions group by 1, 2""")
 def _(t):
     return t.transactions.groupBy("branch", "payment").agg(
-        F.round(F.sum("total"), 4).alias("total"), F.count(ONE).alias("n"), F.round(F.avg("rating"), 4).alias("mean_rating")
+        F.round(F.sum("total"), 4).alias("total"), F.count("*").alias("n"), F.round(F.avg("rating"), 4).alias("mean_rating")
     )
 
 
@@ -103,7 +102,7 @@ def _(t):
 
 @query("ag04_by_rating_value", "ratings", "select rating, count(*) as n from ratings group by 1")
 def _(t):
-    return t.ratings.groupBy("rating").agg(F.count(ONE).alias("n"))
+    return t.ratings.groupBy("rating").agg(F.count("*").alias("n"))
 
 
 def _time_sql(expr, name):
@@ -143,7 +142,7 @@ def _(t):
 select event_type, cast(hour(ts) as int) as hour, count(*) as n, round(avg(value), 6) as mean_value from events group by 1, 2""")
 def _(t):
     return t.events.groupBy("event_type", F.hour("ts").alias("hour")).agg(
-        F.count(ONE).alias("n"), r6(F.avg("value")).alias("mean_value"))
+        F.count("*").alias("n"), r6(F.avg("value")).alias("mean_value"))
 
 
 FLAGS_SQL = ", ".join(f"cast(list_contains(string_split(genres, '|'), '{g}') as int) as g_{g}" for g in GENRES)
@@ -273,7 +272,7 @@ def _(t):
 with i as (select movieId, count(*) as n, avg(rating) as mean_rating from ratings group by 1)
 select movieId, n, round(mean_rating, 6) as mean_rating from i where n >= (select quantile_cont(n, 0.9) from i)""")
 def _(t):
-    items = t.ratings.groupBy("movieId").agg(F.count(ONE).alias("n"), F.avg("rating").alias("mean_rating"))
+    items = t.ratings.groupBy("movieId").agg(F.count("*").alias("n"), F.avg("rating").alias("mean_rating"))
     return A.above_quantile(items, "n", 0.9).withColumn("mean_rating", r6("mean_rating"))
 
 
@@ -290,7 +289,7 @@ def _(t):
 @query("ag17_density", "ratings", """
 select count(*) / (count(distinct userId)::double * count(distinct movieId)) as density from ratings""")
 def _(t):
-    g = t.ratings.agg(F.count(ONE).alias("n"), F.count_distinct("userId").alias("u"), F.count_distinct("movieId").alias("i"))
+    g = t.ratings.agg(F.count("*").alias("n"), F.count_distinct("userId").alias("u"), F.count_distinct("movieId").alias("i"))
     return g.select(ratio("n", F.col("u").cast("double") * F.col("i")).alias("density"))
 
 
@@ -298,7 +297,7 @@ def _(t):
 with i as (select movieId, count(*) as n from ratings group by 1), r as (select n, row_number() over (order by n desc) as rk from i)
 select n as frequency, count(*) as members, min(rk) as rank_from, max(rk) as rank_to from r group by n""")
 def _(t):
-    return A.long_tail(t.ratings.groupBy("movieId").agg(F.count(ONE).alias("n")))
+    return A.long_tail(t.ratings.groupBy("movieId").agg(F.count("*").alias("n")))
 
 
 @query("ag19_tag_documents", "tags", f"""

@@ -15,7 +15,6 @@ from tablewright.plans.registry import query
 from tablewright.plans.shared import DEGREE_SQL, TAG_SQL, tags_clean
 from tablewright.sources.tables import stored
 
-ONE = F.lit(1)
 
 
 @query("tx01_clean_tags", "tags", f"with {TAG_SQL} select * from c")
@@ -55,7 +54,7 @@ def _(t):
 @query("jn10_pairs_on_group", "tags", f"with {EDGE_SQL} select a, count(*) as partners, cast(sum(weight) as bigint) as weight from edges group by a")
 def _(t):
     edges = X.cooccurrence(tags_clean(t), 80, 3)
-    return edges.groupBy("a").agg(F.count(ONE).alias("partners"), F.sum("weight").alias("weight"))
+    return edges.groupBy("a").agg(F.count("*").alias("partners"), F.sum("weight").alias("weight"))
 
 
 @query("tx05_weighted_degree", "tags", f"""

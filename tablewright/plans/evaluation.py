@@ -13,7 +13,6 @@ from tablewright.plans.registry import query
 from tablewright.plans.shared import POP_SQL, SPLIT_SQL, item_vectors, pop_lists
 from tablewright.plans.views import BUCKET
 
-ONE = F.lit(1)
 
 
 @query("ev01_regression_metrics", "scored", """
@@ -169,7 +168,7 @@ def _(t):
 @query("ev15_metrics_per_segment", "ratings", f"with {QUART_SQL}, {RANK_SQL} select segment, {MEANS_SQL}, count(*) as n_users from m join seg using (userId) group by 1")
 def _(t):
     split, lists = pop_lists(t)
-    segments = A.activity_quartiles(split.groupBy("userId").agg(F.count(ONE).alias("n")))
+    segments = A.activity_quartiles(split.groupBy("userId").agg(F.count("*").alias("n")))
     m = E.ranking_metrics(lists, split.where("split = 2"), segments=segments)
     return m.select("segment", *[r6(c).alias(c) for c in E.RANKING], "n_users")
 

@@ -25,9 +25,8 @@ from tablewright.session import scratch_path
 from tablewright.sources import files as IMG
 from tablewright.sources.tables import stored
 
-ONE = F.lit(1)
 HOUSE = ["total_bsmt_sf", "first_flr_sf", "year_built", "year_remod"]
-TRAIN = F.col("split") == "train"
+TRAIN = "split = 'train'"
 
 
 def link_split(t):
@@ -55,7 +54,7 @@ def _(t):
     sales = t.transactions.select("product_line", "payment")
     model = Pipeline(stages=M.one_hot_stages(["payment"])).fit(sales.where("payment <> '5-LOW'"))
     hot = F.array_join(F.transform(vector_to_array("payment_hot"), lambda x: x.cast("int").cast("string")), " ")
-    return model.transform(sales).groupBy("product_line", "payment", hot.alias("hot")).agg(F.count(ONE).alias("n"))
+    return model.transform(sales).groupBy("product_line", "payment", hot.alias("hot")).agg(F.count("*").alias("n"))
 
 
 @query("ml03_label_codes", "houses", """
@@ -206,8 +205,8 @@ def _(t):
 def _(t):
     split = split_ratings(t)
     users, items = M.implicit_factors(split.where("split = 0").select("userId", "movieId", "rating"), 16, 5)
-    return users.select("userId", F.size("profile").alias("rank_user")).agg(F.count(ONE).alias("users"), F.max("rank_user").alias("rank")).withColumn(
-        "items", items.agg(F.count(ONE)).scalar())
+    return users.select("userId", F.size("profile").alias("rank_user")).agg(F.count("*").alias("users"), F.max("rank_user").alias("rank")).withColumn(
+        "items", items.agg(F.count("*")).scalar())
 
 
 @query("rc07_factor_topk", "ratings")
@@ -340,7 +339,7 @@ def vector_images(t, label):
 with {IMAGE_SQL} select split_part(filepath, '/', 3) as label, count(*) as n from px group by 1""")
 def _(t):
     files = IMG.file_manifest(t.spark, vector_images(t, "io11"), "*.png")
-    return files.groupBy("label").agg(F.count(ONE).alias("n"))
+    return files.groupBy("label").agg(F.count("*").alias("n"))
 
 
 @query("io12_image_sizes", "", """
@@ -357,4 +356,4 @@ def _(t):
     images = images.withColumn("name", F.element_at(F.split("filepath", "/"), -1))
     sample = S.sample_per_class(images, "label", "name", 300)
     scored = sample.select("label", IMG.mean_intensity("data").alias("m"))
-    return scored.groupBy("label").agg(F.count(ONE).alias("n"), r6(F.avg("m")).alias("intensity"))
+    return scored.groupBy("label").agg(F.count("*").alias("n"), r6(F.avg("m")).alias("intensity"))

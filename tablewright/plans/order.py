@@ -22,14 +22,13 @@ from tablewright.plans.shared import (
 from tablewright.plans.views import BUCKET
 from tablewright.sources.files import path_labels
 
-ONE = F.lit(1)
 SPACE = "4294967296::double"
 
 
 @query("pr05_split_code", "ratings", f"with {SPLIT_SQL} select split, count(*) as n from s group by split")
 def _(t):
     ranked = W.recency_rank(t.ratings)
-    return ranked.groupBy(C.split_code(F.col("rn_desc"), F.col("user_n")).alias("split")).agg(F.count(ONE).alias("n"))
+    return ranked.groupBy(C.split_code(F.col("rn_desc"), F.col("user_n")).alias("split")).agg(F.count("*").alias("n"))
 
 
 @query("wn01_recency_rank", "ratings", """
@@ -60,7 +59,7 @@ with {SPLIT_SQL}, {POP_SQL}, h as (select userId, rank, cast(exists (select 1 fr
 select userId, rank, hit, round(sum(hit) over (partition by userId order by rank) / rank, 6) as precision_at from h""")
 def _(t):
     split, lists = pop_lists(t)
-    relevant = E.relevant_pairs(split.where("split = 2")).withColumn("hit", ONE)
+    relevant = E.relevant_pairs(split.where("split = 2")).withColumn("hit", F.lit(1))
     hits = lists.join(relevant, ["userId", "movieId"], "left").na.fill(0, ["hit"])
     return W.cumulative_precision(hits).select("userId", "rank", "hit", r6("precision_at").alias("precision_at"))
 
@@ -85,14 +84,14 @@ def _(t):
 @query("wn08_deduplicate", "tags", "select count(*) as n_rows, count(distinct userId) as users from (select distinct userId, movieId, tag from tags)")
 def _(t):
     kept = t.tags.dropDuplicates(["userId", "movieId", "tag"])
-    return kept.agg(F.count(ONE).alias("n_rows"), F.count_distinct("userId").alias("users"))
+    return kept.agg(F.count("*").alias("n_rows"), F.count_distinct("userId").alias("users"))
 
 
 @query("wn09_popularity_bucket", "ratings", """
 with s as (select movieId, count(*) as n_ratings from ratings group by movieId), q as (select quantile_cont(n_ratings, [0.5, 0.8, 0.95, 0.99]) as c from s)
 select movieId, n_ratings, cast((n_ratings > c[1])::int + (n_ratings > c[2])::int + (n_ratings > c[3])::int + (n_ratings > c[4])::int as int) as popularity_bucket from s, q""")
 def _(t):
-    return A.popularity_bucket(t.ratings.groupBy("movieId").agg(F.count(ONE).alias("n_ratings")))
+    return A.popularity_bucket(t.ratings.groupBy("movieId").agg(F.count("*").alias("n_ratings")))
 
 
 QUART_SQL = """u as (select userId, count(*) as n from ratings group by 1), q as (select quantile_cont(n, [0.25, 0.5, 0.75]) as c from u),
@@ -101,7 +100,7 @@ seg as (select userId, n, case when n < c[1] + 1 then 'Q1' when n < c[2] + 1 the
 
 @query("wn10_activity_quartiles", "ratings", f"with {QUART_SQL} select userId, n, segment from seg")
 def _(t):
-    return A.activity_quartiles(t.ratings.groupBy("userId").agg(F.count(ONE).alias("n")))
+    return A.activity_quartiles(t.ratings.groupBy("userId").agg(F.count("*").alias("n")))
 
 
 @query("st01_union", "", """
@@ -168,7 +167,7 @@ select split, count(*) as n, round(avg(q_factor), 6) as mean_q from (select q_fa
  from (select q_factor, {BUCKET('link_id')} / {SPACE} as u from links)) group by 1""")
 def _(t):
     split = S.random_split("link_id", {"train": 0.7, "val": 0.15, "test": 0.15})
-    return t.links.groupBy(split.alias("split")).agg(F.count(ONE).alias("n"), r6(F.avg("q_factor")).alias("mean_q"))
+    return t.links.groupBy(split.alias("split")).agg(F.count("*").alias("n"), r6(F.avg("q_factor")).alias("mean_q"))
 
 
 @query("sp02_two_way", "houses", f"select pid, case when {BUCKET('cast(pid as varchar)')} / {SPACE} < 0.8::double then 'train' else 'test' end as split from houses")
@@ -203,7 +202,7 @@ def _(t):
 @query("sp06_hash_folds", "links", f"""
 select cast({BUCKET('link_id')} % 5 as int) as fold, count(*) as n, round(avg(q_factor), 6) as mean_q from links group by 1""")
 def _(t):
-    return t.links.groupBy(S.hash_folds("link_id", 5).alias("fold")).agg(F.count(ONE).alias("n"), r6(F.avg("q_factor")).alias("mean_q"))
+    return t.links.groupBy(S.hash_folds("link_id", 5).alias("fold")).agg(F.count("*").alias("n"), r6(F.avg("q_factor")).alias("mean_q"))
 
 
 @query("sp07_walk_forward", "transactions", """

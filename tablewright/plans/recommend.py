@@ -17,7 +17,6 @@ from tablewright.plans.shared import (
 from tablewright.plans.views import BUCKET
 from tablewright.sources.tables import stored
 
-ONE = F.lit(1)
 
 
 def unit_sql(v):
@@ -136,7 +135,7 @@ def _(t):
     units = items.select("movieId", unit_vector("embedding").alias("e"))
     pairs = train.join(K.content_profiles(train, items), "userId").join(units, "movieId")
     content = pairs.select("userId", "movieId", dot("profile", "e").alias("score"))
-    counts = train.groupBy("movieId").agg(F.count(ONE).cast("double").alias("score"))
+    counts = train.groupBy("movieId").agg(F.count("*").cast("double").alias("score"))
     popular = train.select("userId", "movieId").join(counts, "movieId")
     return K.blend(popular, content, 0.7).withColumn("score", r6("score"))
 
@@ -152,7 +151,7 @@ def _(t):
 
     train, items = trained(t), item_vectors(t)
     profiles = K.content_profiles(train, items)
-    counts = train.groupBy("movieId").agg(F.array(F.count(ONE).cast("double")).alias("embedding"))
+    counts = train.groupBy("movieId").agg(F.array(F.count("*").cast("double")).alias("embedding"))
     units = items.join(counts.select("movieId"), "movieId", "left_semi").select("movieId", unit_vector("embedding").alias("embedding"))
     everyone = profiles.select("userId", F.array(F.lit(1.0)).alias("profile"))
     return rounded(K.hybrid_topk(everyone, counts, profiles, units, 0.7, 10, seen=train))
