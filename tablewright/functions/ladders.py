@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.scalars import HASH_SPACE, hash_bucket
 from tablewright.session import pieces
+from tablewright.sources.tables import stored
 
 
 def with_value_piece(df: DataFrame, value: str, name: str = "_piece") -> DataFrame:
@@ -48,7 +49,8 @@ def ladder(
         .groupBy(*keys, F.col(value).cast("double").alias(value))
         .agg(*[m.alias(n) for n, m in measures.items()])
     )
-    steps = with_value_piece(steps, value)
+    # Stored, so that the rows are aggregated once for the cut points, the sums and the result.
+    steps = with_value_piece(stored(steps, "ladder"), value)
     per_piece = steps.groupBy(*keys, "_piece").agg(*[F.sum(n).alias(f"_s_{n}") for n in names])
     group = Window.partitionBy(*keys) if keys else Window.partitionBy()
     earlier = group.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
@@ -175,6 +177,7 @@ def global_rank(df: DataFrame, value: str, tie: str, name: str = "rank") -> Data
     The rows above a value come from the ladder of counts; the rows sharing a value are
     numbered piece by piece, so neither the table nor a popular value needs a single task.
     """
+    df = stored(df, "ranked")
     above = ladder(df.select(F.col(value).alias("_x")), "_x").select(
         F.col("_x").alias("_v"), (F.col("n_total") - F.col("n_before") - F.col("n")).alias("_above")
     )

@@ -50,16 +50,18 @@ def f_tail(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return pd.Series([_beta(b / 2, a / 2, b / (b + a * x)) for x, a, b in zip(f, d1, d2)])
 
 
+# Coefficients of the rational fit below, constant term first.
+ERFC_TERMS = [
+    -1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
+    0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277,
+]
+
+
 def erfc(x: Column) -> Column:
     """Complementary error function by a rational fit (relative error below 1.2e-7)."""
-    # Coefficients of the fit, constant term first.
-    terms = [
-        -1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
-        0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277,
-    ]
     t = 1 / (1 + F.abs(x) / 2)
-    poly = F.lit(terms[-1])
-    for c in reversed(terms[:-1]):
+    poly = F.lit(ERFC_TERMS[-1])
+    for c in reversed(ERFC_TERMS[:-1]):
         poly = poly * t + c
     y = t * F.exp(-x * x + poly)
     return F.when(x >= 0, y).otherwise(2 - y)

@@ -263,8 +263,16 @@ def project(df: DataFrame, vector: str, k: int = 2) -> DataFrame:
 # ---- factors
 
 
+def _int_ids(train: DataFrame, key: str, name: str) -> DataFrame:
+    """`(key, name)` with ids in the estimator's 32-bit range: the keys themselves where they fit."""
+    span = train.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
+    if span["low"] is not None and -(1 << 31) <= span["low"] and span["high"] < (1 << 31):
+        return train.select(key, F.col(key).cast("int").alias(name)).distinct()
+    return contiguous_ids(train, key, name)
+
+
 def _indexed(train: DataFrame, rating: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    users, items = contiguous_ids(train, "userId", "u"), contiguous_ids(train, "movieId", "i")
+    users, items = _int_ids(train, "userId", "u"), _int_ids(train, "movieId", "i")
     data = train.join(users, "userId").join(items, "movieId").select("u", "i", F.col(rating).cast("float").alias("r"))
     return data, users, items
 

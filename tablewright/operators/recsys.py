@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.ladders import global_rank, split_row_number, with_value_piece
-from tablewright.functions.scalars import hash_bucket, ratio, unit_vector, vector_mean
+from tablewright.functions.scalars import hash_bucket, nine_digits, ratio, unit_vector, vector_mean
 from tablewright.operators.retrieval import block_topk
 from tablewright.session import pieces
 from tablewright.sources.tables import stored
@@ -18,7 +18,7 @@ LIKED = 3.5
 
 def contiguous_ids(df: DataFrame, key: str, name: str) -> DataFrame:
     """`(key, name)` with 0-based numbers in key order, numbered range by range."""
-    keys = df.select(key).distinct()
+    keys = stored(df.select(key).distinct(), "keys")
     ranged = with_value_piece(keys.withColumn("_k", F.col(key).cast("double")), "_k")
     numbered = split_row_number(ranged, (), [F.col(key)], name, "_piece")
     return numbered.select(key, (F.col(name) - 1).cast("int").alias(name))
@@ -47,7 +47,7 @@ def mean_predictions(train: DataFrame, pairs: DataFrame, default: float = LIKED)
 
 
 def best_per_user(scores: DataFrame, k: int) -> DataFrame:
-    best = Window.partitionBy("userId").orderBy(F.round("score", 9).desc(), "movieId")
+    best = Window.partitionBy("userId").orderBy(nine_digits("score").desc(), "movieId")
     return scores.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
@@ -151,30 +151,36 @@ def cosine_neighbours(
     both = sims.select(F.explode(F.array(
         F.struct(F.col("a").alias(item), F.col("b").alias("neighbour"), "sim"),
         F.struct(F.col("b").alias(item), F.col("a").alias("neighbour"), "sim"))).alias("s")).select("s.*")
-    best = Window.partitionBy(item).orderBy(F.round("sim", 9).desc(), "neighbour")
+    best = Window.partitionBy(item).orderBy(nine_digits("sim").desc(), "neighbour")
     return both.withColumn("_rn", F.row_number().over(best)).where(F.col("_rn") <= k).drop("_rn")
 
 
-def unseen(scores: DataFrame, train: DataFrame) -> DataFrame:
-    return scores.join(train.select("userId", "movieId"), ["userId", "movieId"], "left_anti")
+def _weighted_unseen(pairs: DataFrame, train: DataFrame) -> DataFrame:
+    """Similarity-weighted mean per user and item, items in the training rows left out.
+
+    Seen pairs join the aggregation as marked rows of no weight, which costs no second shuffle.
+    """
+    seen = train.select("userId", "movieId", F.lit(0.0).alias("sim"), F.lit(0.0).alias("rating"), F.lit(1).alias("_seen"))
+    rows = pairs.select("userId", "movieId", "sim", "rating", F.lit(0).alias("_seen")).unionByName(seen)
+    g = rows.groupBy("userId", "movieId").agg(
+        F.sum(F.col("sim") * F.col("rating")).alias("_sum"), F.sum(F.abs("sim")).alias("_weight"), F.max("_seen").alias("_seen"))
+    return g.where("_seen = 0").select("userId", "movieId", ratio("_sum", "_weight").alias("score"))
 
 
 def item_knn_topk(train: DataFrame, neighbours: DataFrame, k: int = 10) -> DataFrame:
     """Similarity-weighted mean of a user's ratings over each rated item's neighbour list."""
     links = neighbours.select("movieId", F.col("neighbour").alias("_to"), "sim")
     pairs = train.select("userId", "movieId", "rating").join(links, "movieId")
-    scores = pairs.groupBy("userId", F.col("_to").alias("movieId")).agg(
-        ratio(F.sum(F.col("sim") * F.col("rating")), F.sum(F.abs("sim"))).alias("score"))
-    return best_per_user(unseen(scores, train), k)
+    pairs = pairs.select("userId", F.col("_to").alias("movieId"), "sim", "rating")
+    return best_per_user(_weighted_unseen(pairs, train), k)
 
 
 def user_knn_topk(train: DataFrame, neighbours: DataFrame, k: int = 10) -> DataFrame:
     """Similarity-weighted mean of the ratings of a user's neighbours."""
     links = neighbours.select(F.col("userId").alias("_for"), F.col("neighbour").alias("userId"), "sim")
     pairs = links.join(train.select("userId", "movieId", "rating"), "userId")
-    scores = pairs.groupBy(F.col("_for").alias("userId"), "movieId").agg(
-        ratio(F.sum(F.col("sim") * F.col("rating")), F.sum(F.abs("sim"))).alias("score"))
-    return best_per_user(unseen(scores, train), k)
+    pairs = pairs.select(F.col("_for").alias("userId"), "movieId", "sim", "rating")
+    return best_per_user(_weighted_unseen(pairs, train), k)
 
 
 def content_profiles(train: DataFrame, items: DataFrame) -> DataFrame:

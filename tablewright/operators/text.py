@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.functions.scalars import ratio
+from tablewright.functions.scalars import nine_digits, ratio
 from tablewright.operators.columns import exploded_genres, normalised_tag
+from tablewright.sources.tables import stored
 
 
 def clean_tags(tags: DataFrame, lemmas: dict[str, str] | None = None) -> DataFrame:
@@ -99,7 +100,7 @@ def search(queries: DataFrame, documents: DataFrame, k: int, query_id: str, doc_
     to broadcast, scores are summed where the document lies and only the best k per query and
     task travel.
     """
-    doc_tokens = tokens(documents, doc_id)
+    doc_tokens = stored(tokens(documents, doc_id), "tokens")
     idf = inverse_frequency(doc_tokens, documents.agg(F.count(F.lit(1))).scalar())
     weight = F.col("tf") * F.col("idf")
     weighted = doc_tokens.join(idf, "token")
@@ -111,5 +112,5 @@ def search(queries: DataFrame, documents: DataFrame, k: int, query_id: str, doc_
     )
     scores = parts.join(norms, doc_id).join(q_norms, query_id)
     scores = scores.select(query_id, doc_id, ratio("_dot", F.col("_dn") * F.col("_qn")).alias("score"))
-    best = Window.partitionBy(query_id).orderBy(F.round("score", 9).desc(), doc_id)
+    best = Window.partitionBy(query_id).orderBy(nine_digits("score").desc(), doc_id)
     return scores.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

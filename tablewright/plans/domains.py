@@ -198,6 +198,18 @@ def _(t):
     return t.links.select("link_id", r6(anchor).alias("anchor"), r6(F.col("q_factor") - anchor).alias("residual"))
 
 
-@query("ph01_bit_error_rate", "links")
+def _erfc_sql():
+    """The same rational fit as the operator, x = q / sqrt(2) >= 0."""
+    from tablewright.functions.tails import ERFC_TERMS
+
+    poly = f"({ERFC_TERMS[-1]}::double)"
+    for c in reversed(ERFC_TERMS[:-1]):
+        poly = f"({poly} * t + ({c}::double))"
+    return f"t * exp(-x * x + {poly})"
+
+
+@query("ph01_bit_error_rate", "links", f"""
+with x as (select link_id, q_factor / sqrt(2) as x, 1 / (1 + abs(q_factor / sqrt(2)) / 2) as t from links)
+select link_id, round(case when x >= 0 then {_erfc_sql()} else 2 - {_erfc_sql()} end / 2, 9) as ber from x""")
 def _(t):
-    return t.links.select("link_id", Q.bit_error_rate(F.col("q_factor")).alias("ber"))
+    return t.links.select("link_id", F.round(Q.bit_error_rate(F.col("q_factor")), 9).alias("ber"))

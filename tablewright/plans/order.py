@@ -232,14 +232,13 @@ def _(t):
 
 
 def _rank_sql(c):
-    return f"rank() over (order by round({c}, 9)) + (count(*) over (partition by round({c}, 9)) - 1) / 2"
+    return f"rank() over (order by {c}) + (count(*) over (partition by {c}) - 1) / 2"
 
 
 @query("ss02_spearman", "links", " union all ".join(
     f"select '{c}' as \"column\", round(corr(a, b), 6) as rho from (select {_rank_sql(c)} as a, {_rank_sql('q_factor')} as b from links)" for c in LINKS))
 def _(t):
-    steady = t.links.select(*[F.round(c, 9).alias(c) for c in NUMBERS])
-    return X.spearman(steady, LINKS, "q_factor").withColumn("rho", r6("rho"))
+    return X.spearman(t.links, LINKS, "q_factor").withColumn("rho", r6("rho"))
 
 
 ANOVA_SQL = """
@@ -274,7 +273,7 @@ def _(t):
 
 
 def _bin_sql(c):
-    return " + ".join(f"(round({c}, 9) > (select quantile_cont(round({c}, 9), {i / 10}) from links))::int" for i in range(1, 10))
+    return " + ".join(f"({c} > (select quantile_cont({c}, {i / 10}) from links))::int" for i in range(1, 10))
 
 
 @query("ss05_binned_information", "links", "with " + f"coded as (select {', '.join(f'{_bin_sql(c)} as {c}' for c in NUMBERS)} from links), " + """
@@ -283,8 +282,7 @@ cells as (select "column", x, t, count(*)::double as n from long group by all),
 j as (select *, sum(n) over (partition by "column", x) as nx, sum(n) over (partition by "column", t) as nt, sum(n) over (partition by "column") as a from cells)
 select "column", round(sum(n / a * ln(n * a / (nx * nt))), 6) as information from j group by 1""")
 def _(t):
-    steady = t.links.select(*[F.round(c, 9).alias(c) for c in NUMBERS])
-    return X.binned_information(steady, LINKS, "q_factor").withColumn("information", r6("information"))
+    return X.binned_information(t.links, LINKS, "q_factor").withColumn("information", r6("information"))
 
 
 @query("ss06_distance_outliers", "links", f"""
