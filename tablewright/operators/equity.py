@@ -11,6 +11,7 @@ from tablewright.functions.scalars import flag, ratio
 from tablewright.functions.tails import erfc
 from tablewright.operators.columns import COLLECTIVE_CATEGORIES, DEPLOYED
 from tablewright.operators.windows import with_percentile_rank
+from tablewright.sources.tables import stored
 
 # Default weights of the three parts.
 WEIGHTS = {"coverage": 0.60, "pm_load": 0.20, "coll_lag": 0.20}
@@ -30,7 +31,7 @@ def commune_equity(buildings: DataFrame, weights: dict[str, float] | None = None
         F.count_distinct("pm_ref").alias("_pm"), F.min("nom_com").alias("nom_com"),
     )
     # Nine digits keep equal loads equal whatever the order of summation.
-    g = g.withColumn("_load", F.round(ratio("n_buildings", F.greatest("_pm", F.lit(1))), 9))
+    g = stored(g.withColumn("_load", F.round(ratio("n_buildings", F.greatest("_pm", F.lit(1))), 9)), "communes")
     ranked = with_percentile_rank(g, "_load").withColumn("pm_load", 1 - F.col("rank_pct"))
     ranked = ranked.withColumn("coll_lag", F.coalesce("_coll", "coverage"))
     index = sum((F.col(c) * F.lit(w[c]) for c in ("pm_load", "coll_lag")), F.col("coverage") * F.lit(w["coverage"]))

@@ -115,7 +115,7 @@ def _cell_products(left: pd.DataFrame, right: pd.DataFrame, same_block: bool) ->
 
 
 def cosine_neighbours(
-    ratings: DataFrame, item: str, user: str, k: int = 50, user_block: int = 256, item_block: int = 4096
+    ratings: DataFrame, item: str, user: str, k: int = 50, user_block: int = 1024, item_block: int = 4096
 ) -> DataFrame:
     """`(item, neighbour, sim)`: the k most similar items by cosine over common users, exact.
 

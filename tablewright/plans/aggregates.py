@@ -159,7 +159,7 @@ select movieId, n_ratings, round(mean_rating, 6) as mean_rating, round(std_ratin
  title, release_year, cast(floor(release_year / 10) * 10 as int) as decade, {', '.join('g_' + g for g in GENRES)}
 from s cross join q left join m using (movieId)""")
 def _(t):
-    f = A.item_features(t.ratings, t.movies, GENRES, missing_year=-1)
+    f = A.item_features(t.kept("ratings"), t.movies, GENRES, missing_year=-1)
     return f.select(
         "movieId", "n_ratings", r6("mean_rating").alias("mean_rating"), r6("std_rating").alias("std_rating"), "n_unique_users",
         F.date_format("first_rated_at", "yyyy-MM-dd").alias("first_rated"),
@@ -216,7 +216,7 @@ with {CLEAN} select imb_id, is_lagging, cast(batiment is not null as int) as has
  com_n_buildings, com_n_pm, com_n_operators, com_share_individuel, com_buildings_per_pm, com_hhi
 from f left join ({PM_SQL}) using (pm_ref) left join ({COM_SQL}) using (code_insee) left join ({HHI_SQL}) using (code_insee)""")
 def _(t):
-    table = A.building_feature_table(clean_buildings(t.buildings))
+    table = A.building_feature_table(clean_buildings(t.kept("buildings")))
     keep = [c for c in A.BUILDING_FEATURES if c != "has_postcode"]
     real = {"pm_share_individuel", "pm_share_collective_large", "com_share_individuel", "com_buildings_per_pm", "com_hhi"}
     return table.select("imb_id", "is_lagging", *[r6(c).alias(c) if c in real else F.col(c) for c in keep])
@@ -238,7 +238,7 @@ select invoice_id, cast(floor((epoch(any_value(snap)) - epoch(max(ts))) / 86400)
  round(avg(rating), 6) as avg_rating, min(branch) as branch, min(customer_type) as customer_type, any_value(dominant_product) as dominant_product
 from transactions join p using (invoice_id), s group by invoice_id""")
 def _(t):
-    return A.rfm(t.transactions).select(
+    return A.rfm(t.kept("transactions")).select(
         "invoice_id", "recency", F.round("frequency", 2).alias("frequency"), F.round("monetary", 4).alias("monetary"),
         r6("avg_rating").alias("avg_rating"), "branch", "customer_type", "dominant_product")
 
@@ -282,7 +282,7 @@ select round(count(*) filter (n < 5) * 100.0::double / count(*), 6) as pct_item_
  (select round(count(*) filter (n < 5) * 100.0::double / count(*), 6) from u) as pct_user_lt5, (select round(count(*) filter (n < 10) * 100.0::double / count(*), 6) from u) as pct_user_lt10,
  (select round(count(*) * 100.0::double / (select count(*) from movies), 6) from movies where movieId not in (select movieId from ratings)) as pct_item_unrated from i""")
 def _(t):
-    c = A.cold_start_percentages(t.ratings, t.movies)
+    c = A.cold_start_percentages(t.kept("ratings"), t.movies)
     return c.select(*[r6(x).alias(x) for x in c.columns])
 
 

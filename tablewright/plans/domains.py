@@ -88,7 +88,7 @@ s as (select product_line, ds, coalesce(y, 0) as y from c left join d using (pro
 
 
 def series(t):
-    return A.daily_series(t.transactions, "product_line", "ts", "total")
+    return stored(A.daily_series(t.transactions, "product_line", "ts", "total"), "series")
 
 
 def additive_sql(source, keys, horizon):
@@ -130,13 +130,13 @@ def _(t):
 
 @query("fc03_champion", "transactions")
 def _(t):
-    scores, _ = R.champion_forecast(stored(series(t), "series"), "product_line")
+    scores, _ = R.champion_forecast(series(t), "product_line")
     return scores
 
 
 @query("fc03_champion_forecast", "transactions")
 def _(t):
-    _, forecast = R.champion_forecast(stored(series(t), "series"), "product_line")
+    _, forecast = R.champion_forecast(series(t), "product_line")
     return forecast.withColumn("ds", F.col("ds").cast("string"))
 
 

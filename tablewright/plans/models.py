@@ -117,7 +117,7 @@ def _(t):
 
 
 def building_rows(t):
-    table = A.building_feature_table(clean_buildings(t.buildings))
+    table = A.building_feature_table(clean_buildings(t.kept("buildings")))
     table = S.group_folds(table, "pm_ref", 5)
     return stored(M.vectors(table.na.fill(0), A.BUILDING_FEATURES), "buildings")
 
@@ -162,7 +162,7 @@ def _(t):
 
 
 def customer_points(t):
-    r = A.rfm(t.transactions).withColumn("recency", F.col("recency").cast("double"))
+    r = A.rfm(t.kept("transactions")).withColumn("recency", F.col("recency").cast("double"))
     return stored(M.log_standardise(r, ["frequency", "monetary"], ["recency", "frequency", "monetary"]), "rfm")
 
 

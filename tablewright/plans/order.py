@@ -27,7 +27,7 @@ SPACE = "4294967296::double"
 
 @query("pr05_split_code", "ratings", f"with {SPLIT_SQL} select split, count(*) as n from s group by split")
 def _(t):
-    ranked = W.recency_rank(t.ratings)
+    ranked = W.recency_rank(t.kept("ratings"))
     return ranked.groupBy(C.split_code(F.col("rn_desc"), F.col("user_n")).alias("split")).agg(F.count("*").alias("n"))
 
 
@@ -35,7 +35,7 @@ def _(t):
 select userId, movieId, cast(row_number() over (partition by userId order by rated_at desc, movieId desc) as bigint) as rn_desc,
  count(*) over (partition by userId) as user_n from ratings""")
 def _(t):
-    return W.recency_rank(t.ratings).select("userId", "movieId", F.col("rn_desc").cast("long").alias("rn_desc"), "user_n")
+    return W.recency_rank(t.kept("ratings")).select("userId", "movieId", F.col("rn_desc").cast("long").alias("rn_desc"), "user_n")
 
 
 @query("wn02_leave_last_out", "ratings movies", f"""
@@ -196,7 +196,7 @@ def _(t):
 with g as (select pm_ref, row_number() over (order by count(*) desc, {BUCKET('pm_ref')}) - 1 as r from buildings group by pm_ref)
 select imb_id, pm_ref, cast(case when r % 10 < 5 then r % 10 else 9 - r % 10 end as int) as fold from buildings join g using (pm_ref)""")
 def _(t):
-    return S.group_folds(t.buildings.select("imb_id", "pm_ref"), "pm_ref", 5)
+    return S.group_folds(t.kept("buildings").select("imb_id", "pm_ref"), "pm_ref", 5)
 
 
 @query("sp06_hash_folds", "links", f"""
@@ -238,7 +238,7 @@ def _rank_sql(c):
 @query("ss02_spearman", "links", " union all ".join(
     f"select '{c}' as \"column\", round(corr(a, b), 6) as rho from (select {_rank_sql(c)} as a, {_rank_sql('q_factor')} as b from links)" for c in LINKS))
 def _(t):
-    return X.spearman(t.links, LINKS, "q_factor").withColumn("rho", r6("rho"))
+    return X.spearman(t.kept("links"), LINKS, "q_factor").withColumn("rho", r6("rho"))
 
 
 ANOVA_SQL = """
@@ -282,7 +282,7 @@ cells as (select "column", x, t, count(*)::double as n from long group by all),
 j as (select *, sum(n) over (partition by "column", x) as nx, sum(n) over (partition by "column", t) as nt, sum(n) over (partition by "column") as a from cells)
 select "column", round(sum(n / a * ln(n * a / (nx * nt))), 6) as information from j group by 1""")
 def _(t):
-    return X.binned_information(t.links, LINKS, "q_factor").withColumn("information", r6("information"))
+    return X.binned_information(t.kept("links"), LINKS, "q_factor").withColumn("information", r6("information"))
 
 
 @query("ss06_distance_outliers", "links", f"""
@@ -290,7 +290,7 @@ with m as (select {', '.join(f'avg({c}) as m_{c}, stddev_pop({c}) as s_{c}' for
 d as (select link_id, round({' + '.join(f'pow(({c} - m_{c}) / s_{c}, 2)' for c in LINKS)}, 9) as distance from links, m)
 select link_id, round(distance, 6) as distance, cast(distance > (select quantile_cont(distance, 0.99) from d) as int) as is_outlier from d""")
 def _(t):
-    return X.distance_outliers(t.links, LINKS).select("link_id", r6("distance").alias("distance"), "is_outlier")
+    return X.distance_outliers(t.kept("links"), LINKS).select("link_id", r6("distance").alias("distance"), "is_outlier")
 
 
 @query("ss07_treatment_means", "buildings", """

@@ -70,7 +70,7 @@ select invoice_id, line_no, product_line, customer_type, round(unit_price, 6) as
  round_even(round_even(unit_price * quantity, 4) * 0.05::double, 4) as tax, strftime(d, '%Y-%m-%d') as sale_date,
  strftime(m, '%Y-%m-%d %H:%M') as moment from filled where d is not null""")
 def _(t):
-    return M.clean_transactions(t.transactions_raw).select(
+    return M.clean_transactions(t.kept("transactions_raw")).select(
         "invoice_id", "line_no", "product_line", "customer_type", r6("unit_price").alias("unit_price"), "quantity",
         "total", "cogs", "tax", F.col("sale_date").cast("string").alias("sale_date"),
         F.date_format("moment", "yyyy-MM-dd HH:mm").alias("moment"),
@@ -109,7 +109,7 @@ def _describe_sql(c):
 
 @query("pf01_describe_numeric", "links", " union all ".join(_describe_sql(c) for c in [*LINKS, "q_factor"]))
 def _(t):
-    d = P.describe_numeric(t.links, [*LINKS, "q_factor"])
+    d = P.describe_numeric(t.kept("links"), [*LINKS, "q_factor"])
     return d.select("column", "count", *[r6(c).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")])
 
 
@@ -190,7 +190,7 @@ select branch, round(any_value(q25), 4) as q25, round(any_value(q50), 4) as q50,
  round(min(total) filter (total between lo and hi), 4) as whisker_low, round(max(total) filter (total between lo and hi), 4) as whisker_high,
  count(*) filter (not total between lo and hi) as outliers from transactions join f using (branch) group by branch""")
 def _(t):
-    b = P.box_statistics(t.transactions, "branch", "total")
+    b = P.box_statistics(t.kept("transactions"), "branch", "total")
     names = ["q25", "q50", "q75", "whisker_low", "whisker_high"]
     return b.select("branch", *[F.round(c, 4).alias(c) for c in names], "outliers")
 

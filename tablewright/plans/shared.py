@@ -29,11 +29,11 @@ DEGREE_SQL = f"{TAG_SQL}, top as (select tag_clean, count(*) as n from c group b
 
 
 def tags_clean(t) -> DataFrame:
-    return clean_tags(t.tags)
+    return stored(clean_tags(t.tags), "tags")
 
 
 def split_ratings(t) -> DataFrame:
-    return stored(leave_last_out(t.ratings), "split")
+    return stored(leave_last_out(t.kept("ratings")), "split")
 
 
 def pop_lists(t, k: int = 10) -> tuple[DataFrame, DataFrame]:

@@ -11,6 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablewright.sources.tables import stored
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -191,6 +193,10 @@ class Tables:
             return df.repartition(cores)
         return df
 
+    def kept(self, name: str) -> DataFrame:
+        """A view written once and read back: the input table of operators that pass over it often."""
+        return stored(getattr(self, name), name)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
             return self.read(name)
