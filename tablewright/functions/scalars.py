@@ -60,11 +60,6 @@ def flag(condition: Column) -> Column:
     return F.coalesce(condition.cast("int"), F.lit(0))
 
 
-def nan_to_null(c: str | Column) -> Column:
-    c = as_column(c)
-    return F.when(~F.isnan(c), c)
-
-
 def finite_or_zero(c: str | Column) -> Column:
     c = as_column(c).cast("double")
     bad = F.isnan(c) | (F.abs(c) == F.lit(float("inf"))) | c.isNull()
@@ -77,10 +72,6 @@ def sum_present(df: DataFrame, names: list[str]) -> Column:
     return reduce(add, here) if here else F.lit(0.0)
 
 
-def count_where(condition: Column) -> Column:
-    return F.count_if(condition)
-
-
 def dot(a: str | Column, b: str | Column) -> Column:
     products = F.zip_with(
         as_column(a), as_column(b), lambda x, y: x.cast("double") * y.cast("double")

@@ -175,6 +175,17 @@ def item_knn_topk(train: DataFrame, neighbours: DataFrame, k: int = 10) -> DataF
     return best_per_user(_weighted_unseen(pairs, train), k)
 
 
+def item_knn_predictions(train: DataFrame, neighbours: DataFrame, pairs: DataFrame, default: float = LIKED) -> DataFrame:
+    """Predicted rating of given pairs, `default` where no rated item lists the target."""
+    links = neighbours.select(F.col("movieId").alias("_j"), F.col("neighbour").alias("movieId"), "sim")
+    rated = train.select("userId", F.col("movieId").alias("_j"), F.col("rating").alias("_r"))
+    found = pairs.select("userId", "movieId").join(links, "movieId").join(rated, ["userId", "_j"])
+    scores = found.groupBy("userId", "movieId").agg(
+        ratio(F.sum(F.col("sim") * F.col("_r")), F.sum(F.abs("sim"))).alias("prediction"))
+    joined = pairs.join(scores, ["userId", "movieId"], "left")
+    return joined.withColumn("prediction", F.coalesce("prediction", F.lit(default)))
+
+
 def user_knn_topk(train: DataFrame, neighbours: DataFrame, k: int = 10) -> DataFrame:
     """Similarity-weighted mean of the ratings of a user's neighbours."""
     links = neighbours.select(F.col("userId").alias("_for"), F.col("neighbour").alias("userId"), "sim")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tablewright.functions.ladders import average_rank, quantile_table, with_quantiles
 from tablewright.functions.scalars import flag, ratio
 from tablewright.functions.tails import f_tail
+from tablewright.sources.tables import stored
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -108,6 +109,7 @@ def binned_information(df: DataFrame, columns: list[str], target: str, bins: int
     coded = with_quantiles(df.select(*columns, target), [*columns, target], names).select(*[bin_of(c).alias(c) for c in columns], bin_of(target).alias("_t"))
     cells = coded.unpivot(["_t"], columns, "column", "_x").groupBy("column", "_x", "_t").agg(F.count(F.lit(1)).alias("_n"))
     # The contingency tables hold bins x bins cells per column, whatever the data size.
+    cells = stored(cells, "cells")
     rows = cells.groupBy("column", "_x").agg(F.sum("_n").alias("_nx"))
     cols = cells.groupBy("column", "_t").agg(F.sum("_n").alias("_nt"))
     total = cells.groupBy("column").agg(F.sum("_n").alias("_all"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablewright.functions.scalars import (
-    flag, half_even, norm, ratio, sum_present,
+    flag, norm, ratio, sum_present,
 )
 from tablewright.operators import columns as C
 from tablewright.operators import geo as G

@@ -38,6 +38,21 @@ def _(t):
     return by_year(IO.read_ratings(t.spark, written_ratings(t, "io01")))
 
 
+@query("io01_csv_tags", "tags", "select cast(year(tagged_at) as int) as year, count(*) as n, count(distinct tag) as tags from tags group by 1")
+def _(t):
+    path = scratch_path(t.spark, "io01-tags")
+    seconds = F.unix_timestamp(F.col("tagged_at").cast("timestamp"))
+    IO.save_csv(t.tags.select("userId", "movieId", "tag", seconds.alias("timestamp")), path)
+    back = IO.read_tags(t.spark, path)
+    return back.groupBy(F.year("tagged_at").alias("year")).agg(F.count("*").alias("n"), F.count_distinct("tag").alias("tags"))
+
+
+@query("io01_csv_movies", "movies", "select movieId::int as movieId, title, genres from movies")
+def _(t):
+    path = IO.save_csv(t.movies, scratch_path(t.spark, "io01-movies"))
+    return IO.read_csv(t.spark, path, S.MOVIES)
+
+
 @query("io02_csv_mixed_schema", "buildings", """
 select code_insee, count(*) as n, count(code_l331) as known_operator, count(distinct code_poste) as codes, round(avg(x), 6) as mean_x from buildings group by 1""")
 def _(t):
@@ -70,9 +85,9 @@ def _(t):
 
 
 @query("io05_first_rows", "links", f"""
-select link_id, {', '.join(f'round({c}, 6) as {c}' for c in LINKS)} from links order by link_id limit 500""")
+select link_id, {', '.join(f'round({c}, 6) as {c}' for c in LINKS)} from links order by link_id, {', '.join(LINKS)} limit 500""")
 def _(t):
-    return IO.first_rows(t.links, 500, "link_id").select("link_id", *[r6(c).alias(c) for c in LINKS])
+    return IO.first_rows(t.links, 500, "link_id", *LINKS).select("link_id", *[r6(c).alias(c) for c in LINKS])
 
 
 @query("io06_parquet_skip_if_present", "ratings", """

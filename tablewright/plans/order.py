@@ -138,6 +138,12 @@ def _(t):
     return S.sample_active(t.ratings, "userId", 0.2, 20).select("userId", "movieId", "rating")
 
 
+@query("sa01_sample_fraction", "", f"""
+select event_id, user_id, value from events where {BUCKET('cast(user_id as varchar)')} / {SPACE} < 0.3::double""")
+def _(t):
+    return S.sample_fraction(t.events, "user_id", 0.3).select("event_id", "user_id", "value")
+
+
 @query("sa02_sample_rows", "", f"select event_id, user_id, value from events order by {BUCKET('cast(event_id as varchar)')}, event_id limit 300")
 def _(t):
     return S.sample_rows(t.events, "event_id", 300).select("event_id", "user_id", "value")

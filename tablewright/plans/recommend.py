@@ -86,6 +86,18 @@ def _(t):
     return rounded(K.item_knn_topk(train, near))
 
 
+@query("rc04_item_knn_predictions", "ratings", f"""
+with {SPLIT_SQL}, {knn_sql('movieId', 'userId')},
+sc as (select te.userId, te.movieId, sum(sim * tr.rating) / sum(abs(sim)) as p from te join nb on nb.b = te.movieId join tr on tr.userId = te.userId and tr.movieId = nb.a group by 1, 2)
+select te.userId, te.movieId, rating, round(coalesce(p, 3.5::double), 6) as prediction from te left join sc on sc.userId = te.userId and sc.movieId = te.movieId""")
+def _(t):
+    split = split_ratings(t)
+    train = split.where("split = 0").select("userId", "movieId", "rating")
+    near = stored(K.cosine_neighbours(train, "movieId", "userId", 50).withColumn("sim", F.round("sim", 9)), "item-neighbours")
+    p = K.item_knn_predictions(train, near, split.where("split = 2").select("userId", "movieId", "rating"))
+    return p.withColumn("prediction", r6("prediction"))
+
+
 @query("rc05_user_knn_topk", "ratings", f"""
 with {SPLIT_SQL}, {knn_sql('userId', 'movieId')},
 sc as (select nb.a as userId, movieId, sum(sim * rating) / sum(abs(sim)) as score from nb join tr on tr.userId = nb.b group by 1, 2), {FINISH_SQL}""")

@@ -41,9 +41,9 @@ def read_trimmed_header(spark: SparkSession, path: str, infer: bool = True) -> D
     return df.toDF(*[c.strip() for c in df.columns])
 
 
-def first_rows(df: DataFrame, n: int, key: str) -> DataFrame:
-    """The first n rows by key: a top-n, not a global sort."""
-    return df.orderBy(key).limit(n)
+def first_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
+    """The first n rows in a full order: a top-n, not a global sort."""
+    return df.orderBy(*order).limit(n)
 
 
 def save_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = None) -> str:
