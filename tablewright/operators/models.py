@@ -100,14 +100,21 @@ def fitted(estimator: Estimator, train: DataFrame) -> Model:
 # ---- regression
 
 
-def linear_family(label: str, n_rows: int, alpha: float) -> dict[str, LinearRegression]:
-    """Linear, ridge, lasso and elastic net with penalties scaled for the mean squared loss."""
+def linear_family(train: DataFrame, label: str, alpha: float, mix: float = 0.5) -> dict[str, LinearRegression]:
+    """Linear, ridge, lasso and elastic net in the usual textbook penalties.
+
+    Ridge minimises the squared error plus alpha |w|^2; lasso and elastic net half the mean squared
+    error plus alpha (mix |w|_1 + (1 - mix) / 2 |w|^2). The estimator divides its quadratic penalty
+    by the deviation of the label, which is undone here.
+    """
+    row = train.agg(F.count(label).alias("n"), F.stddev_pop(label).alias("s")).first()
     common = {"labelCol": label, "standardization": False}
+    absolute, quadratic = alpha * mix, alpha * (1 - mix) * row["s"]
     return {
         "linear": LinearRegression(regParam=0.0, **common),
-        "ridge": LinearRegression(regParam=alpha / n_rows, elasticNetParam=0.0, **common),
+        "ridge": LinearRegression(regParam=alpha / row["n"] * row["s"], elasticNetParam=0.0, **common),
         "lasso": LinearRegression(regParam=alpha, elasticNetParam=1.0, **common),
-        "elastic_net": LinearRegression(regParam=alpha, elasticNetParam=0.5, **common),
+        "elastic_net": LinearRegression(regParam=absolute + quadratic, elasticNetParam=absolute / (absolute + quadratic), **common),
     }
 
 

@@ -99,7 +99,7 @@ def _(t):
 def _(t):
     links = link_split(t)
     train = links.where(TRAIN)
-    family = M.linear_family("q_factor", train.count(), 0.01)
+    family = M.linear_family(train, "q_factor", 0.01)
     return M.compare({n: M.fitted(e, train) for n, e in family.items()}, links.where("split = 'test'"), "q_factor")
 
 
