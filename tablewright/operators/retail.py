@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.scalars import flag, half_even, ratio
+from tablewright.sources.tables import stored
 
 # Thresholds tried for association rules, highest first, and the lift floor.
 SUPPORT_STEPS = [0.20, 0.15, 0.10, 0.05, 0.03]
@@ -167,7 +168,7 @@ def association_rules(
     looked up among the itemsets, since all parts of a frequent set are frequent.
     """
     steps = sorted(steps or SUPPORT_STEPS)
-    sets = transactions.groupBy(*basket).agg(F.collect_set(item).alias("items"))
+    sets = stored(transactions.groupBy(*basket).agg(F.collect_set(item).alias("items")), "baskets")
     n = sets.count()
     # A hair below the lowest step: the exact support test follows and must see every candidate.
     mined = FPGrowth(itemsCol="items", minSupport=max(steps[0] - 0.5 / max(n, 1), 0.0), minConfidence=1.0).fit(sets)

@@ -29,6 +29,8 @@ def latest(df: DataFrame, keys: list[str], order: list[Column], n: int, name: st
 def leave_last_out(ratings: DataFrame, n_test: int = 2, n_val: int = 2, min_rows: int = 10) -> DataFrame:
     """Split code per rating: last `n_test` of a user to test, `n_val` before them to validation.
 
+    Expects one rating per user and item.
+
     Only the few latest rows of a user need a rank, so the window works on those; counts come
     from a plain aggregation, and the rest is joined back on the pair.
     """

@@ -22,6 +22,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -91,10 +91,11 @@ def matrix(ratings):
     return x
 
 
-@pytest.mark.parametrize("blocks", [(256, 4096), (7, 9)])
-@pytest.mark.parametrize("limit", [4_000_000, 0])
-def test_neighbours_equal_dense_product(ratings, blocks, limit, monkeypatch):
-    monkeypatch.setattr(K, "SPARSE_LIMIT", limit)
+@pytest.mark.parametrize("blocks", [(256, 4096, 1000), (7, 9, 10), (7, 9, 0)])
+@pytest.mark.parametrize("limits", [(4_000_000, 1 << 24), (100, 1 << 24), (100, 0)])
+def test_neighbours_equal_dense_product(ratings, blocks, limits, monkeypatch):
+    monkeypatch.setattr(K, "SPARSE_LIMIT", limits[0])
+    monkeypatch.setattr(K, "DENSE_LIMIT", limits[1])
     got = K.cosine_neighbours(ratings, "movieId", "userId", 5, *blocks).toPandas()
     x = matrix(ratings)
     unit = x / np.maximum(np.linalg.norm(x, axis=0), 1e-12)
