@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablewright.llm import suffix_dedup
+from tablewright.llm import chat, minhash_join, mixing, suffix_dedup
 from tablewright.llm.common import table
 
 
@@ -15,6 +16,109 @@ def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.remove_repeats(docs, length=100, keep_bytes=False)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_suffix_dedup": op2_suffix_dedup}
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    return mixing.mixture(docs).select("doc_id", "size", "source_size", "target", "taken")
 
-SQL: dict[str, str] = {}
+
+OP5_SQL = r"""
+WITH sizes AS (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+), totals AS (
+    SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n_docs,
+        [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1] AS weight
+    FROM sizes GROUP BY source
+), caps AS (
+    SELECT *, 2.0::DOUBLE * source_size AS cap, 1.5::DOUBLE * sum(source_size) OVER ()::DOUBLE AS budget FROM totals
+), levels AS (  -- the level if a source and all that cap out before it are capped
+    SELECT *, coalesce(sum(cap) OVER before, 0.0) AS held, sum(weight) OVER () - coalesce(sum(weight) OVER before, 0.0) AS free
+    FROM caps WINDOW before AS (ORDER BY cap / weight, encode(source) NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+    SELECT (budget - held) / free AS level FROM levels WHERE (budget - held) / free <= cap / weight
+    ORDER BY cap / weight, encode(source) NULLS LAST LIMIT 1
+), targets AS (SELECT source, source_size, n_docs, least(cap, level * weight) AS target FROM caps, level
+), placed AS (
+    SELECT s.doc_id, s.source, s.size, t.source_size, t.target, md5('mix:' || coalesce(s.doc_id::VARCHAR, 'null')) AS key,
+        ('0x' || md5('mix:' || coalesce(s.doc_id::VARCHAR, 'null'))[1:8])::BIGINT % ceil(t.n_docs / 4096)::BIGINT AS piece,
+        CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS whole
+    FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+), parts AS (
+    SELECT *, CASE WHEN source_size > 0 THEN (target - whole * source_size) / source_size ELSE 0.0 END AS part,
+        sum(size) OVER (PARTITION BY source, piece ORDER BY key, size ROWS UNBOUNDED PRECEDING) AS upto FROM placed
+), pieces AS (
+    SELECT source, piece, part, sum(size) AS piece_size, sum(sum(size)) OVER (PARTITION BY source ORDER BY piece) AS piece_upto
+    FROM parts GROUP BY source, piece, part
+)
+SELECT p.doc_id, p.size, p.source_size, p.target, (p.whole * p.size + greatest(0, least(p.size,
+    floor(q.piece_upto * q.part) - floor((q.piece_upto - q.piece_size) * q.part) - p.upto + p.size)))::BIGINT AS taken
+FROM parts p JOIN pieces q ON p.source IS NOT DISTINCT FROM q.source AND p.piece = q.piece
+"""
+
+
+def op6_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return minhash_join.near_duplicates(docs, words=5, threshold=0.8)
+
+
+OP6_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), grams AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN [list_aggregate(w[i:i + 4], 'string_agg', ' ') FOR i IN range(1, len(w) - 3)]
+        WHEN len(w) > 0 THEN [list_aggregate(w, 'string_agg', ' ')] ELSE [] END) AS g FROM words
+), sizes AS (SELECT doc_id, count(*) AS n, md5(string_agg(g, chr(10) ORDER BY g)) AS grams FROM grams GROUP BY doc_id
+), pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE common * 10 >= 8 * (x.n + y.n - common)
+), both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN both_ways l ON r.other = l.a
+), classes AS (SELECT doc_id, min(other) AS class_id FROM reach GROUP BY doc_id
+), counts AS (SELECT a AS doc_id, count(*) AS n_links FROM both_ways GROUP BY a)
+SELECT d.doc_id, coalesce(min(d.doc_id) OVER (PARTITION BY s.grams, CASE WHEN s.grams IS NULL THEN d.doc_id END), d.doc_id) AS set_id,
+    c.class_id, coalesce(n.n_links, 0) AS n_links
+FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN classes c USING (doc_id) LEFT JOIN counts n USING (doc_id)
+"""
+
+ANSWER = "</s>[INST] ok [/INST]"
+
+
+def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", ANSWER), (-7, 1, "assistant", ANSWER)], rows.schema)
+    made = chat.format_conversations(rows.unionByName(extra))
+    turns = F.transform(chat.read_turns(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    read = made.select("conv_id", "formatted", turns.alias("turns"), chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join("turns", ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+OP7_SQL = r"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), long AS (
+    SELECT *, length(replace(replace(role, '\', '\\'), '<|', '<\|')) AS role_chars,
+        length(replace(replace(text, '\', '\\'), '<|', '<\|')) AS text_chars,
+        lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) IS NOT DISTINCT FROM role AS joined FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(text_chars + CASE WHEN joined THEN 8 ELSE 8 + role_chars + 8 + 7 END)::BIGINT AS formatted_chars
+FROM long GROUP BY conv_id
+"""
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_suffix_dedup": op2_suffix_dedup,
+    "op5_mixing": op5_mixing,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_chat_format": op7_chat_format,
+}
+
+SQL: dict[str, str] = {"op5_mixing": OP5_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op7_chat_format": OP7_SQL}
