@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import chat, minhash_join, mixing, suffix_dedup
+from tablewright.llm import byte_bpe, chat, minhash_join, mixing, suffix_dedup, wavelet
 from tablewright.llm.common import table
+from tablewright.session import scratch_path
 
 
 def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,11 +116,25 @@ SELECT conv_id, count(*) AS n_turns,
 FROM long GROUP BY conv_id
 """
 
+
+def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return byte_bpe.encode_texts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, digests=True)
+
+
+def op9_wavelet_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    path = wavelet.write_tokens(docs, scratch_path(spark, "wavelet"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return wavelet.read_tokens(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op5_mixing": op5_mixing,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_chat_format": op7_chat_format,
+    "op8_byte_bpe": op8_byte_bpe,
+    "op9_wavelet_tokens": op9_wavelet_tokens,
 }
 
 SQL: dict[str, str] = {"op5_mixing": OP5_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op7_chat_format": OP7_SQL}
