@@ -22,6 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.llm.common import with_fields
 from tablewright.llm.words import cut_batches
 
 #: Pieces that a worker remembers, and pieces that one recursive query takes.
@@ -176,8 +177,6 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, text_column: st
         ranks_file = docs.sparkSession.sparkContext.broadcast(f.read())
     others = [c for c in docs.columns if c not in {text_column, "text", *fields.names}]
     rows = docs.select(*others, F.col(text_column).alias("text"))
-    schema = docs.select(*others).schema
-    for part in declared.split(", "):
-        schema = schema.add(*part.split(" "))
+    schema = with_fields(docs.select(*others).schema, declared)
     finish = _digests if digests else _ids
     return rows.mapInArrow(lambda b: _encode(b, ranks_file, pattern, finish, fields), schema)

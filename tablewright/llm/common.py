@@ -11,6 +11,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tablewright.sources.tables import stored
 
@@ -24,6 +25,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def with_fields(schema: StructType, ddl: str) -> StructType:
+    """The schema with further fields."""
+    return StructType(schema.fields + StructType.fromDDL(ddl).fields)
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

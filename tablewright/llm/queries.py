@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import byte_bpe, chat, minhash_join, mixing, suffix_dedup, wavelet
+from tablewright.llm import byte_bpe, chat, metric_join, minhash_join, mixing, multi_index, suffix_dedup, wavelet
 from tablewright.llm.common import table
 from tablewright.session import scratch_path
 
@@ -18,6 +18,11 @@ def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.remove_repeats(docs, length=100, keep_bytes=False)
 
 
+def op3_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return multi_index.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     return mixing.mixture(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -128,13 +133,35 @@ def op9_wavelet_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return wavelet.read_tokens(spark, path)
 
 
+def op10_metric_range_join(spark: SparkSession, folder: str) -> DataFrame:
+    return metric_join.near_vectors(table(spark, folder, "embeddings").select("vec_id", "embedding", "label"), cosine=0.98)
+
+
+OP10_SQL = """
+WITH RECURSIVE good AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS norm
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.98
+), reach AS (
+    SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a
+), components AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id
+), counts AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN components c USING (vec_id) LEFT JOIN counts n USING (vec_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_multi_index": op3_multi_index,
     "op5_mixing": op5_mixing,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_chat_format": op7_chat_format,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_wavelet_tokens": op9_wavelet_tokens,
+    "op10_metric_range_join": op10_metric_range_join,
 }
 
-SQL: dict[str, str] = {"op5_mixing": OP5_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op7_chat_format": OP7_SQL}
+SQL: dict[str, str] = {"op5_mixing": OP5_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op7_chat_format": OP7_SQL, "op10_metric_range_join": OP10_SQL}

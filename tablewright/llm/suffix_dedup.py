@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import (
-    block_count, by_block, byte_column, from_ipc, mix, pack, spread, text_bytes, to_ipc, unpack_all,
+    block_count, by_block, byte_column, from_ipc, mix, pack, spread, text_bytes, to_ipc, unpack_all, with_fields,
 )
 from tablewright.sources.tables import stored
 
@@ -469,10 +469,9 @@ def remove_repeats(
         .groupBy("block").applyInPandas(lambda rows: _compare(rows, length, blocks), "block int, blob binary")
     )
     every = marks.withColumn("kind", F.lit(0)).unionByName(found.withColumn("kind", F.lit(1)))
-    schema = docs.select(*extra).schema
-    for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string"), ("kept", "binary")):
-        if name in made:
-            schema = schema.add(name, kind)
+    schema = with_fields(
+        docs.select(*extra).schema, "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes
+    )
     arrow = pa.schema([_arrow_field(f) for f in schema])
     packed = numbered.mapInArrow(lambda rows: _packed_documents(rows, blocks), "block int, blob binary")
     return (
