@@ -17,6 +17,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablewright.llm.words import cut_batches
 from tablewright.sources.tables import stored
 
 #: A word, as sizes count them.
@@ -117,19 +118,24 @@ def first_words(text: str, words: int) -> str:
 
 
 def _repetitions(batches: Iterator[pa.RecordBatch], text: str, length: str | None, columns: list[str]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch, _, _ in cut_batches(batches, text):
         size, taken = batch.column("_size").to_pylist(), batch.column("_taken").to_pylist()
-        texts = batch.column(text)
-        for at, (s, t) in enumerate(zip(size, taken, strict=True)):
+        rows, begun = [], {}
+        for row, (s, t) in enumerate(zip(size, taken, strict=True)):
             whole, rest = divmod(t, s) if s else (0, 0)
-            for words in [s] * whole + [rest] * (rest > 0):
-                value = texts[at].as_py()
-                value = value if words == s else first_words(value, words)
-                row = {c: batch.column(c).slice(at, 1) for c in columns}
-                row[text] = pa.array([value], texts.type)
-                if length:
-                    row[length] = pa.array([len(value)], batch.column(length).type)
-                yield pa.RecordBatch.from_arrays([row[c] for c in columns], columns)
+            rows += [row] * whole
+            if rest:
+                begun[len(rows)] = rest
+                rows.append(row)
+        out = pa.Table.from_batches([batch.select(columns)]).take(pa.array(rows, pa.int64()))
+        texts = out[text].to_pylist()
+        for at, words in begun.items():
+            texts[at] = first_words(texts[at], words)
+        out = out.set_column(columns.index(text), text, pa.array(texts, out.schema.field(text).type))
+        if length and begun:
+            chars = [len(texts[at]) if at in begun else n for at, n in enumerate(out[length].to_pylist())]
+            out = out.set_column(columns.index(length), length, pa.array(chars, out.schema.field(length).type))
+        yield from out.to_batches()
 
 
 def repeat_documents(docs: DataFrame, plan: DataFrame, id_column: str = "doc_id", text_column: str = "text",

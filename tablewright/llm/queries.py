@@ -8,14 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import byte_bpe, chat, metric_join, minhash_join, mixing, multi_index, suffix_dedup, wavelet
+from tablewright.llm import byte_bpe, chat, importance, main_text, metric_join, minhash_join, mixing, multi_index, suffix_dedup, wavelet
 from tablewright.llm.common import table
 from tablewright.session import scratch_path
 
 
+def op1_html_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+
+
 def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return suffix_dedup.remove_repeats(docs, length=100, keep_bytes=False)
+    return suffix_dedup.remove_repeats(docs, length=100)
 
 
 def op3_multi_index(spark: SparkSession, folder: str) -> DataFrame:
@@ -23,6 +27,15 @@ def op3_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     return multi_index.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
 
 
+def op4_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that the sample takes."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scores = importance.score(docs, importance.fit(docs, table(spark, folder, "labels")))
+    least = importance.threshold(scores)
+    taken = scores.where(F.lit(False) if least is None else F.col("place") >= least)
+    return taken.select(F.col("id").alias("doc_id"), "log_weight", "key", F.lit(True).alias("kept"))
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     return mixing.mixture(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -154,8 +167,10 @@ FROM embeddings e JOIN components c USING (vec_id) LEFT JOIN counts n USING (vec
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_main_text": op1_html_main_text,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_multi_index": op3_multi_index,
+    "op4_importance_resampling": op4_importance_resampling,
     "op5_mixing": op5_mixing,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_chat_format": op7_chat_format,

@@ -420,26 +420,34 @@ def _cut(docs: pd.DataFrame, marks: pd.DataFrame, length: int, schema: pa.Schema
     opens[begins[(begins < len(gone))]] = gone[begins[(begins < len(gone))]]
     spans = np.r_[0, np.cumsum(opens)]
     left = [data[a:b][~gone[a:b]].tobytes() for a, b in zip(begins, ends, strict=True)]
+    texts: list[str] = []
+    if "kept" in schema.names:
+        character = np.cumsum((data & 0xC0) != 0x80) - 1
+        harmed = np.zeros(int(character[-1]) + 1 if len(data) else 0, bool)
+        harmed[character[gone]] = True
+        whole_left = ~harmed[character]
+        texts = [data[a:b][whole_left[a:b]].tobytes().decode() for a, b in zip(begins, ends, strict=True)]
     columns = {
         "n_bytes": ends - begins, "n_removed": total[ends] - total[begins], "n_spans": spans[ends] - spans[begins],
-        "kept_sha256": [hashlib.sha256(x).hexdigest() for x in left], "kept": left,
+        "kept_sha256": [hashlib.sha256(x).hexdigest() for x in left], "kept": texts,
     }
     return pa.table([pa.array(columns[f.name], f.type) if f.name in columns else whole[f.name].cast(f.type) for f in schema], schema=schema)
 
 
 def remove_repeats(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = 100, keep_bytes: bool = True
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = 100, keep_text: bool = False
 ) -> DataFrame:
     """Every document with the bytes that remain once repeated `length`-byte strings are cut.
 
-    Adds n_bytes, n_removed, n_spans, kept_sha256 and, with `keep_bytes`, the remaining bytes as
-    `kept` (the text column itself is left out). Input columns of these names give way.
+    Adds n_bytes, n_removed, n_spans, kept_sha256 (of the remaining bytes) and, with `keep_text`,
+    the remaining text as `kept`, without characters that lost a byte. The text column itself is
+    left out; input columns with the names of results give way.
 
     Null texts are empty. A null id counts as the smallest. Rows that repeat an id are separate
     documents, ordered by their text. Documents shorter than `length` stay whole.
     """
     spark = docs.sparkSession
-    made = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if keep_bytes else [])]
+    made = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if keep_text else [])]
     extra = [c for c in docs.columns if c not in {text_column, *made, "_ord", "_copy", "text"}]
     numbered = docs.select(
         F.coalesce(F.col(id_column).cast("long"), F.lit(-(2**63))).alias("_ord"), F.lit(0).alias("_copy"),
@@ -470,7 +478,7 @@ def remove_repeats(
     )
     every = marks.withColumn("kind", F.lit(0)).unionByName(found.withColumn("kind", F.lit(1)))
     schema = with_fields(
-        docs.select(*extra).schema, "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes
+        docs.select(*extra).schema, "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * keep_text
     )
     arrow = pa.schema([_arrow_field(f) for f in schema])
     packed = numbered.mapInArrow(lambda rows: _packed_documents(rows, blocks), "block int, blob binary")
