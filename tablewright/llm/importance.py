@@ -2,7 +2,8 @@
 
 Both sides are bags of hashed unigrams and bigrams with a fixed number of buckets. The raw model
 counts every document; the target model counts documents that a bounded sample of labels calls
-good. A document's log weight is the sum of its n-grams' log ratios. Gumbel noise, seeded by the
+good. A document's log weight is the sum of its n-grams' log ratios, less an offset per n-gram that
+held-out labels set. Gumbel noise, seeded by the
 id, turns the k largest sums into a weighted sample without replacement.
 """
 
@@ -58,18 +59,54 @@ def _counts(batches: Iterator[pa.RecordBatch], good: np.ndarray) -> Iterator[pa.
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(raw[used]), pa.array(target[used])], ["bucket", "raw", "target"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", labelled: int = LABELS) -> np.ndarray:
-    """Log ratio of each bucket. Good: quality 1 and not toxic; at most `labelled` labels are used.
+def _means(batches: Iterator[pa.RecordBatch], ratios: np.ndarray, chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Mean log ratio of the chosen documents' n-grams."""
+    for batch in batches:
+        batch = batch.filter(pa.array(np.isin(batch.column("id").to_numpy(zero_copy_only=False), chosen)))
+        for part, data, offsets in cut_batches([batch]):
+            buckets, doc = ngram_buckets(data, offsets)
+            count = np.bincount(doc, minlength=part.num_rows)
+            mean = np.bincount(doc, ratios[buckets], part.num_rows) / np.maximum(count, 1)
+            full = pa.array(count > 0)
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(mean)], ["id", "mean"]).filter(full)
+
+
+def best_cut(means: np.ndarray, good: np.ndarray) -> float:
+    """The mean log ratio that parts good from bad best: largest sum of both shares that fall on their side."""
+    if not good.any():
+        return 0.0
+    if good.all():
+        return float(min(0.0, means.min()))
+    order = np.argsort(means, kind="stable")
+    means, good = means[order], good[order]
+    bad_below = np.r_[0, np.cumsum(~good)] / (~good).sum()
+    good_above = 1 - np.r_[0, np.cumsum(good)] / good.sum()
+    edges = np.r_[means[0] - 1, (means[1:] + means[:-1]) / 2, means[-1] + 1]
+    real = np.r_[True, means[1:] > means[:-1], True]
+    return float(edges[np.where(real, bad_below + good_above, -1).argmax()])
+
 
-    Without good labels all ratios are 0. Labels with null ids or null quality are passed over.
+def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", labelled: int = LABELS) -> np.ndarray:
+    """Log ratio of each bucket, less an offset per n-gram.
+
+    Half of the labelled documents, dealt by the hash of their ids, show the target: those of
+    quality 1 that are not toxic. A document that the target model has not seen looks unlikely for
+    that alone, the more so the fewer labels there are; the other half of the labels therefore sets
+    the offset, where good and bad documents part best. At most `labelled` labels are used. Without
+    good labels all ratios are 0. Labels with null ids or null quality are passed over; of several
+    labels of a document the worst holds.
     """
     sample = labels.where(F.col(id_column).isNotNull() & F.col("quality").isNotNull()).groupBy(F.col(id_column).cast("long").alias("id")).agg(
         F.min("quality").alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic")
     )
-    chosen = sample.orderBy(F.xxhash64("id"), "id").limit(labelled).where("quality = 1 and toxic = 0").select("id")
-    good = np.sort(np.array([r[0] for r in chosen.collect()], np.int64))
-    rows = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(_NO_ID)).alias("id"), F.col(text_column).alias("text"))
-    found = rows.mapInArrow(lambda b: _counts(b, good), "bucket long, raw long, target long").groupBy("bucket").agg(
+    rows = sample.orderBy(F.xxhash64("id"), "id").limit(labelled).collect()
+    ids = np.array([r["id"] for r in rows], np.int64)
+    fine = np.array([r["quality"] == 1 for r in rows], bool)
+    clean = np.array([r["toxic"] == 0 for r in rows], bool)
+    shown = mix(ids.view(np.uint64)) & np.uint64(1) == 1
+    target_ids = np.sort(ids[shown & fine & clean])
+    texts = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(_NO_ID)).alias("id"), F.col(text_column).alias("text"))
+    found = texts.mapInArrow(lambda b: _counts(b, target_ids), "bucket long, raw long, target long").groupBy("bucket").agg(
         F.sum("raw").alias("raw"), F.sum("target").alias("target")
     )
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
@@ -77,7 +114,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
         raw[row["bucket"]], target[row["bucket"]] = row["raw"], row["target"]
     if not target.sum():
         return np.zeros(BUCKETS)
-    return np.log((target + 1) / (target.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
+    ratios = np.log(target + 1) - np.log(raw * (target.sum() / raw.sum()) + 1)
+    held, quality = ids[~shown], dict(zip(ids.tolist(), fine.tolist(), strict=True))
+    means = texts.mapInArrow(lambda b: _means(b, ratios, np.sort(held)), "id long, mean double").toPandas()  # labelled rows only
+    if means.empty:
+        return ratios
+    means = means.sort_values(["mean", "id"])
+    return ratios - best_cut(means["mean"].to_numpy(), np.array([quality[i] for i in means["id"]], bool))
 
 
 def _scores(batch: pa.RecordBatch, ids: str, data: np.ndarray, offsets: np.ndarray, ratios: np.ndarray, seed: int, noise: float) -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +172,7 @@ def score(docs: DataFrame, ratios: np.ndarray, id_column: str = "doc_id", text_c
 def threshold(scores: DataFrame, k: int | None = None) -> int | None:
     """The place from which documents are taken: the k largest keys.
 
-    By default k is the number of documents that are at least as likely target text as raw text.
+    By default k is the number of documents with a log weight of 0 or more.
     Equal keys at the end are all taken. None if nothing is to be taken.
     """
     total, likely = scores.agg(F.count("*"), F.count_if(F.col("log_weight") >= 0)).first()

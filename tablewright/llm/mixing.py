@@ -155,6 +155,5 @@ def repeat_documents(docs: DataFrame, plan: DataFrame, id_column: str = "doc_id"
         found, F.col(id_column).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")) & F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_repeat") == F.col("_r"))
     )
     length = length_column if length_column in docs.columns else None
-    return joined.select(*docs.columns, "_size", "_taken").mapInArrow(
-        lambda b: _repetitions(b, text_column, length, docs.columns), docs.schema
-    )
+    columns = docs.columns
+    return joined.select(*columns, "_size", "_taken").mapInArrow(lambda b: _repetitions(b, text_column, length, columns), docs.schema)
