@@ -85,9 +85,11 @@ def unpack_all(blobs: Sequence[bytes], kinds: Sequence[str]) -> list[np.ndarray]
 
 def by_block(block: np.ndarray, columns: Sequence[np.ndarray]) -> Iterator[tuple[int, list[np.ndarray]]]:
     """The rows of each block number, in their given order."""
+    if not len(block):
+        return
     order = np.argsort(block, kind="stable")
     block = block[order]
-    starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(block) else []
+    starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
     for a, b in zip(starts, [*starts[1:], len(block)], strict=True):
         rows = order[a:b]
         yield int(block[a]), [c[rows] for c in columns]
