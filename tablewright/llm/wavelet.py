@@ -10,9 +10,7 @@ that any store that Spark writes to will do.
 
 from __future__ import annotations
 
-import json
 import math
-import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -24,15 +22,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import block_count, by_block, pack, text_bytes, unpack_all
+from tablewright.llm.word_tokens import Runs, WordTokens
 from tablewright.llm.words import cut_batches
 from tablewright.sources.tables import save_parquet
 
 MAGIC = b"WAVELET1"
 _BLOCK = 512  # bits between stored counts of ones
 _NO_ID = -(2**63)
-#: Words that a worker remembers with their ids.
-MEMO_WORDS = 500_000
-_CLOSING = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'  # ASCII punctuation but the apostrophe, with which contractions begin
 _DOC = ("i8", "i8")  # id, number of tokens
 
 
@@ -154,68 +150,7 @@ def read_shard(raw: bytes) -> tuple[np.ndarray, np.ndarray, WaveletMatrix]:
     return np.frombuffer(documents, "<i8", n), np.frombuffer(documents, "<i8", n, 8 * n), WaveletMatrix.from_bytes(raw[24 + wide:])
 
 
-class _Words:
-    """One worker's tokenizer, and the ids of words it has seen.
-
-    White space parts words for good, so each run without ASCII white space may be encoded by
-    itself. Most runs are letters and perhaps closing punctuation: the tokenizer parts these too,
-    and ends every run of letters with a token of its own kind, so thousands of runs are encoded in
-    one call and cut apart afterwards. Whatever is not of this form is encoded run by run.
-    """
-
-    def __init__(self, tokenizer_file: str) -> None:
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(tokenizer_file)
-        # Strings of special tokens in a text are ordinary text.
-        self.tokenizer.encode_special_tokens = True
-        suffix = json.loads(tokenizer_file)["model"].get("end_of_word_suffix") or ""
-        vocabulary = self.tokenizer.get_vocab()
-        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
-        if suffix:
-            self.closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-        self.ids: dict[bytes, bytes] = {}
-
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.ids]
-        if len(self.ids) + len(new) > MEMO_WORDS:
-            self.ids = {}
-            new = list(words)
-        parted, rest = [], []
-        for word in new:
-            text = word.decode()
-            letters = text.rstrip(_CLOSING).lower()
-            if letters and letters.isalpha() and text[:len(letters)].isalpha() and unicodedata.is_normalized("NFC", text):
-                parted.append((word, letters.encode(), text[len(letters):].encode()))
-            else:
-                rest.append(word)
-        self._together({x for _, x, _ in parted} - self.ids.keys())
-        self._one_by_one(({x for _, _, x in parted} | set(rest)) - self.ids.keys())
-        for word, letters, closing in parted:
-            self.ids[word] = self.ids[letters] + self.ids[closing]
-
-    def _together(self, words: set[bytes]) -> None:
-        every = list(words)
-        for at in range(0, len(every), 4096):
-            part = every[at:at + 4096]
-            (made,) = self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)
-            ids = np.array(made.ids, "<u4")
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) != len(part):
-                self._one_by_one(set(part))
-                continue
-            raw, ends = ids.tobytes(), (4 * ends).tolist()
-            self.ids.update(zip(part, (raw[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
-
-    def _one_by_one(self, words: set[bytes]) -> None:
-        every = list(words)
-        for at in range(0, len(every), 4096):
-            part = every[at:at + 4096]
-            for word, made in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                self.ids[word] = np.array(made.ids, "<u4").tobytes()
-
-
-_workers: dict[int, _Words] = {}
+_workers: dict[int, WordTokens] = {}
 
 
 def _encode(
@@ -226,21 +161,18 @@ def _encode(
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     key = hash(tokenizer.value)
     if key not in _workers:
-        _workers[key] = _Words(tokenizer.value)
-    memo, end = _workers[key], np.array([end_id], "<u4").tobytes()
+        _workers[key] = WordTokens(tokenizer.value)
     for batch, data, offsets in cut_batches(batches):
-        raw = data.tobytes()
-        words = [raw[a:b].split() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-        memo.learn({w for own in words for w in own})
-        found = [b"".join(map(memo.ids.__getitem__, own)) + end for own in words]
+        found = _workers[key].encode(data, offsets)
+        ends = np.cumsum(found.sizes)
+        found = Runs(np.insert(found.values, ends, np.uint32(end_id)), found.sizes + 1)
         ids = batch.column("id").to_numpy(zero_copy_only=False).astype("i8")
         shards, blobs = [], []
         for shard, (at,) in by_block(np.searchsorted(cuts, ids, "right").astype(np.int32), [np.arange(len(ids))]):
-            tokens = np.frombuffer(b"".join([found[i] for i in at]), "<u4")
-            sizes = np.array([len(found[i]) // 4 for i in at], "i8")
-            head = pack([ids[at], sizes])
+            own = found.take(at)
+            head = pack([ids[at], own.sizes])
             shards.append(shard)
-            blobs.append(len(head).to_bytes(8, "little") + head + pack([tokens]))
+            blobs.append(len(head).to_bytes(8, "little") + head + pack([own.values]))
         yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "blob"])
 
 
