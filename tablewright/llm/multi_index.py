@@ -146,7 +146,10 @@ def nearest(
         return spark.createDataFrame([], shape) if sizes is None else _plain(every.where("size(vector) = 1"), clean(queries), k)
     d, total = sizes["d"], sizes["count"]
     every = every.where(F.size("vector") == d)
-    asked = clean(queries).where(F.size("vector") == d).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    asked = clean(queries).where(F.size("vector") == d)
+    blocks = max(1, math.ceil(asked.count() / BLOCK))
+    # Walks are long for their few bytes: so many tasks as blocks, whatever the size of the shuffle.
+    asked = asked.repartition(blocks, "vec_id").groupBy("vec_id").agg(F.min("vector").alias("vector"))
     some = matrix(every.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(sample).select("vector").toPandas()["vector"])
     half = d // 2
     first, second = k_means(some[:, :half], centroids), k_means(some[:, half:], centroids)
@@ -159,7 +162,6 @@ def nearest(
         counts[row["cell"]] = row["count"]
     begins = np.cumsum(counts) - counts
     wanted = math.ceil(visit * total)
-    blocks = max(1, math.ceil(asked.count() / BLOCK))
     planned = asked.mapInArrow(
         lambda b: _plan(b, first, second, half, counts, wanted), with_fields(asked.schema, "bits binary, shards array<long>")
     ).select(
