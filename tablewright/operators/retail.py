@@ -85,7 +85,8 @@ def additive_forecast(series: DataFrame, keys: list[str], horizon: int = 30) ->
 def autoregressive_forecast(series: DataFrame, keys: list[str], horizon: int = 30) -> DataFrame:
     """Second-order autoregression on day-to-day changes, rolled forward.
 
-    A group is one daily series, so its size is the number of days, not of sales.
+    A group is one daily series, so its size is the number of days, not of sales. Fewer than five changes fit no
+    model: the forecast is then the last value.
     """
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in series.schema.fields if f.name in keys)
 

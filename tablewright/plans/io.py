@@ -47,7 +47,7 @@ def _(t):
     return back.groupBy(F.year("tagged_at").alias("year")).agg(F.count("*").alias("n"), F.count_distinct("tag").alias("tags"))
 
 
-@query("io01_csv_movies", "movies", "select movieId::int as movieId, title, genres from movies")
+@query("io01_csv_movies", "movies", "select movieId::bigint as movieId, title, genres from movies")
 def _(t):
     path = IO.save_csv(t.movies, scratch_path(t.spark, "io01-movies"))
     return IO.read_csv(t.spark, path, S.MOVIES)

@@ -318,8 +318,10 @@ def _(t):
 
 @query("tx10_clusters", "")
 def _(t):
-    flat = t.embeddings.select("vec_id", "embedding", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)])
-    assigned = M.kmeans(flat, [f"e{i}" for i in range(64)], 8)
+    width = t.embeddings.agg(F.max(F.size("embedding"))).first()[0]
+    names = [f"e{i}" for i in range(width)]
+    flat = t.embeddings.select("vec_id", "embedding", *[F.col("embedding")[i].cast("double").alias(name) for i, name in enumerate(names)])
+    assigned = M.kmeans(flat, names, 8)
     return M.project(assigned.select("vec_id", "cluster", "embedding"), "embedding", 2).select("vec_id", "cluster", "pc1", "pc2")
 
 

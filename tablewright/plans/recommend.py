@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tablewright.operators import recsys as K
 from tablewright.operators import retrieval as V
 from tablewright.operators import windows as W
-from tablewright.operators.sampling import cap_users
 from tablewright.operators.text import relevance_vectors, tag_relevance
 from tablewright.plans.columns import r6
 from tablewright.plans.registry import query
@@ -23,14 +22,12 @@ def unit_sql(v):
     return f"list_transform({v}, lambda x : x / sqrt(list_sum(list_transform({v}, lambda y : y * y))))"
 
 
-@query("rc01_interactions", "ratings", f"""
-with cap as (select userId from (select distinct userId from ratings) order by {BUCKET('cast(userId as varchar)')}, userId limit 1000),
-r as (select * from ratings where userId in (select userId from cap)),
-u as (select userId, cast(row_number() over (order by userId) - 1 as int) as user_index from (select distinct userId from r)),
-i as (select movieId, cast(row_number() over (order by movieId) - 1 as int) as item_index from (select distinct movieId from r))
-select userId, movieId, rating, user_index, item_index from r join u using (userId) join i using (movieId)""")
+@query("rc01_interactions", "ratings", """
+with u as (select userId, cast(row_number() over (order by userId) - 1 as int) as user_index from (select distinct userId from ratings)),
+i as (select movieId, cast(row_number() over (order by movieId) - 1 as int) as item_index from (select distinct movieId from ratings))
+select userId, movieId, rating, user_index, item_index from ratings join u using (userId) join i using (movieId)""")
 def _(t):
-    return K.interactions(cap_users(t.ratings, "userId", 1000))
+    return K.interactions(t.ratings)
 
 
 @query("rc02_mean_predictors", "ratings", f"""
@@ -241,12 +238,13 @@ def _(t):
     return s.select("userId", *[F.array_join(F.col(c).cast("array<string>"), " ").alias(c) for c in ("input", "target")])
 
 
-@query("jn08_exclude_seen", "ratings", f"with {SPLIT_SQL} select userId, movieId from te where movieId not in (select movieId from tr where tr.userId = te.userId)")
+@query("jn08_exclude_seen", "ratings tags", f"""
+with {SPLIT_SQL} select userId, movieId from (select distinct userId, movieId from tags) anti join tr using (userId, movieId)""")
 def _(t):
     from tablewright.operators.relations import without_pairs
 
-    split = split_ratings(t)
-    return without_pairs(split.where("split = 2").select("userId", "movieId"), split.where("split = 0"), ["userId", "movieId"])
+    tagged = t.tags.select("userId", "movieId").distinct()
+    return without_pairs(tagged, split_ratings(t).where("split = 0"), ["userId", "movieId"])
 
 
 @query("jn09_metadata_lookup", "ratings movies", f"""

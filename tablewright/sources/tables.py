@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.session import scratch_path
-from tablewright.sources.schemas import BUILDING_TEXT, RATINGS, TAGS
+from tablewright.sources.schemas import BUILDING_TEXT, FILM_LINKS, GENOME_SCORES, GENOME_TAGS, RATINGS, TAGS
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> DataFrame:
-    """CSV with a header and a declared schema; nothing is scanned before the query runs."""
-    return spark.read.schema(schema).csv(path, header=True, sep=sep, escape='"', encoding="UTF-8")
+    """CSV with a header and a declared schema; nothing is scanned before the query runs.
+
+    A value that does not fit its type ends the query: it never becomes null silently.
+    """
+    return spark.read.schema(schema).csv(path, header=True, sep=sep, escape='"', encoding="UTF-8", mode="FAILFAST")
 
 
 def with_moment(df: DataFrame, epoch: str = "timestamp", name: str = "rated_at", year: bool = True) -> DataFrame:
@@ -29,6 +32,18 @@ def read_tags(spark: SparkSession, path: str) -> DataFrame:
     return with_moment(read_csv(spark, path, TAGS), name="tagged_at", year=False)
 
 
+def read_genome_scores(spark: SparkSession, path: str) -> DataFrame:
+    return read_csv(spark, path, GENOME_SCORES)
+
+
+def read_genome_tags(spark: SparkSession, path: str) -> DataFrame:
+    return read_csv(spark, path, GENOME_TAGS)
+
+
+def read_film_links(spark: SparkSession, path: str) -> DataFrame:
+    return read_csv(spark, path, FILM_LINKS)
+
+
 def read_buildings(spark: SparkSession, path: str) -> DataFrame:
     """Known text columns stay text, the first unnamed column becomes `row_id`."""
     df = spark.read.csv(path, header=True, inferSchema=True, encoding="UTF-8")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from tablewright.sources import tables
 from tablewright.operators import aggregates as A
 from tablewright.operators import columns as C
 from tablewright.operators import equity as Q
@@ -163,3 +164,18 @@ def test_basket_tiers_close_on_the_right(spark):
 def test_booleans_from_text(spark):
     df = spark.createDataFrame([(1, "True"), (2, "f"), (3, "yes"), (4, None)], "i int, s string")
     assert values(df.select("i", C.text_to_boolean("s").alias("b")), "b", "i") == [True, False, None, None]
+
+
+def test_ids_above_32_bits_survive_the_reader(spark, tmp_path):
+    (tmp_path / "ratings.csv").write_text("userId,movieId,rating,timestamp\n3000000000,1,4.5,0\n1,4000000000,3.0,0\n")
+    rows = tables.read_ratings(spark, str(tmp_path / "ratings.csv")).collect()
+    assert {(r["userId"], r["movieId"]) for r in rows} == {(3000000000, 1), (1, 4000000000)}
+
+
+def test_genome_and_link_readers(spark, tmp_path):
+    (tmp_path / "scores.csv").write_text("movieId,tagId,relevance\n1,40000,0.5\n")
+    (tmp_path / "tags.csv").write_text("tagId,tag\n40000,space opera\n")
+    (tmp_path / "links.csv").write_text("movieId,imdbId,tmdbId\n1,0114709,862\n")
+    assert [tuple(r) for r in tables.read_genome_scores(spark, str(tmp_path / "scores.csv")).collect()] == [(1, 40000, 0.5)]
+    assert [tuple(r) for r in tables.read_genome_tags(spark, str(tmp_path / "tags.csv")).collect()] == [(40000, "space opera")]
+    assert [tuple(r) for r in tables.read_film_links(spark, str(tmp_path / "links.csv")).collect()] == [(1, "0114709", "862")]
