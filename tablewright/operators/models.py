@@ -201,8 +201,29 @@ def positive_probability(df: DataFrame, name: str = "score") -> DataFrame:
     return df.withColumn(name, vector_to_array("probability")[1])
 
 
+def held_out_scores(estimator: Estimator, df: DataFrame, fold: str, k: int) -> DataFrame:
+    """Every row with the `score` of a model fitted on the other folds."""
+    parts = []
+    for i in range(k):
+        model = fitted(estimator, df.where(F.col(fold) != i))
+        parts.append(positive_probability(model.transform(df.where(F.col(fold) == i))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def calibrated_scores(estimator: Estimator, train: DataFrame, y: str, fold: str, rows: DataFrame, k: int = 3) -> DataFrame:
+    """`calibrated`: mean of k classifiers, each fitted outside a fold and mapped by an isotonic fit on that fold."""
+    out, names = rows, [f"_c{i}" for i in range(k)]
+    for i, name in enumerate(names):
+        model = fitted(estimator, train.where(F.col(fold) != i))
+        held = positive_probability(model.transform(train.where(F.col(fold) == i)), "_s")
+        iso = IsotonicRegression(featuresCol="_s", labelCol=y, predictionCol=name)
+        steps = fitted(iso, held.select("_s", F.col(y).cast("double").alias(y)))
+        out = steps.transform(positive_probability(model.transform(out), "_s")).drop("_s", "rawPrediction", "probability", "prediction")
+    return out.withColumn("calibrated", reduce(lambda a, b: a + b, [F.col(n) for n in names]) / k).drop(*names)
+
+
 def calibrate(df: DataFrame, y: str, score: str, fold: str, k: int = 3) -> DataFrame:
-    """Mean of k isotonic fits, each on the rows outside one fold."""
+    """Mean of k isotonic fits of given scores, each on the rows outside one fold."""
     out = df
     names = []
     for i in range(k):
@@ -298,7 +319,7 @@ def factor_topk(train: DataFrame, factors: tuple[DataFrame, DataFrame], k: int =
     return vector_topk(factors[0], factors[1], k, seen=train)
 
 
-def residual_factors(train: DataFrame, rank: int, iterations: int):
+def residual_factors(train: DataFrame, rank: int = 64, iterations: int = 15):
     """Factors of what the bias model leaves of each rating."""
     left = mean_predictions(train, train.select("userId", "movieId", "rating"))
     return factor_model(left.withColumn("residual", F.col("rating") - F.col("bias")), rank, iterations, 0.1, False, "residual")

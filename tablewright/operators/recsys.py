@@ -78,9 +78,8 @@ def popularity_topk(train: DataFrame, users: DataFrame, k: int = 10) -> DataFram
 
 
 PAIR_SCHEMA = "a long, b long, part double"
-# Products expanded at a time, and cells of a matrix small enough to multiply densely.
-SPARSE_LIMIT = 4_000_000
-DENSE_LIMIT = 4096 * 4096
+# Products expanded at a time.
+SLICE = 4_000_000
 # Users with longer histories share blocks of this many users.
 HEAVY_USERS = 64
 
@@ -101,31 +100,23 @@ def _cell_products(left: pd.DataFrame, right: pd.DataFrame, same_block: bool) ->
     lx = left["x"].to_numpy()
     per_user = np.bincount(ru, minlength=len(users))
     reps = per_user[lu]
-    if reps.sum() > SPARSE_LIMIT and len(li) * len(ri) <= DENSE_LIMIT:
-        a, b = np.zeros((len(users), len(li))), np.zeros((len(users), len(ri)))
-        np.add.at(a, (lu, lcode), lx)
-        np.add.at(b, (ru, rcode), rx)
-        dense = a.T @ b
-        x, y = np.nonzero(dense)
-        sums = dense[x, y]
-    else:
-        order = np.argsort(ru, kind="stable")
-        starts = np.concatenate([[0], np.cumsum(per_user)])[:-1]
-        ends = np.cumsum(reps)
-        slices = np.unique(np.searchsorted(ends, np.arange(0, ends[-1] + SPARSE_LIMIT, SPARSE_LIMIT), side="left"))
-        edges = [0, *[int(e) for e in slices if 0 < e < len(lu)], len(lu)]
-        keys, sums = np.empty(0, dtype=np.int64), np.empty(0)
-        for lo, hi in zip(edges, edges[1:]):
-            r = reps[lo:hi]
-            lrow = lo + np.repeat(np.arange(hi - lo), r)
-            inside = np.arange(len(lrow)) - np.repeat(np.cumsum(r) - r, r)
-            rrow = order[np.repeat(starts[lu[lo:hi]], r) + inside]
-            if same_block:
-                once = li[lcode[lrow]] < ri[rcode[rrow]]
-                lrow, rrow = lrow[once], rrow[once]
-            part = _summed(lcode[lrow].astype(np.int64) * len(ri) + rcode[rrow], lx[lrow] * rx[rrow])
-            keys, sums = part if not len(keys) else _summed(np.concatenate([keys, part[0]]), np.concatenate([sums, part[1]]))
-        x, y = keys // len(ri), keys % len(ri)
+    order = np.argsort(ru, kind="stable")
+    starts = np.concatenate([[0], np.cumsum(per_user)])[:-1]
+    ends = np.cumsum(reps)
+    slices = np.unique(np.searchsorted(ends, np.arange(0, ends[-1] + SLICE, SLICE), side="left"))
+    edges = [0, *[int(e) for e in slices if 0 < e < len(lu)], len(lu)]
+    keys, sums = np.empty(0, dtype=np.int64), np.empty(0)
+    for lo, hi in zip(edges, edges[1:]):
+        r = reps[lo:hi]
+        lrow = lo + np.repeat(np.arange(hi - lo), r)
+        inside = np.arange(len(lrow)) - np.repeat(np.cumsum(r) - r, r)
+        rrow = order[np.repeat(starts[lu[lo:hi]], r) + inside]
+        if same_block:
+            once = li[lcode[lrow]] < ri[rcode[rrow]]
+            lrow, rrow = lrow[once], rrow[once]
+        part = _summed(lcode[lrow].astype(np.int64) * len(ri) + rcode[rrow], lx[lrow] * rx[rrow])
+        keys, sums = part if not len(keys) else _summed(np.concatenate([keys, part[0]]), np.concatenate([sums, part[1]]))
+    x, y = keys // len(ri), keys % len(ri)
     first, second = li[x], ri[y]
     # The smaller id comes first, so that cells of every kind name a pair alike.
     out = pd.DataFrame({"a": np.minimum(first, second), "b": np.maximum(first, second), "part": sums})
@@ -260,22 +251,20 @@ def _list_moments(users: DataFrame, items: DataFrame) -> DataFrame:
 
     The mean score is the product with the mean item, the variance a quadratic form of the item
     covariance. That matrix has (vector length)^2 entries whatever the number of items; it is
-    summed batch by batch.
+    summed batch by batch from centred vectors, so equal scores have no deviation.
     """
+    wide = items.select(F.col("embedding").cast("array<double>").alias("v"))
+    places = wide.select(F.posexplode("v").alias("cell", "x")).groupBy("cell").agg(F.avg("x").alias("m")).orderBy("cell")
+    mean = np.array([row["m"] for row in places.collect()])
+
     def gram(batches):
         for pdf in batches:
-            v = np.stack(pdf["embedding"].to_numpy()).astype(np.float64)
-            v = np.column_stack([v, np.ones(len(v))])
-            yield pd.DataFrame({"cell": np.arange(v.shape[1] ** 2), "part": (v.T @ v).ravel()})
-
-    cells = items.select("embedding").mapInPandas(gram, "cell int, part double").groupBy("cell").agg(F.sum("part").alias("part"))
-    # (vector length + 1)^2 numbers: a bound set by the model, not by the data.
-    flat = np.array([row["part"] for row in cells.orderBy("cell").collect()])
-    d = int(round(len(flat) ** 0.5))
-    square = flat.reshape(d, d)
-    n = square[-1, -1]
-    mean = square[:-1, -1] / n
-    cov = square[:-1, :-1] / n - np.outer(mean, mean)
+            v = np.stack(pdf["v"].to_numpy()) - mean
+            yield pd.DataFrame({"cell": np.arange(v.shape[1] ** 2), "part": (v.T @ v).ravel(), "n": len(v)})
+
+    cells = wide.mapInPandas(gram, "cell int, part double, n long").groupBy("cell").agg((F.sum("part") / F.sum("n")).alias("part"))
+    # (vector length)^2 numbers: a bound set by the model, not by the data.
+    cov = np.array([row["part"] for row in cells.orderBy("cell").collect()]).reshape(len(mean), len(mean))
 
     @F.pandas_udf("struct<m double, s double>")
     def moments(profile: pd.Series) -> pd.DataFrame:
@@ -299,6 +288,8 @@ def hybrid_topk(
     z-scoring is linear in the scores, so the blend is one inner product of joined, rescaled
     vectors less a constant per user; no user by item table is made.
     """
+    # Both scorers are z-scored over the items that both know.
+    items_a, items_b = items_a.join(items_b, "movieId", "left_semi"), items_b.join(items_a, "movieId", "left_semi")
     a = _list_moments(users_a, items_a).select("userId", F.col("profile").alias("_pa"), F.col("m").alias("_ma"), F.col("s").alias("_sa"))
     b = _list_moments(users_b, items_b).select("userId", F.col("profile").alias("_pb"), F.col("m").alias("_mb"), F.col("s").alias("_sb"))
 

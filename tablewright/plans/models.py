@@ -5,9 +5,12 @@ Deterministic steps have an oracle. Fitted models are checked by the property te
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators import aggregates as A
@@ -117,17 +120,27 @@ def _(t):
 
 
 def building_rows(t):
-    table = A.building_feature_table(clean_buildings(t.kept("buildings")))
-    table = S.group_folds(table, "pm_ref", 5)
-    return stored(M.vectors(table.na.fill(0), A.BUILDING_FEATURES), "buildings")
+    table = A.building_feature_table(clean_buildings(t.buildings))
+    return stored(M.vectors(table.na.fill(-1), A.BUILDING_FEATURES), "buildings")
 
 
 @query("ml09_boosted_classifier", "buildings")
 def _(t):
-    rows = building_rows(t)
-    model = M.fitted(M.boosted_classifier("is_lagging", 8, 4), rows.where("fold <> 0"))
-    held = M.positive_probability(model.transform(rows.where("fold = 0")))
-    return E.auc(held, "is_lagging", "score").withColumn("brier", E.brier(held, "is_lagging", "score").scalar())
+    """Grouped five-fold scores on the training part, then the calibrated refit on a stratified fifth held out."""
+    rows = S.stratified_split(building_rows(t), "is_lagging", "imb_id", 0.2).withColumn("code_insee", F.coalesce("code_insee", F.lit("")))
+    rows = stored(rows, "split")
+    train = S.group_folds(rows.where("is_test = 0"), "code_insee", 5).withColumn("third", S.hash_folds("imb_id", 3))
+    train, test = stored(train, "train"), rows.where("is_test = 1")
+    classifier = M.boosted_classifier("is_lagging")
+    scored = stored(M.held_out_scores(classifier, train, "fold", 5).select("fold", "is_lagging", "score"), "cv")
+    folds = [scored.where(F.col("fold") == i) for i in range(5)]
+    cv = [E.auc(f, "is_lagging", "score").withColumn("ap", E.average_precision(f, "is_lagging", "score").scalar()) for f in folds]
+    held = stored(M.calibrated_scores(classifier, train, "is_lagging", "third", test).select("is_lagging", "calibrated"), "held")
+    return reduce(DataFrame.unionByName, cv).agg(F.avg("auc").alias("cv_auc"), F.avg("ap").alias("cv_average_precision")).withColumns({
+        "auc": E.auc(held, "is_lagging", "calibrated").scalar(),
+        "average_precision": E.average_precision(held, "is_lagging", "calibrated").scalar(),
+        "brier": E.brier(held, "is_lagging", "calibrated").scalar(),
+    })
 
 
 @query("ml10_calibration", "scored")
@@ -162,7 +175,7 @@ def _(t):
 
 
 def customer_points(t):
-    r = A.rfm(t.kept("transactions")).withColumn("recency", F.col("recency").cast("double"))
+    r = A.rfm(t.transactions).withColumn("recency", F.col("recency").cast("double"))
     return stored(M.log_standardise(r, ["frequency", "monetary"], ["recency", "frequency", "monetary"]), "rfm")
 
 
@@ -196,7 +209,7 @@ def _(t):
 def _(t):
     split = split_ratings(t)
     train = split.where("split = 0").select("userId", "movieId", "rating")
-    factors = M.residual_factors(train, 8, 5)
+    factors = M.residual_factors(train)
     predicted = M.residual_predictions(train, split.where("split = 2").select("userId", "movieId", "rating"), factors)
     return E.regression_metrics(predicted, "rating", "prediction")
 
@@ -204,7 +217,7 @@ def _(t):
 @query("ml18_implicit_factors", "ratings")
 def _(t):
     split = split_ratings(t)
-    users, items = M.implicit_factors(split.where("split = 0").select("userId", "movieId", "rating"), 16, 5)
+    users, items = M.implicit_factors(split.where("split = 0").select("userId", "movieId", "rating"))
     return users.select("userId", F.size("profile").alias("rank_user")).agg(F.count("*").alias("users"), F.max("rank_user").alias("rank")).withColumn(
         "items", items.agg(F.count("*")).scalar())
 
@@ -212,7 +225,7 @@ def _(t):
 @query("rc07_factor_topk", "ratings")
 def _(t):
     train = split_ratings(t).where("split = 0").select("userId", "movieId", "rating")
-    return M.factor_topk(train, M.implicit_factors(train, 16, 5), 10)
+    return M.factor_topk(train, M.implicit_factors(train), 10)
 
 
 @query("ml19_importances", "houses")
@@ -230,7 +243,7 @@ def link_model(t):
 def _(t):
     links, model = link_model(t)
     test = stored(links.where("split = 'test'").drop("features"), "held")
-    return M.permutation_importance(model, test, "link_id", LINKS, "q_factor", repeats=2)
+    return M.permutation_importance(model, test, "link_id", LINKS, "q_factor")
 
 
 @query("ml21_partial_dependence", "links")
@@ -256,8 +269,8 @@ def _(t):
     split = split_ratings(t)
     train, test = split.where("split = 0").select("userId", "movieId", "rating"), split.where("split = 2")
     out = None
-    for rank in (4, 8):
-        lists = M.factor_topk(train, M.implicit_factors(train, rank, 3), 10)
+    for rank in (16, 32, 64, 128):
+        lists = M.factor_topk(train, M.implicit_factors(train, rank), 10)
         row = E.ranking_metrics(lists, test).withColumn("variant", F.lit(f"factors={rank}"))
         out = row if out is None else out.unionByName(row)
     return out
@@ -282,7 +295,7 @@ def _(t):
 @query("ss08_uplift", "buildings")
 def _(t):
     rows = building_rows(t).withColumn("treated", F.col("code_l331").eqNullSafe("A").cast("int")).drop("features")
-    effects = M.uplift(rows, ["num_voie_filled", "is_individuel", "pm_n_buildings", "com_hhi"], "treated", "is_lagging")
+    effects = M.uplift(rows, A.BUILDING_FEATURES, "treated", "is_lagging")
     return effects.select("imb_id", "p1", "p0", "effect")
 
 
@@ -299,13 +312,15 @@ def _(t):
 
 @query("tx06_bag_of_words", "")
 def _(t):
-    counted, _ = P.bag_of_words(t.documents.select("doc_id", "text"))
-    return counted.select("doc_id", F.size("terms").alias("n_terms"), F.size(F.filter(vector_to_array("counts"), lambda x: x > 0)).alias("n_kept"))
+    docs = t.documents.select("doc_id", "text")
+    kept = P.bag_of_words(docs, "doc_id").groupBy("doc_id").agg(F.count("*").cast("int").alias("n_kept"))
+    sizes = P.document_terms(docs).select("doc_id", F.size("terms").alias("n_terms"))
+    return sizes.join(kept, "doc_id", "left").na.fill(0, ["n_kept"])
 
 
 @query("tx07_topics", "")
 def _(t):
-    _, table = P.topics(t.documents.select("doc_id", "text"), "doc_id", 5, 5)
+    _, table = P.topics(t.documents.select("doc_id", "text"), "doc_id")
     return table
 
 

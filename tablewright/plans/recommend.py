@@ -230,11 +230,11 @@ def _(t):
 @query("rc15_sequences", "ratings", """
 with items as (select movieId, row_number() over (order by movieId) as i from (select distinct movieId from ratings)),
 r as (select userId, i, row_number() over (partition by userId order by rated_at desc, movieId desc) as rn from ratings join items using (movieId)),
-l as (select userId, list(i order by rn desc) as s from r where rn <= 21 group by 1 having count(*) >= 3)
-select userId, array_to_string(list_concat(list_transform(range(0, 20 - (len(s) - 1)), lambda x : 0), s[1:len(s) - 1]), ' ') as input,
- array_to_string(list_concat(list_transform(range(0, 20 - (len(s) - 1)), lambda x : 0), s[2:len(s)]), ' ') as target from l""")
+l as (select userId, list(i order by rn desc) as s from r where rn <= 51 group by 1 having count(*) >= 3)
+select userId, array_to_string(list_concat(list_transform(range(0, 50 - (len(s) - 1)), lambda x : 0), s[1:len(s) - 1]), ' ') as input,
+ array_to_string(list_concat(list_transform(range(0, 50 - (len(s) - 1)), lambda x : 0), s[2:len(s)]), ' ') as target from l""")
 def _(t):
-    s = K.sequences(t.ratings, max_len=20)
+    s = K.sequences(t.ratings)
     return s.select("userId", *[F.array_join(F.col(c).cast("array<string>"), " ").alias(c) for c in ("input", "target")])
 
 

@@ -18,8 +18,6 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
-FACTS = {"lineitem", "documents", "events", "pages"}
-
 Render = Callable[[str], str]
 
 LINE = "concat(cast(l_orderkey as varchar(20)), '-', cast(l_linenumber as varchar(9)))"
@@ -182,19 +180,10 @@ class Tables:
         self.folder = folder
 
     def read(self, name: str) -> DataFrame:
-        """Scan of a driver table; a fact table in fewer pieces than there are cores is spread.
-
-        A file of one row group is read by one task, which then also does all the work above the
-        scan up to the first shuffle. Large tables come in more pieces and are left as they are.
-        """
-        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        cores = self.spark.sparkContext.defaultParallelism
-        if name in FACTS and df.rdd.getNumPartitions() < cores:
-            return df.repartition(cores)
-        return df
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def kept(self, name: str) -> DataFrame:
-        """A view written once and read back: the input table of operators that pass over it often."""
+        """A view of joined and ranked tables written once and read back: the input of operators that pass over it often."""
         return stored(getattr(self, name), name)
 
     def __getattr__(self, name: str) -> DataFrame:

@@ -64,13 +64,12 @@ def first_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
 def save_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = None) -> str:
     """Write Parquet with zstd. `mode='ignore'` skips a table that is already there.
 
-    With `partition_by` rows are first gathered by that column and spread over some files per
-    value, so that neither a task nor a file takes all of one large value.
+    With `partition_by` rows are first gathered by that column; adaptive execution cuts values that
+    are too large for one task, so a value has as many files as its size asks for.
     """
     writer = df
     if partition_by:
-        spread = F.pmod(F.xxhash64(*[c for c in df.columns if c != partition_by]), F.lit(8))
-        writer = df.repartition(F.col(partition_by), spread)
+        writer = df.hint("rebalance", F.col(partition_by))
     out = writer.write.mode(mode).option("compression", "zstd")
     (out.partitionBy(partition_by) if partition_by else out).parquet(path)
     return path

@@ -92,10 +92,9 @@ def matrix(ratings):
 
 
 @pytest.mark.parametrize("blocks", [(256, 4096, 1000), (7, 9, 10), (7, 9, 0)])
-@pytest.mark.parametrize("limits", [(4_000_000, 1 << 24), (100, 1 << 24), (100, 0)])
-def test_neighbours_equal_dense_product(ratings, blocks, limits, monkeypatch):
-    monkeypatch.setattr(K, "SPARSE_LIMIT", limits[0])
-    monkeypatch.setattr(K, "DENSE_LIMIT", limits[1])
+@pytest.mark.parametrize("products", [4_000_000, 100])
+def test_neighbours_equal_dense_product(ratings, blocks, products, monkeypatch):
+    monkeypatch.setattr(K, "SLICE", products)
     got = K.cosine_neighbours(ratings, "movieId", "userId", 5, *blocks).toPandas()
     x = matrix(ratings)
     unit = x / np.maximum(np.linalg.norm(x, axis=0), 1e-12)
@@ -108,6 +107,26 @@ def test_neighbours_equal_dense_product(ratings, blocks, limits, monkeypatch):
         assert sorted(mine["sim"]) == pytest.approx(sorted(sim[item, best]))
 
 
+@pytest.mark.parametrize("blocks", [(256, 4096, 1000), (1, 1, 1000), (7, 2, 0)])
+def test_neighbours_of_opposite_ratings(spark, blocks):
+    """Common users whose products cancel still make two items neighbours, whatever the blocks."""
+    rows = [(1, 1, 1.0), (1, 2, 1.0), (2, 1, 1.0), (2, 2, -1.0), (3, 3, 2.0)]
+    data = spark.createDataFrame(rows, "userId long, movieId long, rating double")
+    got = K.cosine_neighbours(data, "movieId", "userId", 5, *blocks).collect()
+    assert sorted((r.movieId, r.neighbour, round(r.sim, 12)) for r in got) == [(1, 2, 0.0), (2, 1, 0.0)]
+
+
+def test_hybrid_of_equal_scores(spark):
+    """Items that one scorer cannot tell apart have no deviation: the other scorer decides, over the items both know."""
+    users_a = spark.createDataFrame([(1, [0.3, 4.0])], "userId long, profile array<double>")
+    items_a = spark.createDataFrame([(i, [1.0e8, 1.0]) for i in range(1000)], "movieId long, embedding array<double>")
+    users_b = spark.createDataFrame([(1, [1.0])], "userId long, profile array<double>")
+    items_b = spark.createDataFrame([(i, [float(i)]) for i in range(900)] + [(5000, [1e9])], "movieId long, embedding array<double>")
+    got = K.hybrid_topk(users_a, items_a, users_b, items_b, 0.5, 3).orderBy("rank").collect()
+    assert [r.movieId for r in got] == [899, 898, 897]
+    assert got[0].score == pytest.approx(0.5 * (899 - 449.5) / np.arange(900).std())
+
+
 def test_popularity_lists_equal_brute_force(spark, ratings):
     users = spark.createDataFrame([(u,) for u in [*range(40), 99]], "userId long")
     got = K.popularity_topk(ratings, users, 4).toPandas()
