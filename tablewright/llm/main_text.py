@@ -4,7 +4,9 @@ A page is cut into blocks at block-level tags. The first pass decides blocks tha
 the element they stand in (navigation, footer, aside, form, an advert's class ...), by the share
 of their text in links, by length and by the density of stop words; short and middling blocks stay
 open. In the second pass an open block takes the label of its nearest decided neighbours.
-Inside an article the page has said what is text, so only clear signs against a block count there.
+Inside an article the page has said what is text, so only clear signs against a block count there;
+what stands beside it goes if the article holds most of the text. Few stop words alone leave a block
+open. On a page whose text has few of them (another language, code) length and links decide.
 """
 
 from __future__ import annotations
@@ -65,6 +67,8 @@ _TAG = re.compile(
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _HIDDEN = re.compile(r"\s(?:hidden(?=[\s/>=])|aria-hidden\s*=\s*[\"']?true)|display\s*:\s*none", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
+# Scripts that write a word with a letter or two.
+_WIDE = re.compile(r"[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uac00-\ud7af\U00020000-\U0003ffff]")
 
 SHORT, LONG = 70, 200
 SPARSE, DENSE = 0.30, 0.32
@@ -79,6 +83,10 @@ class Block:
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     text: str = ""
+    size: int = 0  # length, a letter of a wide script for three
+    share: float = 0.0  # of the text in links
+    density: float = 0.0  # of stop words
+    notice: bool = False  # a copyright line by its looks
 
 
 def _names_outside(rest: str) -> bool:
@@ -174,54 +182,79 @@ def blocks_of(page: str) -> list[Block]:
     return [b for b in out if b.text]
 
 
-def _decide(block: Block) -> str:
+def _measure(block: Block) -> None:
+    words = [w.lower() for w in _WORD.findall(block.text)]
+    block.size = len(block.text) + (0 if block.text.isascii() else 2 * len(_WIDE.findall(block.text)))
+    block.share = block.linked / len(block.text)
+    block.density = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+    block.notice = "\N{COPYRIGHT SIGN}" in block.text and not block.article and (block.size < SHORT or block.size < LONG and block.density < DENSE)
+
+
+def _stop_words_tell(blocks: list[Block]) -> bool:
+    """Whether at least half of the page's unlinked text has stop words: elsewhere they say nothing about a block."""
+    sizes = [(b.size, b.density >= SPARSE) for b in blocks if not b.outside and b.share <= LINKED and b.size >= SHORT]
+    return 2 * sum(n for n, dense in sizes if dense) >= sum(n for n, _ in sizes)
+
+
+def _decide(block: Block, telling: bool) -> str:
     """First pass: good, bad, near (middling) or short."""
     if block.outside:
         return "bad"
-    share = block.linked / len(block.text)
-    words = [w.lower() for w in _WORD.findall(block.text)]
-    density = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
     if block.article:
-        if share > 0.5:
+        if block.share > 0.5:
             return "bad" if block.tag == "li" else "short"
-        return "good" if len(block.text) >= SHORT or density >= DENSE else "short"
-    if share > LINKED or "\N{COPYRIGHT SIGN}" in block.text:
+        return "good" if block.size >= SHORT or block.density >= DENSE else "short"
+    if block.share > LINKED or block.notice:
         return "bad"
-    if len(block.text) < SHORT:
+    if block.size < SHORT:
         return "bad" if block.linked else "short"
-    if density >= DENSE:
-        return "good" if len(block.text) >= LONG else "near"
-    return "near" if density >= SPARSE else "bad"
+    if block.density >= DENSE or not telling:
+        return "good" if block.size >= LONG else "near"
+    if block.density >= SPARSE or block.size >= LONG:
+        return "near"
+    return "bad" if block.linked else "short"
+
+
+def _neighbours(labels: list[str], decided: list[bool]) -> list[tuple[str | None, str | None]]:
+    """The nearest decided labels before and after each block."""
+    out: list[list[str | None]] = [[None, None] for _ in labels]
+    for side, places in ((0, range(len(labels))), (1, range(len(labels) - 1, -1, -1))):
+        seen = None
+        for i in places:
+            out[i][side] = seen
+            seen = labels[i] if decided[i] else seen
+    return [(before, after) for before, after in out]
 
 
 def main_text(page: str | None) -> str:
     """The text of the good blocks, each on one line of words, joined by one space."""
     found = blocks_of(page or "")
-    if any(b.article and not b.outside for b in found):
+    plain = [(max(0, len(b.text) - b.linked), b.article) for b in found if not b.outside]
+    if 2 * sum(n for n, article in plain if article) > sum(n for n, _ in plain):
         found = [b for b in found if b.article]  # what stands beside the article is none of it
-    first = [_decide(b) for b in found]
+    for b in found:
+        _measure(b)
+    telling = _stop_words_tell(found)
+    first = [_decide(b, telling) for b in found]
     # An advert inside an article says nothing about its neighbours.
     decided = [f in ("good", "bad") and not (b.outside and b.article) for b, f in zip(found, first, strict=True)]
+    if any(b.notice for b in found):
+        # A copyright line amid the text is part of it.
+        around = _neighbours(first, [d and not (b.notice and not b.outside and b.share <= LINKED) for b, d in zip(found, decided, strict=True)])
+        for i, b in enumerate(found):
+            if b.notice and not b.outside and b.share <= LINKED and around[i] == ("good", "good"):
+                first[i], decided[i] = "short", False
     final = list(first)
-    before: list[str | None] = [None] * len(found)
-    after: list[str | None] = [None] * len(found)
-    seen = None
-    for i, label in enumerate(first):
-        before[i] = seen
-        seen = label if decided[i] else seen
-    seen = None
-    for i in range(len(first) - 1, -1, -1):
-        after[i] = seen
-        seen = first[i] if decided[i] else seen
     nothing_good = "good" not in first
-    for i, label in enumerate(first):
+    for i, (before, after) in enumerate(_neighbours(first, decided)):
+        label = first[i]
         if label in ("good", "bad"):
             continue
-        sides = {before[i], after[i]}
+        sides = {before, after}
         if found[i].article or nothing_good:
             good = sides != {"bad"} or nothing_good
         elif sides == {"good", "bad"}:
-            good = label == "near" or (found[i].tag in _HEADINGS and after[i] == "good")
+            good = label == "near" or (found[i].tag in _HEADINGS and after == "good")
         else:
             good = "good" in sides
         final[i] = "good" if good else "bad"

@@ -234,6 +234,25 @@ def test_main_text():
     assert main_text.main_text("<p>Hello <i>world</i>") == "Hello world"
 
 
+def test_main_text_without_stop_words():
+    menu = "<div id=menu><a href=a>One</a> <a href=b>Two</a></div>"
+    prose = "This is the story of a man who went to the sea and of what he found there when he was old and all alone. " * 3
+    russian = "Старый рыбак вышел утром далеко в море и долго ждал большую рыбу возле тёмной воды своего залива. " * 3
+    chinese = "老渔夫清晨独自出海在湾流里等待一条大鱼直到夜里星星升起他仍然没有回家村里的孩子站在岸边看着远方的灯火。" * 2
+    polish = "Stary rybak wypłynął rankiem daleko w morze czekając długo wielkiej ryby obok ciemnej wody swojej zatoki. " * 3
+    for text in (russian, chinese, polish):
+        page = f"<body>{menu}<h1>Head</h1><p>{text}</p><p>{text}</p><p><a href=x>{text}</a></p><p>Junk</p><p><a href=x>More</a></p>"
+        assert main_text.main_text(page) == " ".join(f"Head {text} {text}".split())
+        both = f"<body>{menu}<p>{text}</p><p>{text}</p><p><a href=s>Share</a></p><p>{prose}</p>"
+        assert main_text.main_text(both) == " ".join(f"{text} {text} {prose}".split())
+    code = "for item in range(10): print(item, item ** 2, sep=';'); " * 5
+    assert main_text.main_text(f"{menu}<p>{prose}</p><pre>{code}</pre><p>{prose}</p>") == " ".join(f"{prose} {code} {prose}".split())
+    assert main_text.main_text(f"{menu}<p>{prose}</p><p>\xa9 {prose}</p><p>\xa9 2020 A Company</p>") == " ".join(f"{prose} \xa9 {prose}".split())
+    assert main_text.main_text(f"<p>{prose}</p><p>\xa9 2020 A</p><p>{prose}</p>") == " ".join(f"{prose} \xa9 2020 A {prose}".split())
+    card = "<article><p>A card.</p></article>"
+    assert main_text.main_text(f"<body>{menu}<p>{prose}</p>{card}<p>{prose}</p>") == " ".join(f"{prose} A card. {prose}".split())
+
+
 def test_main_text_table(spark):
     pages = spark.createDataFrame([(1, PAGE, "u"), (1, PAGE, "u"), (2, None, "u"), (None, "", None)], "page_id long, html string, text string")
     out = main_text.extract(pages).collect()
