@@ -42,8 +42,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their source's target takes them; the last repetition may be the beginning of a text."""
-    return mixing.repeat_documents(docs, mixing.mixture(docs.select("doc_id", "text", "source")))
+    """Documents as often as their source's target takes them, always whole texts."""
+    plan = mixing.mixture(docs.select("doc_id", "text", "source"))
+    return mixing.repeat_documents(docs, mixing.whole_repetitions(plan))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,8 @@ small row per source; each round brings the driver two sums. A source's target i
 whole repetitions of every document and, for the rest, one pass over its documents in a seeded
 order. The order is kept in pieces of some thousand documents: a piece gets its share of the rest
 by size, so a source of any size is many small sorts.
+Where a piece's share ends inside a document, the plan counts the words up to there. For a corpus of
+whole texts a seeded draw then takes or leaves that document by the share that the plan counts.
 """
 
 from __future__ import annotations
@@ -107,6 +109,20 @@ def _small(targets: DataFrame, rows: int = 100_000) -> bool:
     return targets.count() <= rows
 
 
+def whole_repetitions(plan: DataFrame, id_column: str = "doc_id", seed: str = "mix") -> DataFrame:
+    """The plan with `taken` a multiple of `size`.
+
+    A document of which the plan takes a part beyond its whole repetitions is taken once more with
+    the probability of that part, so the expected words are those of the plan; each piece of a source
+    is off by less than that one document. The draw depends on id, source, text and place among equal
+    rows, not on the order of the documents.
+    """
+    key = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in (id_column, "source", "text_key", "repeat")]
+    draw = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed} draw"), *key)), 1, 8), 16, 10).cast("double") / 2.0**32
+    rest = F.col("taken") % F.greatest("size", F.lit(1))
+    return plan.withColumn("taken", F.col("taken") - rest + F.when(draw * F.col("size") < rest, F.col("size")).otherwise(F.lit(0)))
+
+
 def first_words(text: str, words: int) -> str:
     """The text up to the end of its n-th word."""
     end = 0
@@ -140,9 +156,11 @@ def _repetitions(batches: Iterator[pa.RecordBatch], text: str, length: str | Non
 
 def repeat_documents(docs: DataFrame, plan: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                      source_column: str = "source", length_column: str | None = "n_chars") -> DataFrame:
-    """The documents as often as the plan takes them; the last repetition may be the beginning of a text.
+    """The documents as often as the plan takes them.
 
-    Documents that are not taken, among them those without words, do not appear.
+    With a plan of whole repetitions texts are whole; by one to the word (`mixture` as it is) the last
+    repetition may be the beginning of a text. Documents that are not taken, among them those without
+    words, do not appear.
     """
     numbered = docs.withColumn("_key", F.xxhash64(text_column)).withColumn("_source", F.col(source_column).cast("string"))
     repeat = F.row_number().over(Window.partitionBy(id_column, "_key", "_source").orderBy(F.lit(1)))

@@ -131,6 +131,28 @@ def test_mixture_meets_targets(docs):
     assert sum(len((r.text or "").split()) for r in out) == sum(r.taken for r in rows)
 
 
+def test_pipeline_mixes_whole_texts(spark, docs):
+    import corpus_pipeline
+
+    rnd = random.Random(8)
+    small = [(100 + i, " ".join(f"w{j}" for j in range(rnd.randint(5, 400))), "en", f"t{i // 2}", 0, 1, "z") for i in range(240)]
+    every = docs.where("doc_id is not null").unionByName(spark.createDataFrame(small, DOCS))
+    out = corpus_pipeline.mix_sources(spark, every, "").select("doc_id", "text", "source").collect()
+    texts = {(r.doc_id, r.text) for r in every.collect()}
+    assert out and all((r.doc_id, r.text) in texts for r in out)
+    words = {}
+    for r in out:
+        words[r.source] = words.get(r.source, 0) + len(r.text.split())
+    plan = mixing.mixture(every).collect()
+    target, largest = {r.source: r.target for r in plan}, {}
+    for r in plan:
+        largest[r.source] = max(largest.get(r.source, 0), r["size"])
+    assert all(abs(words.get(s, 0) - target[s]) <= largest[s] + 2 for s in target)
+    assert abs(sum(words.values()) - sum(target.values())) < 0.1 * sum(target.values())
+    whole = mixing.whole_repetitions(mixing.mixture(every)).collect()
+    assert all(r.taken % max(1, r["size"]) == 0 and r.taken <= 2 * r["size"] for r in whole) and sum(r.taken for r in whole) == sum(words.values())
+
+
 def test_chat_round_trip(spark):
     odd = "a\\<|b <\\| <|turn|> \\\\<|end|> <|part|><|text|>"
     rows = [
