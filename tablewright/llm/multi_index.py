@@ -127,7 +127,8 @@ def nearest(
     Scores are inner products of the original vectors in double precision; ties go to the smaller
     id. The centroids are fitted on at most `sample` vectors, dealt by the hash of their ids; every
     vector is indexed. A query scores cells that together hold at least the share `visit` of all
-    vectors: that share sets the recall. Directions without any structure need a large one.
+    vectors, and k besides its own: that share sets the recall. Directions without any structure
+    need a large one.
 
     Vectors that are null, zero, or hold null or non-finite components take no part, nor do vectors
     without id or of another length than most (on a tie the longer). Rows may repeat: each is a
@@ -161,7 +162,9 @@ def nearest(
     for row in indexed.groupBy("cell").count().collect():
         counts[row["cell"]] = row["count"]
     begins = np.cumsum(counts) - counts
-    wanted = math.ceil(visit * total)
+    # A query sees none of the rows with its own id, and needs k others.
+    most = indexed.groupBy("vec_id").count().agg(F.max("count")).first()[0]
+    wanted = max(math.ceil(visit * total), k + most)
     planned = asked.mapInArrow(
         lambda b: _plan(b, first, second, half, counts, wanted), with_fields(asked.schema, "bits binary, shards array<long>")
     ).select(

@@ -225,6 +225,16 @@ def test_nearest_recall_and_scores(vectors):
     assert np.mean(hits) >= 0.9
 
 
+def test_nearest_of_few_vectors_are_all(spark):
+    rng = np.random.default_rng(4)
+    for n, copies, k in ((2, 1, 20), (15, 1, 20), (25, 1, 20), (25, 6, 20), (60, 1, 50)):
+        rows = [(i, x.tolist()) for i, x in enumerate(rng.normal(size=(n, 16)).astype("f4"))]
+        rows += [(0, rng.normal(size=16).astype("f4").tolist()) for _ in range(copies - 1)]
+        small = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+        counts = {r.query_id: r["count"] for r in multi_index.nearest(small, small, k=k).groupBy("query_id").count().collect()}
+        assert counts == {i: min(k, len(rows) - (copies if i == 0 else 1)) for i in range(n)}
+
+
 def test_near_vectors_match_brute_force(vectors, monkeypatch):
     for part, per_pivot in ((2048, 1024), (16, 20)):
         monkeypatch.setattr(metric_join, "PART", part)
