@@ -179,6 +179,14 @@ def _(t):
     return vectors.select("movieId", *[r6(F.col("embedding")[i]).alias(f"v{i}") for i in range(len(VOCABULARY))])
 
 
+@query("rc10_relevance_rows", "tags", f"""
+with {TAG_SQL}, n as (select movieId, tag_clean, count(*)::double as n from c group by 1, 2)
+select movieId, tag_clean, round(n / max(n) over (partition by movieId), 6) as relevance from n""")
+def _(t):
+    """The vectors of all items over all tags of the table, as their entries above 0."""
+    return tag_relevance(tags_clean(t)).withColumn("relevance", r6("relevance"))
+
+
 @query("rc11_similar_items", "", """
 with e as (select vec_id, embedding::double[] as e from embeddings),
 p as (select a.vec_id as query_id, b.vec_id as item_id, list_inner_product(a.e, b.e) as score from e a join e b on a.vec_id <> b.vec_id),

@@ -179,3 +179,18 @@ def test_genome_and_link_readers(spark, tmp_path):
     assert [tuple(r) for r in tables.read_genome_scores(spark, str(tmp_path / "scores.csv")).collect()] == [(1, 40000, 0.5)]
     assert [tuple(r) for r in tables.read_genome_tags(spark, str(tmp_path / "tags.csv")).collect()] == [(40000, "space opera")]
     assert [tuple(r) for r in tables.read_film_links(spark, str(tmp_path / "links.csv")).collect()] == [(1, "0114709", "862")]
+
+
+def test_relevance_rows_hold_all_tags_and_items(spark, tables):
+    from tablewright.plans.recommend import VOCABULARY
+    from tablewright.plans.registry import load_all
+    from tablewright.plans.shared import tags_clean
+
+    pairs = {(r.movieId, r.tag_clean) for r in tags_clean(tables).collect()}
+    rows = load_all()["rc10_relevance_rows"].plan(tables).collect()
+    assert {(r.movieId, r.tag_clean) for r in rows} == pairs and len(rows) == len(pairs)
+    assert {tag for _, tag in pairs} - set(VOCABULARY)
+    top = {}
+    for r in rows:
+        top[r.movieId] = max(top.get(r.movieId, 0.0), r.relevance)
+    assert set(top.values()) == {1.0}
