@@ -92,7 +92,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     Half of the labelled documents, dealt by the hash of their ids, show the target: those of
     quality 1 that are not toxic. A document that the target model has not seen looks unlikely for
     that alone, the more so the fewer labels there are; the other half of the labels therefore sets
-    the offset, where good and bad documents part best. At most `labelled` labels are used. Without
+    the offset, where the documents of the target and the others, toxic ones among them, part best. At most `labelled` labels are used. Without
     good labels all ratios are 0. Labels with null ids or null quality are passed over; of several
     labels of a document the worst holds.
     """
@@ -115,12 +115,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     if not target.sum():
         return np.zeros(BUCKETS)
     ratios = np.log(target + 1) - np.log(raw * (target.sum() / raw.sum()) + 1)
-    held, quality = ids[~shown], dict(zip(ids.tolist(), fine.tolist(), strict=True))
+    held, wanted = ids[~shown], dict(zip(ids.tolist(), (fine & clean).tolist(), strict=True))
     means = texts.mapInArrow(lambda b: _means(b, ratios, np.sort(held)), "id long, mean double").toPandas()  # labelled rows only
     if means.empty:
         return ratios
     means = means.sort_values(["mean", "id"])
-    return ratios - best_cut(means["mean"].to_numpy(), np.array([quality[i] for i in means["id"]], bool))
+    return ratios - best_cut(means["mean"].to_numpy(), np.array([wanted[i] for i in means["id"]], bool))
 
 
 def _scores(batch: pa.RecordBatch, ids: str, data: np.ndarray, offsets: np.ndarray, ratios: np.ndarray, seed: int, noise: float) -> tuple[np.ndarray, np.ndarray]:

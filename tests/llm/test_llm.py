@@ -309,6 +309,17 @@ def test_importance_sampling(spark):
     assert importance.take(docs, importance.fit(docs, labels.limit(0)), None).count() == 0
 
 
+def test_toxic_labels_do_not_pull_the_offset(spark):
+    rnd = random.Random(6)
+    good, bad = ["sea", "ship", "wind", "harbour", "sail"], ["mud", "rot", "bile", "grime", "slag"]
+    kinds = [(good, 1, 0)] * 150 + [(good + bad, 1, 1)] * 100 + [(bad, 0, 0)] * 100
+    docs = spark.createDataFrame([(i, " ".join(rnd.choice(w) for _ in range(80))) for i, (w, _, _) in enumerate(kinds)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q, t) for i, (_, q, t) in enumerate(kinds)], "doc_id long, quality int, toxic int")
+    ratios = importance.fit(docs, labels)
+    kept = {r.doc_id for r in importance.take(docs, ratios, importance.threshold(importance.score(docs, ratios))).collect()}
+    assert len(kept & set(range(150))) >= 145 and len(kept & set(range(150, 350))) <= 5
+
+
 def test_empty_tables(spark, docs, vectors):
     none, no_vectors = docs.limit(0), vectors.limit(0)
     assert suffix_dedup.remove_repeats(none).count() == 0
