@@ -81,8 +81,7 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_str(tokenizer_file)
-        # Strings of special tokens in a text are ordinary text.
-        self.full.encode_special_tokens = True
+        # As the library's plain call: a special token's string in a text is that token.
         made = json.loads(tokenizer_file)
         normalizers = [n["type"] for n in (made.get("normalizer") or {}).get("normalizers", [])]
         stages = (made.get("pre_tokenizer") or {}).get("pretokenizers", [])

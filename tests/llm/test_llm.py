@@ -197,6 +197,19 @@ def test_wavelet_files_hold_the_ids(spark, docs, tmp_path):
         assert matrix.access(k) == token and matrix.rank(token, k) == (every[:k] == token).sum() and matrix.select(token, matrix.rank(token, k)) == k
 
 
+def test_word_tokens_of_special_strings():
+    from tablewright.llm import word_tokens
+
+    texts = ["a <|endoftext|> b", "x<|endoftext|>y. <|startoftext|>", "<|EndOfText|>", "<|endoftext|><|endoftext|>", "plain words.", "<|endoftext |>", ""]
+    made = open(WORDS, encoding="utf-8").read()
+    data = [t.encode() for t in texts]
+    offsets = np.r_[0, np.cumsum([len(d) for d in data])].astype(np.int64)
+    found = word_tokens.WordTokens(made).encode(np.frombuffer(b"".join(data), np.uint8), offsets)
+    plain = Tokenizer.from_str(made)
+    expected = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert found.values.tolist() == sum(expected, []) and found.sizes.tolist() == [len(e) for e in expected]
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     rng = np.random.default_rng(3)
