@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import byte_bpe, chat, importance, main_text, metric_join, minhash_join, mixing, multi_index, suffix_dedup, wavelet
+from tablewright.llm import byte_bpe, chat, importance, lexical_search, main_text, metric_join, minhash_join, mixing, multi_index, suffix_dedup, turn_repair, wavelet, word_table
 from tablewright.llm.common import table
 from tablewright.session import scratch_path
 
@@ -166,6 +167,132 @@ SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, e.vec_id = c
 FROM embeddings e JOIN components c USING (vec_id) LEFT JOIN counts n USING (vec_id)
 """
 
+
+def op11_word_table(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = Path(public_tokenizers.path("word_bpe_49k.json")).read_text()
+    encoded = word_table.encode_texts(table(spark, folder, "documents").select("doc_id", "text"), tokenizer)
+    return word_table.decode_ids(encoded, tokenizer).select(
+        "doc_id", "n_tokens", F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    held = lexical_search.index(table(spark, folder, "documents").select("doc_id", "text"))
+    return lexical_search.search(held, table(spark, folder, "benchmark").select("item_id", "text"), k=10)
+
+
+OP12_SQL = r"""
+WITH terms AS (
+    SELECT row_number() OVER () AS place, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents
+), lengths AS (SELECT place, doc_id, len(t)::BIGINT AS n FROM terms WHERE len(t) > 0
+), whole AS (SELECT count(*) AS all_docs, coalesce(sum(n), 0)::BIGINT AS all_terms FROM lengths
+), held AS (SELECT place, term, count(*) AS tf FROM (SELECT place, unnest(t) AS term FROM terms) GROUP BY place, term
+), asked AS (
+    SELECT item_id, term, count(*) AS times FROM (
+        SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+    ) GROUP BY item_id, term
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * all_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+    FROM (SELECT term, count(*) AS df FROM held WHERE term IN (SELECT term FROM asked) GROUP BY term), whole
+), shares AS (
+    SELECT h.place, l.doc_id, h.term, w.w * ((1000000000 * h.tf) // (1000 * h.tf + 8 * (25 + (75 * l.n * all_docs) // all_terms))) AS share
+    FROM held h JOIN weights w ON w.term = h.term JOIN lengths l ON l.place = h.place, whole
+), scores AS (
+    SELECT item_id, place, doc_id, sum(times * share)::BIGINT AS score FROM asked JOIN shares USING (term) GROUP BY item_id, place, doc_id
+), ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST)::INTEGER AS rank, doc_id, score
+    FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+def damaged_turns(rows: DataFrame) -> DataFrame:
+    """Conversations with a fifth of their rows damaged, by a checksum of conversation and turn; dropped rows are not present."""
+    def said(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat_ws(":", said("conv_id"), said("turn")).cast("binary")) % 20
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    return (
+        rows.select("conv_id", "turn", said("role").alias("role"), said("text").alias("text"), kind.alias("kind"))
+        .withColumns({"text": text, "role": F.when(F.col("kind") == 4, "user").otherwise(F.col("role")), "present": F.col("kind") != 0})
+        .withColumn("copy", F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+        .drop("kind", "copy")
+    )
+
+
+def op13_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return turn_repair.repair(damaged_turns(rows), present="present")
+
+
+OP13_SQL = r"""
+WITH RECURSIVE keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(
+            string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT),
+            lambda crc, b: list_reduce([xor(crc, b)] || range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+        )) % 20 AS kind FROM conversations
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM (SELECT *, unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM keyed WHERE kind <> 0)
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k, count(*) OVER (PARTITION BY conv_id) AS n FROM damaged
+), marked AS (
+    SELECT *, left(role, 1) AS i, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY k) AS i_before,
+        right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) AS last_char,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 AS seen FROM placed
+), faults AS (
+    SELECT *, last_char = '' AS blank, last_char <> '' AND seen AS duplicate, last_char <> '' AND NOT seen AND last_char NOT IN ('.', '!', '?') AS truncated
+    FROM marked
+), counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (blank) AS blank,
+        count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+        count(*) FILTER (i_before IS NOT NULL AND i_before || i NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv_id
+), best AS (  -- the cheapest rest after the four ends: nothing yet, system, user, assistant
+    SELECT DISTINCT conv_id, n + 1 AS k, {'c': 0::BIGINT, 'a': '', 't': '', 'm': 0::BIGINT} AS e0,
+        {'c': 10::BIGINT, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:', 'm': 2::BIGINT} AS e1,
+        {'c': 5::BIGINT, 'a': 'I', 't': chr(10) || 'assistant:', 'm': 1::BIGINT} AS e2, {'c': 0::BIGINT, 'a': '', 't': '', 'm': 0::BIGINT} AS e3 FROM placed
+    UNION ALL
+    SELECT conv_id, k,
+        list_sort([b0, {'c': 5 + b2.c, 'a': 'I' || b2.a, 't': chr(10) || 'user:' || b2.t, 'm': 1 + b2.m},
+            {'c': 10 + b3.c, 'a': 'II' || b3.a, 't': chr(10) || 'user:' || chr(10) || 'assistant:' || b3.t, 'm': 2 + b3.m}])[1],
+        list_sort([b1, {'c': 5 + b2.c, 'a': 'I' || b2.a, 't': chr(10) || 'user:' || b2.t, 'm': 1 + b2.m},
+            {'c': 10 + b3.c, 'a': 'II' || b3.a, 't': chr(10) || 'user:' || chr(10) || 'assistant:' || b3.t, 'm': 2 + b3.m}])[1],
+        list_sort([b2, {'c': 5 + b3.c, 'a': 'I' || b3.a, 't': chr(10) || 'assistant:' || b3.t, 'm': 1 + b3.m}])[1],
+        list_sort([b3, {'c': 5 + b2.c, 'a': 'I' || b2.a, 't': chr(10) || 'user:' || b2.t, 'm': 1 + b2.m}])[1]
+    FROM (
+        SELECT conv_id, k,
+            list_sort([d0, CASE WHEN stays AND i = 's' THEN {'c': e1.c + x, 'a': 'K' || e1.a, 't': line || e1.t, 'm': 1 + e1.m}
+                WHEN stays AND i = 'u' THEN {'c': e2.c + x, 'a': 'K' || e2.a, 't': line || e2.t, 'm': 1 + e2.m} ELSE d0 END,
+                CASE WHEN stays THEN {'c': e2.c + x + 1, 'a': 'R' || e2.a, 't': chr(10) || 'user:' || text || e2.t, 'm': 1 + e2.m} ELSE d0 END])[1] AS b0,
+            list_sort([d1, CASE WHEN stays AND i = 'u' THEN {'c': e2.c + x, 'a': 'K' || e2.a, 't': line || e2.t, 'm': 1 + e2.m} ELSE d1 END,
+                CASE WHEN stays THEN {'c': e2.c + x + 1, 'a': 'R' || e2.a, 't': chr(10) || 'user:' || text || e2.t, 'm': 1 + e2.m} ELSE d1 END])[1] AS b1,
+            list_sort([d2, CASE WHEN stays AND i = 'a' THEN {'c': e3.c + x, 'a': 'K' || e3.a, 't': line || e3.t, 'm': 1 + e3.m} ELSE d2 END,
+                CASE WHEN stays THEN {'c': e3.c + x + 1, 'a': 'R' || e3.a, 't': chr(10) || 'assistant:' || text || e3.t, 'm': 1 + e3.m} ELSE d2 END])[1] AS b2,
+            list_sort([d3, CASE WHEN stays AND i = 'u' THEN {'c': e2.c + x, 'a': 'K' || e2.a, 't': line || e2.t, 'm': 1 + e2.m} ELSE d3 END,
+                CASE WHEN stays THEN {'c': e2.c + x + 1, 'a': 'R' || e2.a, 't': chr(10) || 'user:' || text || e2.t, 'm': 1 + e2.m} ELSE d3 END])[1] AS b3
+        FROM (
+            SELECT f.conv_id, f.k, f.i, f.text, NOT f.blank AND NOT f.duplicate AS stays, CASE WHEN f.truncated THEN 5 ELSE 0 END AS x,
+                chr(10) || f.role || ':' || f.text AS line, e1, e2, e3,
+                {'c': e0.c + 2, 'a': 'D' || e0.a, 't': e0.t, 'm': e0.m} AS d0, {'c': e1.c + 2, 'a': 'D' || e1.a, 't': e1.t, 'm': e1.m} AS d1,
+                {'c': e2.c + 2, 'a': 'D' || e2.a, 't': e2.t, 'm': e2.m} AS d2, {'c': e3.c + 2, 'a': 'D' || e3.a, 't': e3.t, 'm': e3.m} AS d3
+            FROM best b JOIN faults f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.k = b.k - 1
+        )
+    )
+)
+SELECT o.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate, coalesce(c.truncated, 0) AS truncated,
+    coalesce(c.illegal, 0) AS illegal, coalesce(b.e0.c, 0) AS cost, coalesce(b.e0.a, '') AS audit, sha256(coalesce(b.e0.t[2:], '')) AS repaired_sha256,
+    coalesce(n.n_rows, 0) AS n_rows, coalesce(b.e0.m, 0) AS n_repaired
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+    LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id AND b.k = 1
+    LEFT JOIN (SELECT conv_id, count(*) AS n_rows FROM placed GROUP BY conv_id) n ON n.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_main_text": op1_html_main_text,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -177,6 +304,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_wavelet_tokens": op9_wavelet_tokens,
     "op10_metric_range_join": op10_metric_range_join,
+    "op11_word_table": op11_word_table,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_turn_repair": op13_turn_repair,
 }
 
-SQL: dict[str, str] = {"op5_mixing": OP5_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op7_chat_format": OP7_SQL, "op10_metric_range_join": OP10_SQL}
+SQL: dict[str, str] = {
+    "op5_mixing": OP5_SQL,
+    "op6_ngram_jaccard_join": OP6_SQL,
+    "op7_chat_format": OP7_SQL,
+    "op10_metric_range_join": OP10_SQL,
+    "op12_lexical_search": OP12_SQL,
+    "op13_turn_repair": OP13_SQL,
+}
