@@ -28,32 +28,40 @@ from tablewright.sources.tables import stored
 PART = 256
 _NO_ID = -(2**63)
 
-_rng = np.random.default_rng(20240302)
-_FACTOR = _rng.integers(0, 2**64, 256, dtype=np.uint64) | np.uint64(1)
-
 
 def choose_bands(threshold: float, recall: float, hashes: int = 96) -> tuple[int, int]:
-    """The most rows per band, and the fewest bands, that find a pair at the threshold with the given probability."""
+    """The most rows per band, and the fewest bands, that find a pair at the threshold with the given probability.
+
+    `hashes` bounds the rows, never the recall: where even one row per band needs more bands, there are more.
+    """
+    if not 0 < threshold <= 1 or not 0 < recall < 1:
+        raise ValueError("threshold must be above 0 and at most 1, recall between 0 and 1")
     best = (1, 1)
     for rows in range(1, 17):
-        missed = 1 - threshold**rows
-        bands = max(1, math.ceil(math.log(1 - recall) / math.log(missed))) if 0 < missed < 1 else 1
-        if bands * rows <= hashes:
+        agree = threshold**rows
+        bands = max(1, math.ceil(math.log(1 - recall) / math.log1p(-agree))) if agree < 1 else 1
+        if rows == 1 or bands * rows <= hashes:
             best = (bands, rows)
     return best
 
 
+def _factors(n: int) -> np.ndarray:
+    """An odd multiplier per hash function."""
+    return np.random.default_rng(20240302).integers(0, 2**64, n, dtype=np.uint64) | np.uint64(1)
+
+
 def band_hashes(values: np.ndarray, bounds: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """One row of band hashes per non-empty set."""
     starts = bounds[:-1][bounds[1:] > bounds[:-1]]
     out = np.zeros((len(starts), bands), np.uint64)
     if not len(starts):
         return out
+    factor = _factors(bands * rows)
     for band in range(bands):
         joint = np.full(len(starts), band + 1, np.uint64)
         for row in range(rows):
             j = band * rows + row
-            low = np.minimum.reduceat(values * _FACTOR[j % 256] + np.uint64(j), starts)
+            low = np.minimum.reduceat(values * factor[j] + np.uint64(j), starts)
             joint = mix(joint + low)
         out[:, band] = joint
     return out
@@ -66,8 +74,11 @@ def _signatures(batches: Iterator[pa.RecordBatch], words: int, bands: int, rows:
         joint = band_hashes(values, bounds, bands, rows)
         digests = [hashlib.blake2b(values[bounds[i]:bounds[i + 1]].tobytes(), digest_size=16).digest() for i in full]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id").take(pa.array(full)), pa.array(digests, pa.binary()), pa.array([r.tobytes() for r in joint], pa.binary())],
-            ["id", "digest", "bands"],
+            [
+                batch.column("id").take(pa.array(full)), batch.column("text_key").take(pa.array(full)),
+                pa.array(digests, pa.binary()), pa.array([r.tobytes() for r in joint], pa.binary()),
+            ],
+            ["id", "text_key", "digest", "bands"],
         )
 
 
@@ -190,12 +201,24 @@ def near_duplicates(
     and are classes of their own. Repeated rows link with each other. Null ids take part; as a
     set_id or class_id they are passed over where the set or class has another id.
     """
+    found = row_classes(docs, id_column, text_column, words, threshold, recall)
+    return found.select(id_column, "set_id", "class_id", "n_links")
+
+
+def row_classes(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, threshold: float = 0.8, recall: float = 0.99999
+) -> DataFrame:
+    """`near_duplicates` with `text_key` (md5 of the text), which tells rows of one id apart, and `class_key`.
+
+    Rows of one class share its `class_key`, whatever their ids; it is null for texts without words.
+    """
     spark = docs.sparkSession
     bands, rows = choose_bands(threshold, recall)
     texts = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(_NO_ID)).alias("id"), F.col(text_column).alias("text"))
     signed = stored(
-        texts.mapInArrow(lambda b: _signatures(b, words, bands, rows), "id long, digest binary, bands binary"), "signatures"
-    )
+        texts.withColumn("text_key", F.md5("text"))
+        .mapInArrow(lambda b: _signatures(b, words, bands, rows), "id long, text_key string, digest binary, bands binary"), "signatures"
+    )
     sets = stored(
         signed.groupBy("digest").agg(
             F.min("id").alias("rep"), F.min(F.when(F.col("id") != _NO_ID, F.col("id"))).alias("set_id"),
@@ -230,12 +253,38 @@ def near_duplicates(
     smallest = classes.groupBy("component").agg(F.min("set_id").alias("class_id"))
     named = stored(
         classes.join(smallest, "component").select(
-            "digest", "set_id", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+            "digest", "component", "set_id", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
         ), "classes"
     )
-    linked_rows = signed.select("id", "digest").join(named, "digest").select("id", "set_id", "class_id", "n_links")
+    linked_rows = signed.select("id", "text_key", "digest").join(named, "digest").select(
+        "id", "set_id", "class_id", "n_links", "text_key", F.col("component").alias("class_key")
+    )
     own = F.when(F.col("id") != _NO_ID, F.col("id"))
     empty = texts.where(F.col("text").isNull() | ~F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(
-        "id", own.alias("set_id"), own.alias("class_id"), F.lit(0).cast("long").alias("n_links")
+        "id", own.alias("set_id"), own.alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.md5("text").alias("text_key"),
+        F.lit(None).cast("binary").alias("class_key"),
     )
-    return linked_rows.unionByName(empty).select(own.alias(id_column), "set_id", "class_id", "n_links")
+    return linked_rows.unionByName(empty).select(own.alias(id_column), "set_id", "class_id", "n_links", "text_key", "class_key")
+
+
+def one_per_class(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options: float) -> DataFrame:
+    """The rows of `docs` with one row of each class of near-duplicates: the smallest id, then the smallest md5 of the text.
+
+    A row without an id stays only where no row of its class has one. Rows that repeat an id but not
+    the text are documents of their own; of rows that repeat both, the smallest by all columns stays.
+    Texts that are null or without words all stay. Columns of any name stay.
+    """
+    classes = row_classes(docs.select(id_column, text_column), id_column, text_column, **options).where("class_key is not null")
+    first = F.min(F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), "text_key")).alias("_first")
+    chosen = classes.groupBy("class_key").agg(first).select(F.col("_first.id").alias("_id"), F.col("_first.text_key").alias("_text_key"))
+    wordless = F.col(text_column).isNull() | ~F.col(text_column).rlike(r"[^\x20\x09-\x0D]")
+    same = F.col(id_column).eqNullSafe(F.col("_id")) & (F.md5(text_column) == F.col("_text_key"))
+    kept = docs.where(~wordless).join(chosen, same, "left_semi")
+    # Only rows that repeat another travel: their smallest is found by partial minima.
+    key = [F.col(id_column).alias("_id"), F.md5(text_column).alias("_text_key")]
+    copied = stored(docs.where(~wordless).groupBy(*key).count().where("count > 1").drop("count"), "copied")
+    if not copied.isEmpty():
+        single, several = kept.join(copied, same, "left_anti"), kept.join(copied, same, "left_semi")
+        smallest = several.groupBy(*key).agg(F.min(F.struct(*docs.columns)).alias("_row"))
+        kept = single.unionByName(smallest.select("_row.*"))
+    return kept.unionByName(docs.where(wordless))

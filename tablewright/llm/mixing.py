@@ -5,21 +5,17 @@ take is shared again by weight among the others until none is above its cap. The
 small row per source; each round brings the driver two sums. A source's target is then met by
 whole repetitions of every document and, for the rest, one pass over its documents in a seeded
 order. The order is kept in pieces of some thousand documents: a piece gets its share of the rest
-by size, so a source of any size is many small sorts.
-Where a piece's share ends inside a document, the plan counts the words up to there. For a corpus of
-whole texts a seeded draw then takes or leaves that document by the share that the plan counts.
+by size, so a source of any size is many small sorts. Where a piece's share ends inside a document,
+a seeded draw takes or leaves that document by the part that is inside: texts are always whole.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.words import cut_batches
 from tablewright.sources.tables import stored
 
 #: A word, as sizes count them.
@@ -27,8 +23,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Documents of one piece of a source's seeded order, on average.
 PIECE = 4096
 
-_word = regex.compile(WORD)
-
 
 def seeded(key: Column, seed: str) -> Column:
     """Hex digest that orders documents; the same on every engine and partitioning."""
@@ -65,15 +59,18 @@ def mixture(
     """One row per document: id, size, source_size, target, taken (and source, text_key, repeat, to find the row again).
 
     `size` counts the words of the text (null: 0). `taken` is the number of words the mixture takes
-    of the document: whole repetitions, and for at most one document of a piece the beginning of one.
-    Never more than ceil(epochs) times its size. A null source is a source; null ids share one place
-    in the order. Rows that repeat an id are documents of their own, ordered by size and text.
+    of the document, a multiple of its size and never more than ceil(epochs) times it. The document
+    at the end of a piece's share is taken once more with the probability of the part that is inside,
+    so the expected words are the share, and a piece is off by less than that document. The draw
+    depends on id, source, text and place among equal rows, not on the order of the documents. A null
+    source is a source; null ids share one place in the order. Rows that repeat an id are documents
+    of their own, ordered by size and text. Texts may be of any length; an empty table has no rows; other columns are not looked at.
     """
     sizes = stored(
         docs.select(
             F.col(id_column).alias("id"), F.col(source_column).cast("string").alias("source"),
             F.coalesce(F.regexp_count(text_column, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            F.xxhash64(text_column).alias("text_key"),
+            F.md5(text_column).alias("text_key"),
         ), "sizes"
     )
     targets = source_targets(sizes, weights, share, epochs).withColumnRenamed("source", "of")
@@ -98,80 +95,37 @@ def mixture(
     placed = placed.join(quota, F.col("source").eqNullSafe(F.col("of")) & (F.col("piece") == F.col("of_piece")))
     extra = F.greatest(F.lit(0), F.least(F.col("size"), F.col("quota") - F.col("upto") + F.col("size")))
     repeat = F.row_number().over(Window.partitionBy("id", "text_key", "source").orderBy("key", "upto"))
-    return placed.select(
-        F.col("id").alias(id_column), "size", "source_size", "target", (F.col("whole") * F.col("size") + extra).cast("long").alias("taken"),
-        "source", "text_key", repeat.alias("repeat"),
+    drawn = placed.withColumns({"extra": extra, "repeat": repeat})
+    once = draw(seed, "id", "source", "text_key", "repeat") * F.col("size") < F.col("extra")
+    times = F.col("whole") + F.when(once, 1).otherwise(0)
+    return drawn.select(
+        F.col("id").alias(id_column), "size", "source_size", "target", (times * F.col("size")).cast("long").alias("taken"),
+        "source", "text_key", "repeat",
     )
 
 
+def draw(seed: str, *columns: str) -> Column:
+    """Number in [0, 1) that depends on the seed and the columns; the same on every engine and partitioning."""
+    key = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns]
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed} draw"), *key)), 1, 8), 16, 10).cast("double") / 2.0**32
+
+
 def _small(targets: DataFrame, rows: int = 100_000) -> bool:
     """Whether the list of sources has a size that may be broadcast; it is counted, not guessed."""
     return targets.count() <= rows
 
 
-def whole_repetitions(plan: DataFrame, id_column: str = "doc_id", seed: str = "mix") -> DataFrame:
-    """The plan with `taken` a multiple of `size`.
-
-    A document of which the plan takes a part beyond its whole repetitions is taken once more with
-    the probability of that part, so the expected words are those of the plan; each piece of a source
-    is off by less than that one document. The draw depends on id, source, text and place among equal
-    rows, not on the order of the documents.
-    """
-    key = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in (id_column, "source", "text_key", "repeat")]
-    draw = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed} draw"), *key)), 1, 8), 16, 10).cast("double") / 2.0**32
-    rest = F.col("taken") % F.greatest("size", F.lit(1))
-    return plan.withColumn("taken", F.col("taken") - rest + F.when(draw * F.col("size") < rest, F.col("size")).otherwise(F.lit(0)))
-
-
-def first_words(text: str, words: int) -> str:
-    """The text up to the end of its n-th word."""
-    end = 0
-    for n, found in enumerate(_word.finditer(text), 1):
-        end = found.end()
-        if n == words:
-            break
-    return text[:end]
-
-
-def _repetitions(batches: Iterator[pa.RecordBatch], text: str, length: str | None, columns: list[str]) -> Iterator[pa.RecordBatch]:
-    for batch, _, _ in cut_batches(batches, text):
-        size, taken = batch.column("_size").to_pylist(), batch.column("_taken").to_pylist()
-        rows, begun = [], {}
-        for row, (s, t) in enumerate(zip(size, taken, strict=True)):
-            whole, rest = divmod(t, s) if s else (0, 0)
-            rows += [row] * whole
-            if rest:
-                begun[len(rows)] = rest
-                rows.append(row)
-        out = pa.Table.from_batches([batch.select(columns)]).take(pa.array(rows, pa.int64()))
-        texts = out[text].to_pylist()
-        for at, words in begun.items():
-            texts[at] = first_words(texts[at], words)
-        out = out.set_column(columns.index(text), text, pa.array(texts, out.schema.field(text).type))
-        if length and begun:
-            chars = [len(texts[at]) if at in begun else n for at, n in enumerate(out[length].to_pylist())]
-            out = out.set_column(columns.index(length), length, pa.array(chars, out.schema.field(length).type))
-        yield from out.to_batches()
-
-
 def repeat_documents(docs: DataFrame, plan: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                     source_column: str = "source", length_column: str | None = "n_chars") -> DataFrame:
-    """The documents as often as the plan takes them.
-
-    With a plan of whole repetitions texts are whole; by one to the word (`mixture` as it is) the last
-    repetition may be the beginning of a text. Documents that are not taken, among them those without
-    words, do not appear.
-    """
-    numbered = docs.withColumn("_key", F.xxhash64(text_column)).withColumn("_source", F.col(source_column).cast("string"))
+                     source_column: str = "source") -> DataFrame:
+    """The documents as often as the plan takes them, always whole; those that it does not take, or without words, do not appear."""
+    numbered = docs.withColumn("_key", F.md5(text_column)).withColumn("_source", F.col(source_column).cast("string"))
     repeat = F.row_number().over(Window.partitionBy(id_column, "_key", "_source").orderBy(F.lit(1)))
     numbered = numbered.withColumn("_repeat", repeat)
     found = plan.where("taken > 0").select(
         F.col(id_column).alias("_id"), F.col("text_key").alias("_k"), F.col("source").alias("_s"), F.col("repeat").alias("_r"),
-        F.col("size").alias("_size"), F.col("taken").alias("_taken"),
+        (F.col("taken") / F.col("size")).cast("int").alias("_times"),
     )
     joined = numbered.join(
         found, F.col(id_column).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")) & F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_repeat") == F.col("_r"))
     )
-    length = length_column if length_column in docs.columns else None
-    columns = docs.columns
-    return joined.select(*columns, "_size", "_taken").mapInArrow(lambda b: _repetitions(b, text_column, length, columns), docs.schema)
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)

@@ -44,7 +44,7 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 OP5_SQL = r"""
 WITH sizes AS (
-    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5(text) AS text_key FROM documents
 ), totals AS (
     SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n_docs,
         [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1] AS weight
@@ -59,20 +59,24 @@ WITH sizes AS (
     ORDER BY cap / weight, encode(source) NULLS LAST LIMIT 1
 ), targets AS (SELECT source, source_size, n_docs, least(cap, level * weight) AS target FROM caps, level
 ), placed AS (
-    SELECT s.doc_id, s.source, s.size, t.source_size, t.target, md5('mix:' || coalesce(s.doc_id::VARCHAR, 'null')) AS key,
+    SELECT s.doc_id, s.source, s.size, s.text_key, t.source_size, t.target, md5('mix:' || coalesce(s.doc_id::VARCHAR, 'null')) AS key,
         ('0x' || md5('mix:' || coalesce(s.doc_id::VARCHAR, 'null'))[1:8])::BIGINT % ceil(t.n_docs / 4096)::BIGINT AS piece,
         CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS whole
     FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 ), parts AS (
     SELECT *, CASE WHEN source_size > 0 THEN (target - whole * source_size) / source_size ELSE 0.0 END AS part,
-        sum(size) OVER (PARTITION BY source, piece ORDER BY key, size ROWS UNBOUNDED PRECEDING) AS upto FROM placed
+        sum(size) OVER (PARTITION BY source, piece ORDER BY key, size, text_key NULLS FIRST ROWS UNBOUNDED PRECEDING) AS upto FROM placed
 ), pieces AS (
     SELECT source, piece, part, sum(size) AS piece_size, sum(sum(size)) OVER (PARTITION BY source ORDER BY piece) AS piece_upto
     FROM parts GROUP BY source, piece, part
+), extras AS (  -- the part of a document inside its piece's share: a seeded draw takes it whole or not at all
+    SELECT p.*, greatest(0, least(p.size, floor(q.piece_upto * q.part) - floor((q.piece_upto - q.piece_size) * q.part) - p.upto + p.size)) AS extra,
+        row_number() OVER (PARTITION BY doc_id, text_key, p.source ORDER BY key, upto) AS repeat
+    FROM parts p JOIN pieces q ON p.source IS NOT DISTINCT FROM q.source AND p.piece = q.piece
 )
-SELECT p.doc_id, p.size, p.source_size, p.target, (p.whole * p.size + greatest(0, least(p.size,
-    floor(q.piece_upto * q.part) - floor((q.piece_upto - q.piece_size) * q.part) - p.upto + p.size)))::BIGINT AS taken
-FROM parts p JOIN pieces q ON p.source IS NOT DISTINCT FROM q.source AND p.piece = q.piece
+SELECT doc_id, size, source_size, target, (size * (whole + CASE WHEN size * (('0x' || md5(concat_ws(':', 'mix draw', coalesce(doc_id::VARCHAR, 'null'),
+    coalesce(source, 'null'), coalesce(text_key, 'null'), repeat::VARCHAR))[1:8])::BIGINT / 4294967296.0::DOUBLE) < extra THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM extras
 """
 
 

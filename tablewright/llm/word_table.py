@@ -33,6 +33,8 @@ from tablewright.sources.tables import stored
 CHUNK_BYTES = 24 << 20
 #: Text whose words fill one bucket of the word table.
 BUCKET_BLOCKS = 16
+#: Words whose ids a worker holds at a time.
+SLICE_WORDS = 1 << 19
 # The kinds of stages under which white space parts words for good.
 _NORMALIZERS = {"NFC", "NFKC", "Replace", "Lowercase"}
 _SPLITTERS = {"Split", "ByteLevel", "Whitespace", "WhitespaceSplit", "Punctuation", "Digits"}
@@ -163,24 +165,29 @@ def _library(tokenizer, words: list[str]) -> Runs:
     return Runs.of([m.ids for m in tokenizer.encode_batch_fast(words, add_special_tokens=False)])
 
 
-def _expand(chunk: pa.Table, answers: pa.Table, out: pa.Schema) -> pa.Table:
-    """The ids of every text of one chunk, from the ids of its distinct words."""
-    made = []
-    for row in chunk.to_pylist():
-        (bucket,), (place,), (counts,) = unpack(row["bucket_of"], ["<u4"]), unpack(row["places"], ["<u4"]), unpack(row["counts"], ["<u4"])
-        # Words lie in their bucket in the order of their numbers, so a stable sort by bucket undoes the split.
-        split, parts = np.argsort(bucket, kind="stable"), sorted(answers.to_pylist(), key=lambda a: a["bucket"])
-        runs = [_unpack_runs(a["ids"]) for a in parts]
-        words = Runs(np.concatenate([np.zeros(0, np.uint32), *(r.values for r in runs)]), np.concatenate([np.zeros(0, np.int64), *(r.sizes for r in runs)]))
-        back = np.empty(len(split), np.int64)
-        back[split] = np.arange(len(split))
-        texts = words.take(back).take(place.astype(np.int64)).joined(np.r_[0, np.cumsum(counts, dtype=np.int64)])
-        others = from_ipc([row["others"]])
-        bounds = np.r_[0, np.cumsum(texts.sizes)]
-        ids = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(texts.values.astype(np.int32)))
-        columns = {f.name: others[f.name] for f in out if f.name in others.column_names}
-        made.append(pa.table({**columns, "n_tokens": pa.array(texts.sizes), "ids": ids}).cast(out))
-    return pa.concat_tables(made) if made else out.empty_table()
+def _expand(group: Iterator[pa.RecordBatch], out: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The ids of every text of one chunk, from its own row and the ids of its distinct words."""
+    rows = [row for batch in group for row in batch.to_pylist()]
+    (chunk,) = (row for row in rows if row["others"] is not None)
+    runs = [_unpack_runs(row["ids"]) for row in sorted((r for r in rows if r["others"] is None), key=lambda r: r["bucket"])]
+    del rows
+    (bucket,), (place,), (counts,) = unpack(chunk["bucket_of"], ["<u4"]), unpack(chunk["places"], ["<u4"]), unpack(chunk["counts"], ["<u4"])
+    found = Runs(np.concatenate([np.zeros(0, np.uint32), *(r.values for r in runs)]), np.concatenate([np.zeros(0, np.int64), *(r.sizes for r in runs)]))
+    # Words lie in their bucket in the order of their numbers, so a stable sort by bucket undoes the split.
+    back = np.empty(len(bucket), np.int64)
+    back[np.argsort(bucket, kind="stable")] = np.arange(len(bucket))
+    words = found.take(back)
+    others = from_ipc([chunk["others"]])
+    bounds = np.r_[0, np.cumsum(counts, dtype=np.int64)]
+    at = 0
+    while at < len(counts):
+        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + SLICE_WORDS, "right")) - 1)
+        texts = words.take(place[bounds[at]:bounds[to]].astype(np.int64)).joined(bounds[at:to + 1] - bounds[at])
+        ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(texts.sizes)].astype(np.int32)), pa.array(texts.values.astype(np.int32)))
+        part = others.slice(at, to - at)
+        columns = {f.name: part[f.name] for f in out if f.name in part.column_names}
+        yield from pa.table({**columns, "n_tokens": pa.array(texts.sizes), "ids": ids}).cast(out).combine_chunks().to_batches()
+        at = to
 
 
 def encode_texts(docs: DataFrame, tokenizer_file: str, text: str = "text") -> DataFrame:
@@ -206,10 +213,12 @@ def encode_texts(docs: DataFrame, tokenizer_file: str, text: str = "text") -> Da
     answers = asked.groupBy("bucket").applyInArrow(lambda group: _encode_bucket(group, tokenizer_file), "chunk long, bucket int, ids binary")
     schema = with_fields(rest.schema, "n_tokens long, ids array<int>")
     arrow = _arrow(schema)
-    return (
-        chunks.drop("asked").groupBy("chunk").cogroup(answers.groupBy("chunk"))
-        .applyInArrow(lambda a, b: _expand(a, b, arrow), schema)
-    )
+
+    def expand(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _expand(group, arrow)
+
+    both = chunks.drop("asked").unionByName(answers, allowMissingColumns=True)
+    return both.groupBy("chunk").applyInArrow(expand, schema)
 
 
 def _arrow(schema: StructType) -> pa.Schema:

@@ -115,6 +115,38 @@ def test_parts_of_large_buckets_change_nothing(docs, monkeypatch):
     assert sorted(map(repr, minhash_join.near_duplicates(docs).collect())) == plain
 
 
+def test_recall_at_low_thresholds(spark):
+    assert minhash_join.choose_bands(0.8, 0.99999) == (22, 4)
+    for threshold in (0.01, 0.05, 0.1, 0.5, 0.9, 1.0):
+        bands, rows = minhash_join.choose_bands(threshold, 0.99999)
+        assert 1 - (1 - threshold**rows) ** bands >= 0.99999
+    rnd = random.Random(4)
+    texts = []
+    for pair in range(40):
+        shared = [f"s{pair}x{k}" for k in range(14)]
+        texts += [" ".join([*shared, *(f"p{pair}s{side}x{k}" for k in range(34))]) for side in range(2)]
+    rnd.shuffle(texts)
+    rows = minhash_join.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), threshold=0.1).collect()
+    assert [r.n_links for r in rows] == [1] * 80
+
+
+def test_pipeline_keeps_texts_that_share_an_id(spark):
+    import corpus_pipeline
+
+    a, b = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(30))
+    rows = [(1, a), (1, b), (2, b + " tail"), (3, "one two three"), (3, "one two three"), (3, " one  two three"), (None, a), (None, "no other text like it"),
+            (4, None), (4, None), (4, ""), (5, " "), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, k, "z") for k, (i, t) in enumerate(rows)], DOCS)
+    out = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns
+    kept = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+    # The blank inside of the third text of id 3 makes it equal in words only; one of the three stays.
+    three = [t for i, t in kept if i == 3]
+    assert len(three) == 1 and three[0].split() == ["one", "two", "three"]
+    rest = [(1, a), (1, b), (None, "no other text like it"), (4, None), (4, None), (4, ""), (5, " "), (None, None)]
+    assert [r for r in kept if r[0] != 3] == sorted(rest, key=repr)
+
+
 def test_mixture_meets_targets(docs):
     rows = mixing.mixture(docs).collect()
     assert len(rows) == docs.count()
@@ -125,7 +157,8 @@ def test_mixture_meets_targets(docs):
     total = sum(r["size"] for r in rows)
     assert abs(sum(v[0].target for v in by.values()) - 1.5 * total) < 1e-6 * total
     for own in by.values():
-        assert own[0].target <= 2 * own[0].source_size and abs(sum(r.taken for r in own) - own[0].target) <= 2
+        assert own[0].target <= 2 * own[0].source_size and abs(sum(r.taken for r in own) - own[0].target) <= max(r["size"] for r in own) + 2
+        assert all(r.taken % max(1, r["size"]) == 0 for r in own)
     plan = mixing.mixture(docs)
     out = mixing.repeat_documents(docs, plan).collect()
     assert sum(len((r.text or "").split()) for r in out) == sum(r.taken for r in rows)
@@ -149,8 +182,7 @@ def test_pipeline_mixes_whole_texts(spark, docs):
         largest[r.source] = max(largest.get(r.source, 0), r["size"])
     assert all(abs(words.get(s, 0) - target[s]) <= largest[s] + 2 for s in target)
     assert abs(sum(words.values()) - sum(target.values())) < 0.1 * sum(target.values())
-    whole = mixing.whole_repetitions(mixing.mixture(every)).collect()
-    assert all(r.taken % max(1, r["size"]) == 0 and r.taken <= 2 * r["size"] for r in whole) and sum(r.taken for r in whole) == sum(words.values())
+    assert all(r.taken % max(1, r["size"]) == 0 and r.taken <= 2 * r["size"] for r in plan) and sum(r.taken for r in plan) == sum(words.values())
 
 
 def test_chat_round_trip(spark):
