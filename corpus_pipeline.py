@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import byte_bpe, importance, minhash_join, mixing, suffix_dedup
@@ -21,18 +21,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates the document with the smallest id.
+    """Of each class of near-duplicates the document with the smallest id; texts without words all stay.
 
-    Documents without an id stay unless a document with one is their near-duplicate. Of rows that
-    repeat an id the one with the smallest text stays.
+    Documents without an id stay unless a document with one is their near-duplicate. Rows that repeat
+    an id are documents of their own unless their texts are near-duplicates.
     """
-    classes = minhash_join.near_duplicates(docs.select("doc_id", "text"), words=5, threshold=0.8)
-    first = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return kept.withColumn("_place", place).where("doc_id is null or _place = 1").drop("_place")
+    return minhash_join.one_per_class(docs, words=5, threshold=0.8)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +38,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's target takes them, always whole texts."""
     plan = mixing.mixture(docs.select("doc_id", "text", "source"))
-    return mixing.repeat_documents(docs, mixing.whole_repetitions(plan))
+    return mixing.repeat_documents(docs, plan)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
