@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.ladders import global_rank, split_row_number, with_value_piece
-from tablewright.functions.scalars import hash_bucket, nine_digits, ratio, unit_vector, vector_mean
+from tablewright.functions.scalars import hash_bucket, nine_digits, ratio, unit_vector
+from tablewright.operators.products import nearest_rows, sparse_times_dense
 from tablewright.operators.retrieval import block_topk
 from tablewright.session import pieces
 from tablewright.sources.tables import stored
@@ -77,102 +78,9 @@ def popularity_topk(train: DataFrame, users: DataFrame, k: int = 10) -> DataFram
     )
 
 
-PAIR_SCHEMA = "a long, b long, part double"
-# Products expanded at a time.
-SLICE = 4_000_000
-# Users with longer histories share blocks of this many users.
-HEAVY_USERS = 64
-
-
-def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    found, where = np.unique(keys, return_inverse=True)
-    return found, np.bincount(where, weights=values, minlength=len(found))
-
-
-def _cell_products(left: pd.DataFrame, right: pd.DataFrame, same_block: bool) -> pd.DataFrame:
-    """Sums over the users of one cell of value products, for items of two blocks."""
-    li, lcode = np.unique(left["i"].to_numpy(), return_inverse=True)
-    ri, rcode = np.unique(right["i"].to_numpy(), return_inverse=True)
-    users, lu = np.unique(left["u"].to_numpy(), return_inverse=True)
-    ru = np.minimum(np.searchsorted(users, right["u"].to_numpy()), len(users) - 1)
-    known = users[ru] == right["u"].to_numpy()
-    ru, rcode, rx = ru[known], rcode[known], right["x"].to_numpy()[known]
-    lx = left["x"].to_numpy()
-    per_user = np.bincount(ru, minlength=len(users))
-    reps = per_user[lu]
-    order = np.argsort(ru, kind="stable")
-    starts = np.concatenate([[0], np.cumsum(per_user)])[:-1]
-    ends = np.cumsum(reps)
-    slices = np.unique(np.searchsorted(ends, np.arange(0, ends[-1] + SLICE, SLICE), side="left"))
-    edges = [0, *[int(e) for e in slices if 0 < e < len(lu)], len(lu)]
-    keys, sums = np.empty(0, dtype=np.int64), np.empty(0)
-    for lo, hi in zip(edges, edges[1:]):
-        r = reps[lo:hi]
-        lrow = lo + np.repeat(np.arange(hi - lo), r)
-        inside = np.arange(len(lrow)) - np.repeat(np.cumsum(r) - r, r)
-        rrow = order[np.repeat(starts[lu[lo:hi]], r) + inside]
-        if same_block:
-            once = li[lcode[lrow]] < ri[rcode[rrow]]
-            lrow, rrow = lrow[once], rrow[once]
-        part = _summed(lcode[lrow].astype(np.int64) * len(ri) + rcode[rrow], lx[lrow] * rx[rrow])
-        keys, sums = part if not len(keys) else _summed(np.concatenate([keys, part[0]]), np.concatenate([sums, part[1]]))
-    x, y = keys // len(ri), keys % len(ri)
-    first, second = li[x], ri[y]
-    # The smaller id comes first, so that cells of every kind name a pair alike.
-    out = pd.DataFrame({"a": np.minimum(first, second), "b": np.maximum(first, second), "part": sums})
-    return out[first < second] if same_block else out
-
-
-def cosine_neighbours(
-    ratings: DataFrame, item: str, user: str, k: int = 50, user_block: int = 256, item_block: int = 4096, heavy_at: int = 1000
-) -> DataFrame:
-    """`(item, neighbour, sim)`: the k most similar items by cosine over common users, exact.
-
-    The product of the rating matrix with itself is summed cell by cell. Users of at most
-    `heavy_at` ratings go into cells of `user_block` users, without any copy of their rows. Longer
-    histories are cut into item blocks and meet block by block, so neither a user who rated
-    everything nor an item rated by everybody makes a large group. Only summed item pairs leave a
-    cell, and no history is shortened. Expects one rating per user and item.
-    """
-    counts = ratings.groupBy(user).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = stored(counts.where(F.col("_n") > heavy_at).select(user), "heavy")
-    h_blocks = max(1, -(-heavy.count() // HEAVY_USERS))
-    size = ratings.agg(F.approx_count_distinct(user).alias("u"), F.approx_count_distinct(item).alias("i")).first()
-    u_blocks, i_blocks = max(1, -(-size["u"] // user_block)), max(1, -(-size["i"] // item_block))
-    length = ratings.groupBy(item).agg(F.sqrt(F.sum(F.col("rating") * F.col("rating"))).alias("_len"))
-    marked = ratings.join(length, item).join(heavy.withColumn("_heavy", F.lit(1)), user, "left")
-    is_heavy = F.col("_heavy").isNotNull()
-
-    def block(c: str, n: int) -> Column:
-        return F.pmod(F.xxhash64(F.col(c), F.lit(7)), F.lit(n)).cast("int")
-
-    rows = marked.select(
-        F.col(user).cast("long").alias("u"), F.col(item).cast("long").alias("i"), ratio("rating", "_len").alias("x"),
-        F.when(is_heavy, -1 - block(user, h_blocks)).otherwise(block(user, u_blocks)).alias("ub"),
-        F.when(is_heavy, block(item, i_blocks)).otherwise(0).alias("b"),
-        F.when(is_heavy, i_blocks - 1).otherwise(0).alias("_last"),
-    )
-    left = rows.withColumn("p", F.col("b")).withColumn("q", F.explode(F.sequence("b", "_last")))
-    # Fresh column names keep the two uses of the same table apart.
-    again = rows.select(*[F.col(c).alias(c) for c in rows.columns])
-    right = again.withColumn("q", F.col("b")).withColumn("p", F.explode(F.sequence(F.lit(0), F.col("b"))))
-
-    def multiply(key, lhs: pd.DataFrame, rhs: pd.DataFrame) -> pd.DataFrame:
-        if lhs.empty or rhs.empty:
-            return pd.DataFrame({"a": [], "b": [], "part": []})
-        return _cell_products(lhs, rhs, key[1] == key[2])
-
-    cell = ["ub", "p", "q"]
-    columns = ["u", "i", "x", *cell]
-    parts = (
-        left.select(*columns).groupBy(*cell).cogroup(right.select(*columns).groupBy(*cell)).applyInPandas(multiply, PAIR_SCHEMA)
-    )
-    sims = parts.groupBy("a", "b").agg(F.sum("part").alias("sim"))
-    both = sims.select(F.explode(F.array(
-        F.struct(F.col("a").alias(item), F.col("b").alias("neighbour"), "sim"),
-        F.struct(F.col("b").alias(item), F.col("a").alias("neighbour"), "sim"))).alias("s")).select("s.*")
-    best = Window.partitionBy(item).orderBy(nine_digits("sim").desc(), "neighbour")
-    return both.withColumn("_rn", F.row_number().over(best)).where(F.col("_rn") <= k).drop("_rn")
+def cosine_neighbours(ratings: DataFrame, item: str, user: str, k: int = 50) -> DataFrame:
+    """`(item, neighbour, sim)`: the k most similar items by cosine over common users, exact."""
+    return nearest_rows(ratings, item, user, "rating", k)
 
 
 def _weighted_unseen(pairs: DataFrame, train: DataFrame) -> DataFrame:
@@ -217,7 +125,7 @@ def user_knn_topk(train: DataFrame, neighbours: DataFrame, k: int = 10) -> DataF
 def content_profiles(train: DataFrame, items: DataFrame) -> DataFrame:
     """Unit vector per user: rating-weighted sum of unit item vectors."""
     units = items.select("movieId", unit_vector("embedding").alias("embedding"))
-    sums = vector_mean(train.join(units, "movieId"), ["userId"], "embedding", "rating")
+    sums = sparse_times_dense(train, units, "userId", "movieId", "rating", "embedding", "profile")
     return sums.select("userId", unit_vector("profile").alias("profile"))
 
 

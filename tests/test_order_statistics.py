@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tablewright.functions import ladders as L
 from tablewright.operators import metrics as E
+from tablewright.operators import products as PR
 from tablewright.operators import recsys as K
 from tablewright.operators import retail as R
 from tablewright.operators import retrieval as V
@@ -91,11 +93,12 @@ def matrix(ratings):
     return x
 
 
-@pytest.mark.parametrize("blocks", [(256, 4096, 1000), (7, 9, 10), (7, 9, 0)])
-@pytest.mark.parametrize("products", [4_000_000, 100])
-def test_neighbours_equal_dense_product(ratings, blocks, products, monkeypatch):
-    monkeypatch.setattr(K, "SLICE", products)
-    got = K.cosine_neighbours(ratings, "movieId", "userId", 5, *blocks).toPandas()
+@pytest.mark.parametrize("work", [1 << 22, 200, 10])
+@pytest.mark.parametrize("held", [1 << 21, 50])
+def test_neighbours_equal_dense_product(ratings, work, held, monkeypatch):
+    monkeypatch.setattr(PR, "HELD_PRODUCTS", held)
+    monkeypatch.setattr(PR, "PART_ENTRIES", 7)
+    got = PR.nearest_rows(ratings, "movieId", "userId", "rating", 5, work).toPandas()
     x = matrix(ratings)
     unit = x / np.maximum(np.linalg.norm(x, axis=0), 1e-12)
     sim = np.round(unit.T @ unit, 9)
@@ -107,12 +110,12 @@ def test_neighbours_equal_dense_product(ratings, blocks, products, monkeypatch):
         assert sorted(mine["sim"]) == pytest.approx(sorted(sim[item, best]))
 
 
-@pytest.mark.parametrize("blocks", [(256, 4096, 1000), (1, 1, 1000), (7, 2, 0)])
-def test_neighbours_of_opposite_ratings(spark, blocks):
+@pytest.mark.parametrize("work", [1 << 22, 1])
+def test_neighbours_of_opposite_ratings(spark, work):
     """Common users whose products cancel still make two items neighbours, whatever the blocks."""
     rows = [(1, 1, 1.0), (1, 2, 1.0), (2, 1, 1.0), (2, 2, -1.0), (3, 3, 2.0)]
     data = spark.createDataFrame(rows, "userId long, movieId long, rating double")
-    got = K.cosine_neighbours(data, "movieId", "userId", 5, *blocks).collect()
+    got = PR.nearest_rows(data, "movieId", "userId", "rating", 5, work).collect()
     assert sorted((r.movieId, r.neighbour, round(r.sim, 12)) for r in got) == [(1, 2, 0.0), (2, 1, 0.0)]
 
 
@@ -168,6 +171,59 @@ def test_block_search_equals_dense_product(spark, rows):
         assert list(got[got["query_id"] == k].sort_values("rank")["item_id"]) == want
 
 
+def test_few_neighbours_leave_a_cell(ratings):
+    """With an item in one cell only its k best are shuffled; signed values keep the lists exact in many cells."""
+    signed = ratings.withColumn("rating", F.col("rating") - 3).where("rating <> 0")
+    lists = [{(r.movieId, r.neighbour, round(r.sim, 9)) for r in PR.nearest_rows(signed, "movieId", "userId", "rating", 3, w).collect()} for w in (1 << 22, 5)]
+    assert lists[0] == lists[1]
+    x = np.zeros((40, 60))
+    for r in signed.collect():
+        x[r.userId, r.movieId] = r.rating
+    x *= np.random.default_rng(1).uniform(0.9, 1.1, x.shape)  # no ties
+    left = pa.table({"f": np.nonzero(x)[0], "i": np.nonzero(x)[1], "x": x[np.nonzero(x)], "cuts": np.ones((x != 0).sum(), np.int32)})
+    lists = [[{"i": int(i), "x": float(x[u, i])} for i in np.flatnonzero(x[u])] for u in range(40)]
+    right = pa.table({"f": pa.array(range(40)), "list": pa.array(lists, pa.list_(pa.struct([("i", pa.int64()), ("x", pa.float64())])))})
+    sent = PR._cell_neighbours(left, right, 3)
+    assert 0 < sent.num_rows <= 3 * 60
+
+
+@pytest.mark.parametrize("block", [4096, 6])
+def test_sparse_product_equals_dense(ratings, spark, block, monkeypatch):
+    monkeypatch.setattr(PR, "BLOCK_ROWS", block)
+    monkeypatch.setattr(PR, "CELL_ENTRIES", 5 * block)
+    rng = np.random.default_rng(12)
+    dense = rng.normal(size=(60, 4))
+    rows = [(m, v.tolist()) for m, v in enumerate(dense) if m != 7] + [(7, None), (99, [1.0] * 4)]
+    frame = spark.createDataFrame(rows, "movieId long, v array<double>")
+    got = {r.userId: r["product"] for r in PR.sparse_times_dense(ratings, frame, "userId", "movieId", "rating", "v").collect()}
+    x = matrix(ratings)
+    x[:, 7] = 0
+    for u in range(40):
+        assert got[u] == pytest.approx(list(x[u] @ dense)) if x[u].any() else u not in got
+    total = PR.gram(frame.where("v is not null"), "v", 4)
+    kept = np.vstack([np.delete(dense, 7, 0), np.ones(4)])
+    assert total == pytest.approx(kept.T @ kept)
+    turned = PR.times_matrix(frame.where("v is not null"), "movieId", "v", np.diag([1.0, 2, 3, 4])).where("movieId = 99").first()
+    assert turned["v"] == [1.0, 2.0, 3.0, 4.0]
+
+
+def test_far_clusters_are_not_visited(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    axes = np.eye(16) * 10
+    points = np.concatenate([a + rng.normal(size=(40, 16)) * 0.1 for a in axes])
+    items = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(points)], "i long, v array<double>")
+    queries = spark.createDataFrame([(k, (axes[k % 16] + rng.normal(size=16) * 0.1).tolist()) for k in range(64)] + [(99, [0.0] * 16), (100, None)], "q long, v array<double>")
+    visits, scored = [], V._scored
+    monkeypatch.setattr(V, "_scored", lambda v, *rest: (visits.append(v.count()), scored(v, *rest))[1])
+    got = V.block_topk(queries, items, 5, "q", "i", "v", "v", block_rows=40).toPandas()
+    vectors = {r.q: np.array(r.v) for r in queries.where("v is not null").collect()}
+    for q, v in vectors.items():
+        want = np.lexsort((np.arange(640), -np.round(points @ v, 9)))[:5]
+        assert list(got[got["query_id"] == q].sort_values("rank")["item_id"]) == list(want)
+    # Each query sees the block of its own direction; only the zero vector, whose scores all tie, goes everywhere.
+    assert visits[0] == 65 and visits[1] <= 64 * 3 + 20
+
+
 def test_similar_items_leave_self_out(spark, tables):
     got = V.similar_items(tables.embeddings, 5, "vec_id", "embedding")
     assert got.where("query_id = item_id").count() == 0
