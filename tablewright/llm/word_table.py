@@ -30,7 +30,9 @@ from tablewright.llm.words import cut_batches, span_hashes, word_spans
 from tablewright.sources.tables import stored
 
 #: Text of one chunk: what shares a list of distinct words.
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 12 << 20
+#: Text whose places are worked out at a time.
+PIECE_BYTES = 1 << 20
 #: Text whose words fill one bucket of the word table.
 BUCKET_BLOCKS = 16
 #: Words whose ids a worker holds at a time.
@@ -43,7 +45,8 @@ _SPLITTERS = {"Split", "ByteLevel", "Whitespace", "WhitespaceSplit", "Punctuatio
 def _slices(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> pa.Array:
     """Slices of bytes as a column of words."""
     at = np.r_[0, np.cumsum(size)]
-    place = np.repeat(begin - at[:-1], size) + np.arange(at[-1])
+    place = np.arange(at[-1])
+    place += np.repeat(begin - at[:-1], size)
     return pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(data[place]))])
 
 
@@ -101,15 +104,17 @@ def _chunks(rows: Iterator[pa.RecordBatch], text: str, buckets: int) -> Iterator
 
     def emit() -> pa.RecordBatch:
         whole = pa.chunked_array([w for _, w, _, _ in held]).combine_chunks().dictionary_encode()
-        number, places, at = whole.indices.to_numpy().astype(np.int64), [], 0
+        number, at, count = whole.indices.to_numpy(), 0, np.zeros(len(whole.dictionary), np.int64)
+        numbers = []
         for _, words, index, _ in held:
-            places.append(number[at:at + len(words)][index])
+            numbers.append(number[at:at + len(words)])
+            count += np.bincount(numbers[-1], np.bincount(index, minlength=len(words)), len(count)).astype(np.int64)
             at += len(words)
-        place = np.concatenate(places)
         # The commonest word gets number 0: small numbers pack well.
-        by_count = np.argsort(-np.bincount(place, minlength=len(whole.dictionary)), kind="stable")
-        renumber = np.empty(len(by_count), np.int64)
+        by_count = np.argsort(-count, kind="stable")
+        renumber = np.empty(len(by_count), "<u4")
         renumber[by_count] = np.arange(len(by_count))
+        places = np.concatenate([renumber[n][index] for n, (_, _, index, _) in zip(numbers, held, strict=True)])
         words = whole.dictionary.take(pa.array(by_count))
         data, bounds = _flat(words)
         bucket = (mix(span_hashes(data, bounds[:-1], bounds[1:])) % np.uint64(buckets)).astype(np.int32)
@@ -118,7 +123,7 @@ def _chunks(rows: Iterator[pa.RecordBatch], text: str, buckets: int) -> Iterator
         return pa.RecordBatch.from_pylist([{
             "chunk": uuid.uuid4().int >> 65, "others": to_ipc(others),
             "counts": pack([np.concatenate([c for _, _, _, c in held]).astype("<u4")]),
-            "places": pack([renumber[place].astype("<u4")]), "bucket_of": pack([bucket.astype("<u4")]), "asked": asked,
+            "places": pack([places]), "bucket_of": pack([bucket.astype("<u4")]), "asked": asked,
         }], schema=out)
 
     out = pa.schema([
@@ -127,7 +132,7 @@ def _chunks(rows: Iterator[pa.RecordBatch], text: str, buckets: int) -> Iterator
     ])
     held: list[tuple[pa.RecordBatch, pa.Array, np.ndarray, np.ndarray]] = []
     size = 0
-    for batch, data, offsets in cut_batches(rows, text):
+    for batch, data, offsets in cut_batches(rows, text, PIECE_BYTES):
         start, end, first = word_spans(data, offsets)
         words = _slices(data, start, end - start).dictionary_encode()
         rest = batch.drop_columns([text])

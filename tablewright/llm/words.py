@@ -20,13 +20,15 @@ _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 BATCH_BYTES = 4 << 20
 
 
-def cut_batches(rows: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Batches with the bytes of their texts and each text's bounds."""
+def cut_batches(
+    rows: Iterator[pa.RecordBatch], text: str = "text", size: int = BATCH_BYTES
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Batches of about `size` bytes with the bytes of their texts and each text's bounds."""
     for batch in rows:
         data, offsets = byte_column(batch.column(text))
         at = 0
         while at < batch.num_rows:
-            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BATCH_BYTES, "right")) - 1)
+            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
             yield batch.slice(at, to - at), data[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at]
             at = to
 
