@@ -174,8 +174,8 @@ FROM embeddings e JOIN components c USING (vec_id) LEFT JOIN counts n USING (vec
 
 def op11_word_table(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = Path(public_tokenizers.path("word_bpe_49k.json")).read_text()
-    encoded = word_table.encode_texts(table(spark, folder, "documents").select("doc_id", "text"), tokenizer)
-    return word_table.decode_ids(encoded, tokenizer).select(
+    made = word_table.encode_texts(table(spark, folder, "documents").select("doc_id", "text"), tokenizer, decoded="decoded")
+    return made.select(
         "doc_id", "n_tokens", F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 

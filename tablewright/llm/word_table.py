@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -195,16 +196,19 @@ def _expand(group: Iterator[pa.RecordBatch], out: pa.Schema) -> Iterator[pa.Reco
         at = to
 
 
-def encode_texts(docs: DataFrame, tokenizer_file: str, text: str = "text") -> DataFrame:
+def encode_texts(docs: DataFrame, tokenizer_file: str, text: str = "text", decoded: str | None = None) -> DataFrame:
     """Every row with `n_tokens` and `ids` of its text instead of the text, as the tokenizers library encodes it without special tokens.
 
+    With `decoded` the ids are decoded again into a column of that name, as `decode_ids` does, by
+    the worker that has them.
+
     `tokenizer_file` is the content of a tokenizer file that drops white space between words;
     another one raises ValueError. Null and empty texts have no ids; ties and repeated rows are rows of their own; a
     text longer than a chunk is a chunk by itself; an empty table gives an empty table. Other
-    columns stay, null or not, but for `n_tokens` and `ids`, which are replaced.
+    columns stay, null or not, but for `n_tokens`, `ids` and the decoded text, which are replaced.
     """
     _check(json.loads(tokenizer_file))
-    docs = docs.drop("n_tokens", "ids")
+    docs = docs.drop("n_tokens", "ids", *([decoded] if decoded else []))
     buckets = max(1, block_count(docs.sparkSession, text_bytes(docs, text)) // BUCKET_BLOCKS)
     rest = docs.drop(text)
     chunks = stored(
@@ -218,9 +222,13 @@ def encode_texts(docs: DataFrame, tokenizer_file: str, text: str = "text") -> Da
     answers = asked.groupBy("bucket").applyInArrow(lambda group: _encode_bucket(group, tokenizer_file), "chunk long, bucket int, ids binary")
     schema = with_fields(rest.schema, "n_tokens long, ids array<int>")
     arrow = _arrow(schema)
+    table = _piece_table(docs, tokenizer_file) if decoded else None
+    if decoded:
+        schema = with_fields(schema, f"{decoded} string")
 
     def expand(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _expand(group, arrow)
+        rows = _expand(group, arrow)
+        return _join_pieces(rows, "ids", decoded, table.value) if decoded else rows
 
     both = chunks.drop("asked").unionByName(answers, allowMissingColumns=True)
     return both.groupBy("chunk").applyInArrow(expand, schema)
@@ -243,8 +251,9 @@ def pieces(tokenizer_file: str) -> list[str | None]:
     return out
 
 
-def _join_pieces(rows: Iterator[pa.RecordBatch], ids: str, name: str, table: pa.Array) -> Iterator[pa.RecordBatch]:
+def _join_pieces(rows: Iterator[pa.RecordBatch], ids: str, name: str, by_id: list[str | None]) -> Iterator[pa.RecordBatch]:
     """Each list's pieces, looked up by id and joined by a space; ids without a piece are left out."""
+    table = pa.array(by_id, pa.large_string())
     for whole in rows:
         sizes = pc.fill_null(pc.list_value_length(whole.column(ids)), 0).to_numpy()
         bounds = np.r_[0, np.cumsum(sizes, dtype=np.int64)]
@@ -265,6 +274,13 @@ def _join_pieces(rows: Iterator[pa.RecordBatch], ids: str, name: str, table: pa.
             at = to
 
 
+def _piece_table(df: DataFrame, tokenizer_file: str) -> Broadcast:
+    """The piece table for the workers; a tokenizer with a decoder raises ValueError."""
+    if json.loads(tokenizer_file).get("decoder"):
+        raise ValueError("only tokenizers without a decoder are decoded")
+    return df.sparkSession.sparkContext.broadcast(pieces(tokenizer_file))
+
+
 def decode_ids(encoded: DataFrame, tokenizer_file: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """Every row with the text of its ids, as the library decodes them with special tokens kept.
 
@@ -272,12 +288,9 @@ def decode_ids(encoded: DataFrame, tokenizer_file: str, ids: str = "ids", name:
     does; one with a decoder raises ValueError. Null and empty lists give an empty text, ids without
     a piece nothing. A column of the new name is replaced, all others stay.
     """
-    if json.loads(tokenizer_file).get("decoder"):
-        raise ValueError("only tokenizers without a decoder are decoded")
-    encoded = encoded.drop(name)
-    table = encoded.sparkSession.sparkContext.broadcast(pieces(tokenizer_file))
+    table, encoded = _piece_table(encoded, tokenizer_file), encoded.drop(name)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _join_pieces(rows, ids, name, pa.array(table.value, pa.large_string()))
+        return _join_pieces(rows, ids, name, table.value)
 
     return encoded.mapInArrow(run, with_fields(encoded.schema, f"{name} string"))

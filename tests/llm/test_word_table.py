@@ -35,6 +35,7 @@ def test_ids_and_texts_are_the_library_s(spark, monkeypatch, chunk):
     assert encoded.columns == ["doc_id", "chunk", "n_tokens", "ids"]
     got = {r.chunk: r for r in word_table.decode_ids(encoded, FILE).collect()}
     assert len(got) == len(rows)
+    assert {r.chunk: r for r in word_table.encode_texts(docs, FILE, decoded="decoded").collect()} == got
     for doc, text, _, i in rows:
         ids = library.encode(text or "", add_special_tokens=False).ids
         assert (got[i].doc_id, got[i].n_tokens, got[i].ids) == (doc, len(ids), ids)
