@@ -12,15 +12,18 @@ from pyspark.ml.evaluation import ClusteringEvaluator, RegressionEvaluator
 from pyspark.ml.feature import PCA, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS
-from pyspark.ml.regression import GBTRegressor, IsotonicRegression, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.ladders import split_row_number, with_hash_piece
 from tablewright.functions.scalars import hash_bucket, ratio
+from tablewright.operators.decomposition import truncated_decomposition
+from tablewright.operators.isotonic import interpolated, isotonic_steps
 from tablewright.operators.metrics import regression_metrics
 from tablewright.operators.recsys import contiguous_ids, mean_predictions, vector_topk
+from tablewright.sources.tables import stored
 
 SEED = 42
 
@@ -216,22 +219,18 @@ def calibrated_scores(estimator: Estimator, train: DataFrame, y: str, fold: str,
     for i, name in enumerate(names):
         model = fitted(estimator, train.where(F.col(fold) != i))
         held = positive_probability(model.transform(train.where(F.col(fold) == i)), "_s")
-        iso = IsotonicRegression(featuresCol="_s", labelCol=y, predictionCol=name)
-        steps = fitted(iso, held.select("_s", F.col(y).cast("double").alias(y)))
-        out = steps.transform(positive_probability(model.transform(out), "_s")).drop("_s", "rawPrediction", "probability", "prediction")
+        steps = isotonic_steps(held, y, "_s")
+        scored = positive_probability(model.transform(out), "_s").drop("rawPrediction", "probability", "prediction")
+        out = interpolated(stored(scored, "scored"), "_s", steps, name).drop("_s")
     return out.withColumn("calibrated", reduce(lambda a, b: a + b, [F.col(n) for n in names]) / k).drop(*names)
 
 
 def calibrate(df: DataFrame, y: str, score: str, fold: str, k: int = 3) -> DataFrame:
-    """Mean of k isotonic fits of given scores, each on the rows outside one fold."""
-    out = df
-    names = []
-    for i in range(k):
-        iso = IsotonicRegression(featuresCol=score, labelCol=y, predictionCol=f"_c{i}")
-        train = df.where(F.col(fold) != i).select(F.col(score), F.col(y).cast("double").alias(y))
-        out = fitted(iso, train).transform(out)
-        names.append(F.col(f"_c{i}"))
-    return out.withColumn("calibrated", reduce(lambda a, b: a + b, names) / k).drop(*[f"_c{i}" for i in range(k)])
+    """`calibrated`: mean of k isotonic fits of given scores, each on the rows outside one fold."""
+    out, names = df, [f"_c{i}" for i in range(k)]
+    for i, name in enumerate(names):
+        out = interpolated(out, score, isotonic_steps(df.where(F.col(fold) != i), y, score), name)
+    return out.withColumn("calibrated", reduce(lambda a, b: a + b, [F.col(n) for n in names]) / k).drop(*names)
 
 
 def uplift(df: DataFrame, features: list[str], treatment: str, outcome: str) -> DataFrame:
@@ -319,10 +318,21 @@ def factor_topk(train: DataFrame, factors: tuple[DataFrame, DataFrame], k: int =
     return vector_topk(factors[0], factors[1], k, seen=train)
 
 
-def residual_factors(train: DataFrame, rank: int = 64, iterations: int = 15):
-    """Factors of what the bias model leaves of each rating."""
+def residuals(train: DataFrame) -> DataFrame:
+    """`(userId, movieId, residual)`: what the bias model leaves of each rating."""
     left = mean_predictions(train, train.select("userId", "movieId", "rating"))
-    return factor_model(left.withColumn("residual", F.col("rating") - F.col("bias")), rank, iterations, 0.1, False, "residual")
+    return left.select("userId", "movieId", (F.col("rating") - F.col("bias")).alias("residual"))
+
+
+def residual_factors(train: DataFrame, rank: int = 64, iterations: int = 10) -> tuple[DataFrame, DataFrame]:
+    """`(users, items)`: singular vectors of the residuals times the square roots of the singular values."""
+    users, items, values = truncated_decomposition(residuals(train), "userId", "movieId", "residual", rank, iterations)
+
+    def scaled(df: DataFrame, key: str, name: str) -> DataFrame:
+        roots = F.array(*[F.lit(v**0.5) for v in values])
+        return df.select(key, F.zip_with("vector", roots, lambda x, s: x * s).alias(name))
+
+    return scaled(users, "userId", "profile"), scaled(items, "movieId", "embedding")
 
 
 def residual_predictions(train: DataFrame, pairs: DataFrame, factors: tuple[DataFrame, DataFrame]) -> DataFrame:

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.scalars import flag, half_even, ratio
@@ -82,37 +80,62 @@ def additive_forecast(series: DataFrame, keys: list[str], horizon: int = 30) ->
     )
 
 
+#: Changes that a second-order autoregression needs at least.
+LEAST_CHANGES = 5
+
+
+def autoregressive_fit(series: DataFrame, keys: list[str]) -> DataFrame:
+    """Least squares of each day's change on the two changes before it, one row per series.
+
+    Columns: b0, b1, b2, the last two changes (d1 the later), the last level and day, and a status:
+    `fitted` or `too_short` (under five changes; the coefficients are then null). Where the two
+    earlier changes tell the same, the second has no weight; where they do not vary, neither has.
+    """
+    days = Window.partitionBy(*keys).orderBy("ds")
+    change = series.select(*keys, "ds", "y", (F.col("y") - F.lag("y").over(days)).alias("d"))
+    lagged = change.withColumns({"x1": F.lag("d").over(days), "x2": F.lag("d", 2).over(days)})
+    full = F.col("x2").isNotNull()
+
+    def both(a: str, b: str) -> Column:
+        return F.covar_pop(F.when(full, F.col(a)), F.when(full, F.col(b)))
+
+    sums = lagged.groupBy(*keys).agg(
+        F.count("d").alias("n_changes"), F.max("ds").alias("end"), F.max_by("y", "ds").alias("level"),
+        F.max_by("d", "ds").alias("d1"), F.max_by("x1", "ds").alias("d2"),
+        *[F.avg(F.when(full, F.col(c))).alias(f"m_{c}") for c in ("d", "x1", "x2")],
+        both("x1", "x1").alias("c11"), both("x2", "x2").alias("c22"), both("x1", "x2").alias("c12"),
+        both("x1", "d").alias("c1"), both("x2", "d").alias("c2"),
+    )
+    c = F.col
+    det = c("c11") * c("c22") - c("c12") * c("c12")
+    sound = det > 1e-12 * c("c11") * c("c22")
+    b1 = F.when(sound, (c("c1") * c("c22") - c("c2") * c("c12")) / det).when(c("c11") > 0, c("c1") / c("c11")).otherwise(0.0)
+    b2 = F.when(sound, (c("c2") * c("c11") - c("c1") * c("c12")) / det).otherwise(0.0)
+    enough = c("n_changes") >= LEAST_CHANGES
+    return sums.withColumns({"b1": F.when(enough, b1), "b2": F.when(enough, b2)}).select(
+        *keys, "end", "level", "d1", "d2", "n_changes", (c("m_d") - c("b1") * c("m_x1") - c("b2") * c("m_x2")).alias("b0"), "b1", "b2",
+        F.when(enough, "fitted").otherwise("too_short").alias("status"),
+    )
+
+
 def autoregressive_forecast(series: DataFrame, keys: list[str], horizon: int = 30) -> DataFrame:
-    """Second-order autoregression on day-to-day changes, rolled forward.
+    """`(keys, ds, yhat, status)`: a second-order autoregression on day-to-day changes, rolled forward.
 
-    A group is one daily series, so its size is the number of days, not of sales. Fewer than five changes fit no
-    model: the forecast is then the last value.
+    A series of under five changes fits no model: its rows have a null forecast and the status `too_short`.
     """
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in series.schema.fields if f.name in keys)
-
-    def roll(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ds")
-        y = pdf["y"].to_numpy(dtype=float)
-        d = np.diff(y)
-        if len(d) >= 5:
-            x = np.column_stack([np.ones(len(d) - 2), d[1:-1], d[:-2]])
-            beta, *_ = np.linalg.lstsq(x, d[2:], rcond=None)
-        else:
-            beta = np.zeros(3)
-        steps = list(d[-2:]) if len(d) >= 2 else [0.0, 0.0]
-        level, out = float(y[-1]), []
-        for _ in range(horizon):
-            change = float(beta[0] + beta[1] * steps[-1] + beta[2] * steps[-2])
-            steps.append(change)
-            level += change
-            out.append(level)
-        last = pd.Timestamp(pdf["ds"].iloc[-1])
-        result = pd.DataFrame({"ds": [(last + pd.Timedelta(days=i + 1)).date() for i in range(horizon)], "yhat": out})
-        for k in keys:
-            result[k] = pdf[k].iloc[0]
-        return result[[*keys, "ds", "yhat"]]
-
-    return series.select(*keys, "ds", "y").groupBy(*keys).applyInPandas(roll, f"{fields}, ds date, yhat double")
+    fit = autoregressive_fit(series, keys)
+    start = F.struct(F.col("level").alias("level"), F.col("d1").alias("d1"), F.col("d2").alias("d2"), F.array().cast("array<double>").alias("out"))
+
+    def roll(state: Column, _: Column) -> Column:
+        change = F.col("b0") + F.col("b1") * state["d1"] + F.col("b2") * state["d2"]
+        return F.struct(
+            (state["level"] + change).alias("level"), change.alias("d1"), state["d1"].alias("d2"),
+            F.concat(state["out"], F.array(state["level"] + change)).alias("out"),
+        )
+
+    rolled = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), start, roll)["out"]
+    ahead = fit.select(*keys, "end", "status", F.posexplode(rolled).alias("_i", "yhat"))
+    return ahead.select(*keys, F.date_add("end", F.col("_i") + 1).alias("ds"), "yhat", "status")
 
 
 def walk_forward(series: DataFrame, entity: str, folds: int = 3, horizon: int = 7, min_train: int = 30) -> DataFrame:
@@ -131,7 +154,7 @@ def walk_forward_error(splits: DataFrame, entity: str, forecast, horizon: int =
     keys = [entity, "fold"]
     predicted = forecast(splits.where("role = 'train'").select(*keys, "ds", "y"), keys, horizon)
     test = splits.where("role = 'test'").select(*keys, "ds", "y")
-    per_fold = test.join(predicted.select(*keys, "ds", "yhat"), [*keys, "ds"]).groupBy(*keys).agg(
+    per_fold = test.join(predicted.select(*keys, "ds", "yhat").where("yhat is not null"), [*keys, "ds"]).groupBy(*keys).agg(
         F.avg(F.abs(F.col("y") - F.col("yhat"))).alias("_mae"))
     return per_fold.groupBy(entity).agg(F.avg("_mae").alias("mae"))
 
@@ -146,7 +169,7 @@ def champion_forecast(series: DataFrame, entity: str, horizon: int = 30, folds:
     wins = F.coalesce("additive_mae", inf) <= F.coalesce("autoregressive_mae", inf)
     scores = scores.withColumn("winner", F.when(wins, "additive").otherwise("autoregressive"))
     first = additive_forecast(series, [entity], horizon).select(entity, "ds", "yhat", F.lit("additive").alias("winner"))
-    second = autoregressive_forecast(series, [entity], horizon).withColumn("winner", F.lit("autoregressive"))
+    second = autoregressive_forecast(series, [entity], horizon).select(entity, "ds", "yhat", F.lit("autoregressive").alias("winner"))
     both = first.unionByName(second)
     return scores, both.join(scores.select(entity, "winner"), [entity, "winner"], "left_semi")
 

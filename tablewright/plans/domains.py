@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from tablewright.operators import aggregates as A
@@ -111,10 +113,27 @@ def _(t):
     return f.select("product_line", F.col("ds").cast("string").alias("ds"), *[F.round(c, 3).alias(c) for c in ("yhat", "yhat_lower", "yhat_upper")])
 
 
-@query("fc02_autoregressive_forecast", "transactions")
+def autoregressive_sql(source, keys, horizon):
+    """The autoregression fitted to `source(keys, ds, y)` and rolled forward, as steps ending in `ar`."""
+    w = f"over (partition by {keys} order by ds)"
+    full = "filter (x2 is not null)"
+    return f"""
+ar1 as (select *, y - lag(y) {w} as d from {source}), ar2 as (select *, lag(d) {w} as x1, lag(d, 2) {w} as x2 from ar1),
+ar3 as (select {keys}, max(ds) as e, max_by(y, ds) as lv, max_by(d, ds) as d1, max_by(x1, ds) as d2, count(d) as n, avg(d) {full} as md, avg(x1) {full} as m1, avg(x2) {full} as m2,
+ var_pop(x1) {full} as c11, var_pop(x2) {full} as c22, covar_pop(x1, x2) {full} as c12, covar_pop(x1, d) {full} as c1, covar_pop(x2, d) {full} as c2 from ar2 group by {keys}),
+ar4 as (select *, c11 * c22 - c12 * c12 > 1e-12::double * c11 * c22 as sound, c11 * c22 - c12 * c12 as det from ar3),
+ar5 as (select *, case when n < 5 then null when sound then (c1 * c22 - c2 * c12) / det when c11 > 0 then c1 / c11 else 0 end as b1,
+ case when n < 5 then null when sound then (c2 * c11 - c1 * c12) / det else 0 end as b2 from ar4),
+ar as (select {keys}, e, md - b1 * m1 - b2 * m2 as b0, b1, b2, 0 as h, lv as yhat, d1, d2, case when n < 5 then 'too_short' else 'fitted' end as status from ar5
+ union all select {keys}, e, b0, b1, b2, h + 1, yhat + b0 + b1 * d1 + b2 * d2, b0 + b1 * d1 + b2 * d2, d1, status from ar where h < {horizon})"""
+
+
+@query("fc02_autoregressive_forecast", "transactions", f"""
+with recursive {SERIES_SQL}, {autoregressive_sql('s', 'product_line', 30)}
+select product_line, strftime(e + h, '%Y-%m-%d') as ds, round(yhat, 3) as yhat, status from ar where h > 0""")
 def _(t):
     f = R.autoregressive_forecast(series(t), ["product_line"], 30)
-    return f.select("product_line", F.col("ds").cast("string").alias("ds"), F.round("yhat", 3).alias("yhat"))
+    return f.select("product_line", F.col("ds").cast("string").alias("ds"), F.round("yhat", 3).alias("yhat"), "status")
 
 
 @query("fc03_additive_error", "transactions", f"""
@@ -128,16 +147,42 @@ def _(t):
     return R.walk_forward_error(splits, "product_line", R.additive_forecast).withColumn("mae", F.round("mae", 3))
 
 
-@query("fc03_champion", "transactions")
+CHAMPION_SQL = f"""
+n as (select *, row_number() over (partition by product_line order by ds) as k, count(*) over (partition by product_line) as n from s),
+w as (select product_line, fold, ds, y, k <= n - fold * 7 as train from n, range(1, 4) f(fold) where n - fold * 7 > 30 and k <= n - fold * 7 + 7),
+wt as (select product_line, fold, ds, y from w where train), {additive_sql('wt', 'product_line, fold', 7).replace('fc as (select product_line, fold', 'fc as (select fu.product_line, fu.fold')},
+{autoregressive_sql('wt', 'product_line, fold', 7)},
+ea as (select w.product_line, w.fold, avg(abs(y - yhat)) as mae from w join fc on fc.product_line = w.product_line and fc.fold = w.fold and fc.ds = w.ds where not train group by 1, 2),
+eb as (select w.product_line, w.fold, avg(abs(y - yhat)) as mae from w join ar on ar.product_line = w.product_line and ar.fold = w.fold and ar.e + ar.h = w.ds where not train and yhat is not null group by 1, 2),
+sc as (select product_line, additive_mae, autoregressive_mae, case when coalesce(additive_mae, 'inf'::double) <= coalesce(autoregressive_mae, 'inf'::double) then 'additive' else 'autoregressive' end as winner
+ from (select distinct product_line from s) left join (select product_line, avg(mae) as additive_mae from ea group by 1) using (product_line)
+ left join (select product_line, avg(mae) as autoregressive_mae from eb group by 1) using (product_line))"""
+
+
+def _renamed(steps, *names):
+    """The steps of a model under other names, for a second use in one text."""
+    for name in sorted(names, key=len, reverse=True):
+        steps = re.sub(rf"\b{name}\b", f"{name}_all", steps)
+    return steps
+
+
+@query("fc03_champion", "transactions", f"""
+with recursive {SERIES_SQL}, {CHAMPION_SQL}
+select product_line, round(additive_mae, 3) as additive_mae, round(autoregressive_mae, 3) as autoregressive_mae, winner from sc""")
 def _(t):
     scores, _ = R.champion_forecast(series(t), "product_line")
-    return scores
+    return scores.withColumns({c: F.round(c, 3) for c in ("additive_mae", "autoregressive_mae")})
 
 
-@query("fc03_champion_forecast", "transactions")
+@query("fc03_champion_forecast", "transactions", f"""
+with recursive {SERIES_SQL}, {CHAMPION_SQL},
+{_renamed(additive_sql('s', 'product_line', 30).replace('fc as (select product_line', 'fc as (select fu.product_line'), 't0', 'tr0', 'rs', 'sea', 'sd', 'fu', 'fc')},
+{_renamed(autoregressive_sql('s', 'product_line', 30), 'ar', 'ar1', 'ar2', 'ar3', 'ar4', 'ar5')}
+select product_line, strftime(ds, '%Y-%m-%d') as ds, round(yhat, 3) as yhat, winner from fc_all join sc using (product_line) where winner = 'additive'
+union all select product_line, strftime(e + h, '%Y-%m-%d'), round(yhat, 3), winner from ar_all join sc using (product_line) where winner = 'autoregressive' and h > 0""")
 def _(t):
     _, forecast = R.champion_forecast(series(t), "product_line")
-    return forecast.withColumn("ds", F.col("ds").cast("string"))
+    return forecast.select("product_line", F.col("ds").cast("string").alias("ds"), F.round("yhat", 3).alias("yhat"), "winner")
 
 
 @query("fc04_actual_and_forecast", "transactions", f"""

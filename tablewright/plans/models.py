@@ -19,10 +19,12 @@ from tablewright.operators import missing as MV
 from tablewright.operators import models as M
 from tablewright.operators import sampling as S
 from tablewright.operators import topics as P
+from tablewright.operators.columns import release_year
+from tablewright.operators.decomposition import truncated_decomposition
 from tablewright.operators.missing import clean_buildings
 from tablewright.plans.columns import LINKS, r6
 from tablewright.plans.registry import query
-from tablewright.plans.shared import split_ratings
+from tablewright.plans.shared import YEAR_SQL, split_ratings
 from tablewright.plans.views import BUCKET
 from tablewright.session import scratch_path
 from tablewright.sources import files as IMG
@@ -143,10 +145,20 @@ def _(t):
     })
 
 
-@query("ml10_calibration", "scored")
+# The fit at a score is the largest, over beginnings not after it, of the least mean up to an end not before it.
+@query("ml10_calibration", "scored", f"""
+with f as (select *, {BUCKET('cast(doc_id as varchar)')} % 3 as fold from scored), k as (select unnest([0, 1, 2]) as o),
+st as (select o, p as x, count(*)::double as w, sum(y)::double as s from f, k where fold <> o group by 1, 2),
+cu as (select *, sum(w) over (partition by o order by x) as cw, sum(s) over (partition by o order by x) as cs, row_number() over (partition by o order by x) as i from st),
+pr as (select a.o, a.i, b.i as j, (b.cs - a.cs + a.s) / (b.cw - a.cw + a.w) as m from cu a join cu b on a.o = b.o and a.i <= b.i),
+lo as (select o, j, min(m) over (partition by o, i order by j desc) as m from pr), fit as (select o, j as i, max(m) as v from lo group by 1, 2),
+fx as (select o, x, v from fit join cu using (o, i)), q as (select doc_id, y, p, o from f, k),
+c as (select q.doc_id, q.y, q.p, case when a.x is null then b.v when b.x is null or a.x = b.x then a.v else a.v + (b.v - a.v) * (q.p - a.x) / (b.x - a.x) end as v
+ from q asof left join fx a on a.o = q.o and q.p >= a.x asof left join fx b on b.o = q.o and q.p <= b.x)
+select doc_id, y, p, round(sum(v) / 3, 6) as calibrated from c group by doc_id, y, p""")
 def _(t):
     scored = stored(t.scored.withColumn("fold", S.hash_folds("doc_id", 3)), "scored")
-    return M.calibrate(scored, "y", "p", "fold").select("doc_id", "y", "p", "calibrated")
+    return M.calibrate(scored, "y", "p", "fold").select("doc_id", "y", "p", r6("calibrated").alias("calibrated"))
 
 
 @query("ml11_grid_search", "houses")
@@ -214,6 +226,28 @@ def _(t):
     return E.regression_metrics(predicted, "rating", "prediction")
 
 
+# The leading value by power iteration; sums of powers of all values are traces of powers of the small matrix.
+@query("ml17_leading_values", "ratings movies", f"""
+with recursive ce as (select y as r, month(rated_at) as c, sum(rating - m) as x from ratings join (select movieId, {YEAR_SQL} as y from movies) using (movieId), (select avg(rating) as m from ratings)
+ where y > 0 group by 1, 2),
+g as (select a.c as i, b.c as j, sum(a.x * b.x) as v from ce a join ce b using (r) group by 1, 2), g2 as (select a.i, b.j, sum(a.v * b.v) as v from g a join g b on a.j = b.i group by 1, 2),
+gm as (select list(l order by i) as m from (select i, list(v order by j) as l from g group by i)),
+it as (select 0 as n, list_transform(m, lambda l : l[1]) as w from gm
+ union all select n + 1, list_transform(m, lambda l : list_inner_product(l, w) / sqrt(list_inner_product(w, w))) from it, gm where n < 600),
+s as (select sum(v) filter (i = j) as s2, sum(v * v) as s4 from g), e as (select sum(v * v) as s8 from g2)
+select 'leading square' as measure, round((select sqrt(list_inner_product(w, w)) from it where n = 600) / s2, 6) as share from s
+union all select 'fourth powers', round(s4 / s2 / s2, 6) from s union all select 'eighth powers', round(s8 / s2 / s2 / s2 / s2, 6) from s, e""")
+def _(t):
+    """Singular values of the table of rating surpluses by release year and month, as shares of their squared sum."""
+    years = t.movies.select("movieId", release_year("title").alias("r")).where("r > 0")
+    mean = t.ratings.agg(F.avg("rating")).scalar()
+    cells = t.ratings.join(years, "movieId").groupBy("r", F.month("rated_at").alias("c")).agg(F.sum(F.col("rating") - mean).alias("x"))
+    _, _, values = truncated_decomposition(cells, "r", "c", "x", 12, iterations=40, tolerance=1e-12)
+    whole = sum(v * v for v in values)
+    rows = [("leading square", values[0] ** 2 / whole), *[(f"{name} powers", sum(v**p for v in values) / whole ** (p / 2)) for name, p in (("fourth", 4), ("eighth", 8))]]
+    return t.spark.createDataFrame(rows, "measure string, share double").withColumn("share", r6("share"))
+
+
 @query("ml18_implicit_factors", "ratings")
 def _(t):
     split = split_ratings(t)

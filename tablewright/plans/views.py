@@ -208,6 +208,8 @@ def oracle_text(views: str, body: str) -> str:
     body = body.strip()
     if not ctes:
         return body
+    if body.lower().startswith("with recursive "):
+        return "with recursive " + ",\n".join(ctes) + ",\n" + body[len("with recursive "):]
     if body.lower().startswith("with "):
         return "with " + ",\n".join(ctes) + ",\n" + body[5:]
     return "with " + ",\n".join(ctes) + "\n" + body
