@@ -87,30 +87,62 @@ def tokens(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     )
 
 
-def inverse_frequency(doc_tokens: DataFrame, n_docs) -> DataFrame:
-    """Smoothed logarithm of documents over documents holding the token."""
-    df = doc_tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    return df.select("token", (F.log((F.lit(1.0) + n_docs) / (F.col("df") + 1)) + 1).alias("idf"))
+def impact_index(documents: DataFrame, doc_id: str, text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """`(postings, blocks, idf)` of an inverted index whose blocks are ordered by impact.
 
+    The impact of a token in a document is its TF-IDF weight over the length of the document's
+    vector. Postings of a token with like impacts form a block, four to a factor of two, so no
+    posting list is ever sorted as a whole; `blocks` has the highest impact and the size of each.
+    """
+    doc_tokens = stored(tokens(documents, doc_id, text), "tokens")
+    n_docs = documents.agg(F.count(F.lit(1))).scalar()
+    held = doc_tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    # Smoothed logarithm of documents over documents holding the token.
+    idf = stored(held.select("token", (F.log((F.lit(1.0) + n_docs) / (F.col("df") + 1)) + 1).alias("idf")), "idf")
+    weighted = doc_tokens.join(idf, "token").select(doc_id, "token", (F.col("tf") * F.col("idf")).alias("_w"))
+    norms = weighted.groupBy(doc_id).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_dn"))
+    impact = weighted.join(norms, doc_id).select(doc_id, "token", ratio("_w", "_dn").alias("impact"))
+    postings = stored(impact.withColumn("level", F.floor(F.log2("impact") * 4).cast("int")), "postings")
+    blocks = stored(postings.groupBy("token", "level").agg(F.max("impact").alias("most"), F.count(F.lit(1)).alias("n")), "blocks")
+    return postings, blocks, idf
+
+
+def _exact(pairs: DataFrame, q: DataFrame, postings: DataFrame, query_id: str, doc_id: str) -> DataFrame:
+    """Cosine of given (query, document) pairs, over all tokens they share."""
+    wanted = pairs.join(q.select(query_id, "token", "qw"), query_id)
+    return wanted.join(postings.select(doc_id, "token", "impact"), [doc_id, "token"]).groupBy(query_id, doc_id).agg(
+        F.sum(F.col("qw") * F.col("impact")).alias("score")
+    )
 
-def search(queries: DataFrame, documents: DataFrame, k: int, query_id: str, doc_id: str) -> DataFrame:
-    """TF-IDF cosine of every query with every document sharing a token, best k per query.
 
-    Document tokens are placed by document once; if the query tokens are small enough for Spark
-    to broadcast, scores are summed where the document lies and only the best k per query and
-    task travel.
+def search(queries: DataFrame, documents: DataFrame, k: int, query_id: str, doc_id: str, first_docs: int = 20) -> DataFrame:
+    """TF-IDF cosine of every query with every document sharing a token, best k per query, exact.
+
+    For each query the blocks of highest bound are opened until they hold `first_docs` x k postings;
+    the k-th best score among their documents is a score that the answer reaches. Tokens whose bounds
+    together stay under it cannot bring in a document, which is where stop words are, and of the
+    others only blocks are opened with which that score can still be reached. What is found is scored exactly.
     """
-    doc_tokens = stored(tokens(documents, doc_id), "tokens")
-    idf = inverse_frequency(doc_tokens, documents.agg(F.count(F.lit(1))).scalar())
-    weight = F.col("tf") * F.col("idf")
-    weighted = doc_tokens.join(idf, "token")
-    norms = weighted.groupBy(doc_id).agg(F.sqrt(F.sum(weight * weight)).alias("_dn"))
-    q = tokens(queries, query_id).join(idf, "token").select(query_id, "token", "idf", weight.alias("_qw"))
-    q_norms = q.groupBy(query_id).agg(F.sqrt(F.sum(F.col("_qw") * F.col("_qw"))).alias("_qn"))
-    parts = doc_tokens.join(q, "token").groupBy(query_id, doc_id).agg(
-        F.sum(F.col("tf") * F.col("idf") * F.col("_qw")).alias("_dot")
-    )
-    scores = parts.join(norms, doc_id).join(q_norms, query_id)
-    scores = scores.select(query_id, doc_id, ratio("_dot", F.col("_dn") * F.col("_qn")).alias("score"))
-    best = Window.partitionBy(query_id).orderBy(nine_digits("score").desc(), doc_id)
-    return scores.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    postings, blocks, idf = impact_index(documents, doc_id)
+    weighted = tokens(queries, query_id).join(idf, "token").select(query_id, "token", (F.col("tf") * F.col("idf")).alias("_w"))
+    q_norms = weighted.groupBy(query_id).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_qn"))
+    q = stored(weighted.join(q_norms, query_id).select(query_id, "token", ratio("_w", "_qn").alias("qw")), "query-tokens")
+    # One row per query and block: the most that a document of the block gets from that token.
+    bound = stored(q.join(blocks, "token").select(query_id, "token", "level", "n", (F.col("qw") * F.col("most")).alias("most")), "bounds")
+    order = Window.partitionBy(query_id).orderBy(F.desc("most"), "token", "level").rowsBetween(Window.unboundedPreceding, -1)
+    opened = bound.withColumn("_upto", F.coalesce(F.sum("n").over(order), F.lit(0))).where(F.col("_upto") < first_docs * k)
+    first = opened.select(query_id, "token", "level").join(postings, ["token", "level"]).select(query_id, doc_id).distinct()
+    best = Window.partitionBy(query_id).orderBy(F.desc("score"))
+    ranked = _exact(first, q, postings, query_id, doc_id).withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k)
+    # Scores count in billionths, so a bound must be lower by more than that.
+    reached = ranked.groupBy(query_id).agg(F.when(F.count(F.lit(1)) >= k, F.min("score") - 2e-9).alias("_least"))
+    per_token = bound.groupBy(query_id, "token").agg(F.max("most").alias("_token"))
+    rising = Window.partitionBy(query_id).orderBy("_token", "token").rowsBetween(Window.unboundedPreceding, 0)
+    sums = per_token.withColumns({"_lower": F.sum("_token").over(rising), "_all": F.sum("_token").over(Window.partitionBy(query_id))})
+    needed = sums.join(reached, query_id, "left").where(F.col("_least").isNull() | (F.col("_lower") >= F.col("_least")))
+    reach = F.col("_least").isNull() | (F.col("most") + F.col("_all") - F.col("_token") >= F.col("_least"))
+    found = bound.join(needed, [query_id, "token"]).where(reach).select(query_id, "token", "level")
+    pairs = found.join(postings, ["token", "level"]).select(query_id, doc_id).distinct()
+    scores = _exact(pairs, q, postings, query_id, doc_id)
+    order = Window.partitionBy(query_id).orderBy(nine_digits("score").desc(), doc_id)
+    return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

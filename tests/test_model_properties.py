@@ -8,6 +8,8 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from tablewright.functions.tails import erfc, f_tail
+from tablewright.operators import decomposition as D
+from tablewright.operators import isotonic as I
 from tablewright.operators import metrics as E
 from tablewright.operators import models as M
 from tablewright.operators import retail as R
@@ -110,6 +112,67 @@ def test_calibration_is_monotone(spark):
     assert got.between(0, 1).all()
 
 
+def rising_fit(x, y, w):
+    """Largest, over beginnings not after a score, of the least mean up to an end not before it."""
+    xs = np.unique(x)
+    sw = np.array([w[x == v].sum() for v in xs])
+    sy = np.array([(w * y)[x == v].sum() for v in xs])
+    cw, cy = np.r_[0, np.cumsum(sw)], np.r_[0, np.cumsum(sy)]
+    mean = (cy[None, 1:] - cy[:-1, None]) / np.where(cw[None, 1:] > cw[:-1, None], cw[None, 1:] - cw[:-1, None], np.nan)
+    return xs, np.array([max(np.nanmin(mean[i, j:]) for i in range(j + 1)) for j in range(len(xs))])
+
+
+@pytest.mark.parametrize("shape", ["noise", "falling", "late low", "rising", "ties"])
+@pytest.mark.parametrize("most", [200_000, 1])
+def test_isotonic_ranges_equal_the_whole_fit(spark, monkeypatch, shape, most):
+    monkeypatch.setattr(I, "GROUP_BLOCKS", most)
+    rng = np.random.default_rng(3)
+    x = np.round(rng.random(300), 1 if shape == "ties" else 3)
+    y = {"noise": (rng.random(300) < x).astype(float), "falling": -x, "rising": x * x, "ties": rng.random(300),
+         "late low": np.where(x > 0.95, -50.0, x)}[shape]
+    w = rng.integers(1, 4, 300).astype(float)
+    df = spark.createDataFrame([*zip(x.tolist(), y.tolist(), w.tolist()), (None, 1.0, 1.0), (0.5, None, 1.0)], "p double, y double, w double")
+    steps = I.isotonic_steps(df, "y", "p", "w")
+    xs, want = rising_fit(x, y, w)
+    asked = np.r_[xs, (xs[:-1] + xs[1:]) / 2, -1.0, 2.0]
+    frame = spark.createDataFrame([(float(v),) for v in asked] + [(None,)], "p double")
+    got = {r.p: r.v for r in I.interpolated(frame, "p", steps, "v").collect()}
+    assert got.pop(None) is None
+    for v, expected in zip(asked, np.interp(asked, xs, want), strict=True):
+        assert got[v] == pytest.approx(expected, abs=1e-9)
+    values = [r.value for r in steps.orderBy("low").collect()]
+    assert all(a < b for a, b in zip(values, values[1:], strict=False))
+
+
+def test_isotonic_of_nothing(spark):
+    none = spark.createDataFrame([], "p double, y double")
+    assert I.isotonic_steps(none, "y", "p").count() == 0
+
+
+def test_decomposition_equals_the_dense_one(spark):
+    rng = np.random.default_rng(14)
+    left, right = np.linalg.qr(rng.normal(size=(200, 30)))[0], np.linalg.qr(rng.normal(size=(100, 30)))[0]
+    a = left @ np.diag(10 * 0.8 ** np.arange(30)) @ right.T
+    rows = [(10 * i, 7 * j, float(a[i, j])) for i in range(200) for j in range(100)]
+    users, items, values = D.truncated_decomposition(spark.createDataFrame(rows, "u long, i long, x double"), "u", "i", "x", 6, tolerance=1e-9)
+    u, s, vt = np.linalg.svd(a, full_matrices=False)
+    assert values == pytest.approx(list(s[:6]), rel=1e-6)
+    mine_u = np.array([r.vector for r in users.orderBy("u").collect()])
+    mine_v = np.array([r.vector for r in items.orderBy("i").collect()])
+    assert mine_u.shape == (200, 6) and mine_v.shape == (100, 6)
+    assert mine_u @ np.diag(values) @ mine_v.T == pytest.approx(u[:, :6] @ np.diag(s[:6]) @ vt[:6], abs=1e-5)
+    assert mine_v.T @ mine_v == pytest.approx(np.eye(6), abs=1e-8)
+
+
+def test_decomposition_of_small_rank(spark):
+    rows = [(u, i, float((u + 1) * (i - 2))) for u in range(12) for i in range(5)]
+    _, items, values = D.truncated_decomposition(spark.createDataFrame(rows, "u long, i long, x double"), "u", "i", "x", 3)
+    dense = np.array([[x for u2, _, x in rows if u2 == u] for u in range(12)])
+    assert values == pytest.approx([np.linalg.norm(dense)]) and len(items.first()["vector"]) == 1
+    zero = spark.createDataFrame([(1, 1, 0.0)], "u long, i long, x double")
+    assert D.truncated_decomposition(zero, "u", "i", "x", 3)[2] == []
+
+
 def test_one_hot_ignores_unknown(spark):
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
@@ -144,11 +207,27 @@ def test_factors_rank_unseen_items(spark):
     assert hits >= 10
 
 
-def test_autoregression_follows_a_line(spark):
-    rows = [("e", f"2024-{1 + d // 28:02d}-{1 + d % 28:02d}", float(d)) for d in range(56)]
+def test_autoregression_equals_least_squares(spark):
+    rng = np.random.default_rng(5)
+    held = {"line": np.arange(56.0), "level": np.full(20, 3.0), "noise": rng.normal(size=80).cumsum(), "swing": np.tile([0.0, 1.0], 15), "six": rng.normal(size=6)}
+    held |= {"five": rng.normal(size=5), "one": np.array([4.0])}
+    rows = [(e, f"2024-{1 + d // 28:02d}-{1 + d % 28:02d}", float(v)) for e, y in held.items() for d, v in enumerate(y)]
     s = spark.createDataFrame(rows, "entity string, d string, y double").select("entity", F.to_date("d").alias("ds"), "y")
-    got = R.autoregressive_forecast(s, ["entity"], 3).orderBy("ds").toPandas()["yhat"]
-    assert list(got) == pytest.approx([56.0, 57.0, 58.0], abs=0.2)
+    got = {}
+    for r in R.autoregressive_forecast(s, ["entity"], 4).orderBy("ds").collect():
+        got.setdefault(r.entity, []).append((r.yhat, r.status))
+    for e, y in held.items():
+        d = np.diff(y)
+        if len(d) < 5:
+            assert got[e] == [(None, "too_short")] * 4
+            continue
+        beta = np.linalg.lstsq(np.column_stack([np.ones(len(d) - 2), d[1:-1], d[:-2]]), d[2:], rcond=None)[0]
+        level, steps, want = y[-1], list(d), []
+        for _ in range(4):
+            steps.append(beta[0] + beta[1] * steps[-1] + beta[2] * steps[-2])
+            level += steps[-1]
+            want.append(level)
+        assert [v for v, _ in got[e]] == pytest.approx(want, abs=1e-6) and {x for _, x in got[e]} == {"fitted"}
 
 
 def test_champion_is_the_forecast_shown(tables):
