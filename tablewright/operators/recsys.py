@@ -135,9 +135,25 @@ def vector_topk(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | No
     return found.select(F.col("query_id").alias("userId"), F.col("item_id").alias("movieId"), "score", "rank")
 
 
-def content_topk(train: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
+def content_topk(train: DataFrame, items: DataFrame, k: int = 10, users: DataFrame | None = None, catalogue: DataFrame | None = None) -> DataFrame:
+    """Best unseen items per user by the cosine of item vector and profile, the rating-weighted sum of seen unit vectors.
+
+    `users` and `catalogue` name who gets a list and what may be on it (default: users of the training
+    rows, items with a vector). An item without a vector scores -1; a user none of whose items has one
+    has the profile zero, with which every item that has a vector scores 0.
+    """
     units = stored(items.select("movieId", unit_vector("embedding").alias("embedding")), "item-vectors")
-    return vector_topk(stored(content_profiles(train, items), "user-vectors"), units, k, seen=train)
+    profiles = content_profiles(train, units)
+    users = train.select("userId") if users is None else users.select("userId")
+    catalogue = units.select("movieId") if catalogue is None else catalogue.select("movieId")
+    width = units.agg(F.max(F.size("embedding"))).first()[0] or 0
+    # One place more: 1 for every user, and -1 there and nothing else for an item without a vector.
+    zero = F.array_repeat(F.lit(0.0), F.lit(width))
+    wide_users = users.distinct().join(profiles, "userId", "left").select("userId", F.concat(F.coalesce("profile", zero), F.array(F.lit(1.0))).alias("profile"))
+    there = catalogue.distinct().join(units, "movieId", "left")
+    last = F.when(F.col("embedding").isNull(), -1.0).otherwise(0.0)
+    wide_items = there.select("movieId", F.concat(F.coalesce("embedding", zero), F.array(last)).alias("embedding"))
+    return vector_topk(stored(wide_users, "user-vectors"), stored(wide_items, "catalogue"), k, seen=train)
 
 
 def z_scores(scores: DataFrame, name: str) -> DataFrame:

@@ -118,13 +118,23 @@ pc as (select userId, p, sum(rating * x) as s from (select userId, rating, unnes
 pr as (select userId, {unit_sql('list(s order by p)')} as f from pc group by 1)"""
 
 
+# Films without genres have no vector here: they score -1.
+GENRE_VECTOR_SQL = PROFILE_SQL.replace("from movies, nv join", "from (from movies where genres <> '(no genres listed)') movies, nv join")
+
+
 @query("rc08_content_topk", "ratings movies", f"""
-with {SPLIT_SQL}, {PROFILE_SQL},
-sc as (select userId, movieId, list_inner_product(f, e) as score from pr, un), best as (select sc.userId, sc.movieId, score, row_number() over (partition by sc.userId order by round(score, 9) desc, sc.movieId) as rank from sc
+with {SPLIT_SQL}, {GENRE_VECTOR_SQL},
+zero as (select list(0::double) as z from range(0, (select max(len(e)) from un))), us as (select userId, coalesce(f, z) as f from (select distinct userId from ratings) left join pr using (userId), zero),
+sc as (select userId, movieId, case when e is null then -1 else list_inner_product(f, e) end as score from us, (select movieId, e from movies left join un using (movieId))),
+best as (select sc.userId, sc.movieId, score, row_number() over (partition by sc.userId order by round(score, 9) desc, sc.movieId) as rank from sc
  anti join tr on tr.userId = sc.userId and tr.movieId = sc.movieId)
 select userId, movieId, round(score, 6) as score, cast(rank as int) as rank from best where rank <= 10""")
 def _(t):
-    return rounded(K.content_topk(trained(t), item_vectors(t)))
+    split = split_ratings(t)
+    described = t.movies.where("genres <> '(no genres listed)'").select("movieId")
+    items = item_vectors(t).join(described, "movieId", "left_semi")
+    train = split.where("split = 0").select("userId", "movieId", "rating")
+    return rounded(K.content_topk(train, items, 10, split, t.movies))
 
 
 BLEND_SQL = """

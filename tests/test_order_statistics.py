@@ -207,6 +207,19 @@ def test_sparse_product_equals_dense(ratings, spark, block, monkeypatch):
     assert turned["v"] == [1.0, 2.0, 3.0, 4.0]
 
 
+def test_content_lists_of_items_and_users_without_vectors(spark):
+    items = spark.createDataFrame([(1, [3.0, 0.0]), (2, [0.0, 2.0]), (3, [1.0, 1.0])], "movieId long, embedding array<double>")
+    train = spark.createDataFrame([(1, 1, 4.0), (1, 8, 2.0), (2, 9, 5.0)], "userId long, movieId long, rating double")
+    users = spark.createDataFrame([(1,), (2,), (3,)], "userId long")
+    films = spark.createDataFrame([(i,) for i in (1, 2, 3, 8, 9)], "movieId long")
+    got = {}
+    for r in K.content_topk(train, items, 4, users, films).orderBy("rank").collect():
+        got.setdefault(r.userId, []).append((r.movieId, round(r.score, 6)))
+    assert got[1] == [(3, 0.707107), (2, 0.0), (9, -1.0)]
+    assert got[2] == [(1, 0.0), (2, 0.0), (3, 0.0), (8, -1.0)]
+    assert got[3] == [(1, 0.0), (2, 0.0), (3, 0.0), (8, -1.0)]
+
+
 def test_far_clusters_are_not_visited(spark, monkeypatch):
     rng = np.random.default_rng(3)
     axes = np.eye(16) * 10
@@ -290,6 +303,32 @@ def test_search_equals_brute_force(spark):
             assert r["score"] == pytest.approx(v @ w / np.linalg.norm(v) / np.linalg.norm(w))
 
 
+@pytest.mark.parametrize("first", [1, 20])
+def test_pruned_search_equals_scores_of_all_documents(spark, first):
+    rng = np.random.default_rng(21)
+    words = np.array(["the", "of", "and", *[f"w{i}" for i in range(80)]])
+    chance = 1 / np.arange(1, len(words) + 1)
+    docs = [" ".join(rng.choice(words, size=int(rng.integers(0, 40)), p=chance / chance.sum())) for _ in range(150)]
+    asked = [" ".join(rng.choice(words, size=int(rng.integers(1, 12)))) for _ in range(20)] + [docs[7], "unknown", ""]
+    df = {w: sum(w in t.split() for t in docs) for w in words}
+
+    def vector(text):
+        return np.array([text.split().count(w) * (np.log((1 + len(docs)) / (df[w] + 1)) + 1) * (df[w] > 0) for w in words])
+
+    d = spark.createDataFrame(list(enumerate(docs)), "d long, text string")
+    q = spark.createDataFrame(list(enumerate(asked)), "q long, text string")
+    got = {}
+    for r in X.search(q, d, 3, "q", "d", first).collect():
+        got.setdefault(r.q, {})[r["rank"]] = (r.d, round(r.score, 9))
+    all_docs = np.array([vector(t) for t in docs])
+    for k, text in enumerate(asked):
+        v = vector(text)
+        lengths = np.linalg.norm(v) * np.linalg.norm(all_docs, axis=1)
+        score = np.round(np.divide(all_docs @ v, lengths, out=np.zeros(len(docs)), where=lengths > 0), 9)
+        best = [i for i in np.lexsort((np.arange(len(docs)), -score))[:3] if score[i] > 0]
+        assert [i for i, _ in (got.get(k, {})[p] for p in sorted(got.get(k, {})))] == best
+
+
 def test_rules_equal_brute_force(spark):
     sets = [{"a", "b", "c"}, {"a", "b"}, {"a", "c"}, {"b", "c"}, {"a", "b", "c"}, {"d"}]
     rows = [(i, x) for i, s in enumerate(sets) for x in s]
