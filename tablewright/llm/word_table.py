@@ -25,13 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tablewright.llm.common import block_count, by_block, from_ipc, mix, pack, text_bytes, to_ipc, unpack, with_fields
+from tablewright.llm.common import block_count, by_block, from_ipc, mix, pack, partitions, text_bytes, to_ipc, unpack, with_fields
 from tablewright.llm.word_tokens import Runs
 from tablewright.llm.words import cut_batches, span_hashes, word_spans
-from tablewright.sources.tables import stored
+from tablewright.session import scratch_path
 
 #: Text of one chunk: what shares a list of distinct words.
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 8 << 20
 #: Text whose places are worked out at a time.
 PIECE_BYTES = 1 << 20
 #: Text whose words fill one bucket of the word table.
@@ -171,12 +171,10 @@ def _library(tokenizer, words: list[str]) -> Runs:
     return Runs.of([m.ids for m in tokenizer.encode_batch_fast(words, add_special_tokens=False)])
 
 
-def _expand(group: Iterator[pa.RecordBatch], out: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _expand(chunks: pa.Table, answers: pa.Table, out: pa.Schema) -> Iterator[pa.RecordBatch]:
     """The ids of every text of one chunk, from its own row and the ids of its distinct words."""
-    rows = [row for batch in group for row in batch.to_pylist()]
-    (chunk,) = (row for row in rows if row["others"] is not None)
-    runs = [_unpack_runs(row["ids"]) for row in sorted((r for r in rows if r["others"] is None), key=lambda r: r["bucket"])]
-    del rows
+    (chunk,) = chunks.to_pylist()
+    runs = [_unpack_runs(row["ids"]) for row in sorted(answers.to_pylist(), key=lambda r: r["bucket"])]
     (bucket,), (place,), (counts,) = unpack(chunk["bucket_of"], ["<u4"]), unpack(chunk["places"], ["<u4"]), unpack(chunk["counts"], ["<u4"])
     found = Runs(np.concatenate([np.zeros(0, np.uint32), *(r.values for r in runs)]), np.concatenate([np.zeros(0, np.int64), *(r.sizes for r in runs)]))
     # Words lie in their bucket in the order of their numbers, so a stable sort by bucket undoes the split.
@@ -211,27 +209,39 @@ def encode_texts(docs: DataFrame, tokenizer_file: str, text: str = "text", decod
     docs = docs.drop("n_tokens", "ids", *([decoded] if decoded else []))
     buckets = max(1, block_count(docs.sparkSession, text_bytes(docs, text)) // BUCKET_BLOCKS)
     rest = docs.drop(text)
-    chunks = stored(
+    chunks = _in_buckets(
         docs.mapInArrow(
             lambda rows: _chunks(rows, text, buckets),
             "chunk long, others binary, counts binary, places binary, bucket_of binary, asked array<struct<bucket: int, words: binary>>",
         ),
-        "chunks",
-    )
-    asked = chunks.select("chunk", F.explode("asked").alias("a")).select("chunk", "a.bucket", "a.words")
+        "chunk", max(partitions(docs.sparkSession), buckets),
+    )
+    asked = chunks.select("chunk", F.explode("asked").alias("a")).select(F.col("chunk").alias("chunk"), "a.bucket", "a.words")
     answers = asked.groupBy("bucket").applyInArrow(lambda group: _encode_bucket(group, tokenizer_file), "chunk long, bucket int, ids binary")
     schema = with_fields(rest.schema, "n_tokens long, ids array<int>")
     arrow = _arrow(schema)
     table = _piece_table(docs, tokenizer_file) if decoded else None
     if decoded:
         schema = with_fields(schema, f"{decoded} string")
+    whole = _arrow(schema)
+
+    def expand(chunk: pa.Table, found: pa.Table) -> pa.Table:
+        rows = _expand(chunk, found, arrow)
+        return pa.Table.from_batches(_join_pieces(rows, "ids", decoded, table.value) if decoded else rows, whole)
+
+    # The chunks lie in buckets, so only the answers are shuffled to meet them.
+    return chunks.drop("asked").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(expand, schema)
 
-    def expand(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = _expand(group, arrow)
-        return _join_pieces(rows, "ids", decoded, table.value) if decoded else rows
 
-    both = chunks.drop("asked").unionByName(answers, allowMissingColumns=True)
-    return both.groupBy("chunk").applyInArrow(expand, schema)
+def _in_buckets(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The frame written to the shared folder in at most 100,000 buckets of a key, and read back so that joins on the key need not move it.
+
+    Spark knows of buckets through its catalog, where the table stays registered under a fresh name.
+    """
+    path = scratch_path(df.sparkSession, "chunks")
+    name = "word_chunks_" + path.rsplit("-", 1)[1]
+    df.write.bucketBy(min(n, 100_000), key).option("path", path).option("compression", "zstd").saveAsTable(name)
+    return df.sparkSession.table(name)
 
 
 def _arrow(schema: StructType) -> pa.Schema:

@@ -25,7 +25,7 @@ def texts() -> list[str | None]:
     return out + out[3:9]
 
 
-@pytest.mark.parametrize("chunk", [200, 12 << 20])
+@pytest.mark.parametrize("chunk", [200, 8 << 20])
 def test_ids_and_texts_are_the_library_s(spark, monkeypatch, chunk):
     monkeypatch.setattr(word_table, "CHUNK_BYTES", chunk)
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
