@@ -187,3 +187,20 @@ def global_rank(df: DataFrame, value: str, tie: str, name: str = "rank") -> Data
     return numbered.join(above, "_v").withColumn(name, F.col("_above") + F.col("_within")).drop(
         "_v", "_tie", "_above", "_within"
     )
+
+
+def ordered_numbers(df: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """The distinct values of some columns, none null, numbered from 0 in their order.
+
+    Values are cut into ranges and sorted range by range; a value's number is its place in the
+    range after the sizes of the ranges before it. The table is written, so that places stay.
+    """
+    n = pieces(df.sparkSession)
+    values = df.select(*columns).dropna("any").distinct().repartitionByRange(n, *columns).sortWithinPartitions(*columns)
+    placed = stored(values.withColumn("_at", F.monotonically_increasing_id()), "numbers")
+    # The upper bits of the identifier name the range, the lower ones count within it.
+    ranged = placed.withColumns({"_range": F.shiftright("_at", 33), "_at": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))})
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    return ranged.join(before, "_range").select(*columns, (F.col("_at") + F.col("_before")).alias(name))

@@ -17,7 +17,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.ladders import split_row_number, with_hash_piece
+from tablewright.functions.ladders import ordered_numbers, split_row_number, with_hash_piece
 from tablewright.functions.scalars import hash_bucket, ratio
 from tablewright.operators.decomposition import truncated_decomposition
 from tablewright.operators.isotonic import interpolated, isotonic_steps
@@ -49,16 +49,11 @@ def log_standardise(df: DataFrame, log_columns: list[str], columns: list[str]) -
 
 
 def label_codes(df: DataFrame, columns: list[str]) -> DataFrame:
-    """`(column, value, code)`: alphabetical code of every distinct value.
-
-    Values are numbered by their first bytes' slice, so a column with very many distinct values
-    is not sorted in one task.
-    """
+    """`(column, value, code)`: alphabetical code of every distinct value, numbered range by range."""
     values = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], columns, "column", "value")
-    values = values.where("value is not null").distinct()
-    head = F.rpad(F.hex(F.substring(F.encode("value", "utf-8"), 1, 2)), 4, "0")
-    numbered = split_row_number(values.withColumn("_piece", head), ("column",), [F.col("value")], "code", "_piece")
-    return numbered.withColumn("code", (F.col("code") - 1).cast("int"))
+    numbered = ordered_numbers(values, ["column", "value"], "_n")
+    first = numbered.groupBy("column").agg(F.min("_n").alias("_first"))
+    return numbered.join(first, "column").select("column", "value", (F.col("_n") - F.col("_first")).cast("int").alias("code"))
 
 
 def label_encode(df: DataFrame, columns: list[str], codes: DataFrame | None = None) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablewright.functions.ladders import ordered_numbers
 from tablewright.functions.scalars import nine_digits, ratio
 from tablewright.operators.columns import exploded_genres, normalised_tag
 from tablewright.sources.tables import stored
@@ -43,15 +44,16 @@ def tag_relevance(tags: DataFrame) -> DataFrame:
     return counts.join(peak, "movieId").select("movieId", "tag_clean", ratio("n", "_peak").alias("relevance"))
 
 
-def relevance_vectors(relevance: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """Dense vector per item over an ordered tag list, 0 where a tag is absent."""
-    known = relevance.where(F.col("tag_clean").isin(vocabulary))
-    by_tag = F.map_from_entries(F.collect_list(F.struct("tag_clean", "relevance")))
-    order = F.array(*[F.lit(v) for v in vocabulary])
-    return known.groupBy("movieId").agg(by_tag.alias("_m")).select(
-        "movieId",
-        F.transform(order, lambda tag: F.coalesce(F.try_element_at("_m", tag), F.lit(0.0))).alias("embedding"),
-    )
+def relevance_vectors(relevance: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`(vectors, tags)`: per item one vector over all tags of the table, and the tags by number.
+
+    A vector is kept as the numbers of the item's tags in rising order and their relevances; all other
+    places are 0. Tags are numbered in alphabetical order, so vectors of one table share their places.
+    """
+    tags = ordered_numbers(relevance, ["tag_clean"], "tag_number")
+    placed = relevance.join(tags, "tag_clean").groupBy("movieId").agg(F.sort_array(F.collect_list(F.struct("tag_number", "relevance"))).alias("_e"))
+    # An item holds each tag once, so its list is bounded by the number of its distinct tags.
+    return placed.select("movieId", F.col("_e.tag_number").alias("places"), F.col("_e.relevance").alias("relevances")), tags
 
 
 def cooccurrence(tags: DataFrame, top_n: int = 80, min_edge: int = 30) -> DataFrame:

@@ -176,17 +176,19 @@ def _(t):
     return rounded(K.hybrid_topk(everyone, counts, profiles, units, 0.7, 10, seen=train))
 
 
-# The ordered vocabulary of the dense vectors: normalised priorities of the tag view.
-VOCABULARY = ["1-urgent", "2-high", "3-medium", "4-not specified", "5-low", "economy", "large", "medium", "promo", "small", "standard"]
-
-
 @query("rc10_relevance_vectors", "tags", f"""
-with {TAG_SQL}, n as (select movieId, tag_clean, count(*)::double as n from c group by 1, 2), r as (select movieId, tag_clean, n / max(n) over (partition by movieId) as rel from n)
-select movieId, {', '.join(f"round(coalesce(max(rel) filter (tag_clean = '{v}'), 0), 6) as v{i}" for i, v in enumerate(VOCABULARY))}
-from r where tag_clean in ({', '.join(f"'{v}'" for v in VOCABULARY)}) group by 1""")
+with {TAG_SQL}, n as (select movieId, tag_clean, count(*)::double as n from c group by 1, 2), r as (select movieId, tag_clean, n / max(n) over (partition by movieId) as rel from n),
+k as (select tag_clean, row_number() over (order by tag_clean) - 1 as i from (select distinct tag_clean from r)), w as (select count(*) as width from k)
+select movieId, width, string_agg(i::varchar, ' ' order by i) as places, round(sum(rel * (i + 1)) / sum(i + 1), 6) as weighted_relevance, round(sqrt(sum(rel * rel)), 6) as norm
+from r join k using (tag_clean), w group by 1, 2""")
 def _(t):
-    vectors = relevance_vectors(tag_relevance(tags_clean(t)), VOCABULARY)
-    return vectors.select("movieId", *[r6(F.col("embedding")[i]).alias(f"v{i}") for i in range(len(VOCABULARY))])
+    """Places and sums of every item's vector over all tags."""
+    vectors, tags = relevance_vectors(tag_relevance(tags_clean(t)))
+    flat = vectors.select("movieId", F.array_join(F.col("places").cast("array<string>"), " ").alias("text"), F.explode(F.arrays_zip("places", "relevances")).alias("e"))
+    i, rel = F.col("e.places") + 1, F.col("e.relevances")
+    return flat.groupBy("movieId", F.col("text").alias("places")).agg(
+        r6(F.sum(rel * i) / F.sum(i)).alias("weighted_relevance"), r6(F.sqrt(F.sum(rel * rel))).alias("norm")
+    ).withColumn("width", tags.agg(F.count("*")).scalar())
 
 
 @query("rc10_relevance_rows", "tags", f"""
