@@ -10,7 +10,9 @@ from tablewright.session import scratch_path
 from tablewright.sources import schemas as S
 from tablewright.sources import tables as IO
 from tablewright.sources.files import path_labels
+from tablewright.sources.audit import audit, read_text_columns
 from tablewright.streaming.ingest import ingest_csv
+from tablewright.streaming.rollup import add_events, close_days, rollup
 
 
 def written_ratings(t, label):
@@ -84,6 +86,15 @@ def _(t):
     return back.groupBy("branch").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("total"), 4).alias("total"))
 
 
+@query("io04_schema_audit", "transactions", """
+select c as "column", kind, n as n_values, case when kind = 'bigint' then 0 else n end as not_bigint, case when kind in ('bigint', 'double') then 0 else n end as not_double
+from (select count(*) as n from transactions), (values ('invoice_id', 'bigint'), ('branch', 'string'), ('total', 'double'), ('sale_day', 'date')) v(c, kind)""")
+def _(t):
+    path = scratch_path(t.spark, "io04-audit")
+    IO.save_csv(t.transactions.select("invoice_id", "branch", "total", F.to_date("ts").alias("sale_day")), path)
+    return audit(read_text_columns(t.spark, path)).select("column", "kind", "n_values", "not_bigint", "not_double")
+
+
 @query("io05_first_rows", "links", f"""
 select link_id, {', '.join(f'round({c}, 6) as {c}' for c in LINKS)} from links order by link_id, {', '.join(LINKS)} limit 500""")
 def _(t):
@@ -123,6 +134,20 @@ def _(t):
     return by_year(t.spark.read.parquet(target))
 
 
+@query("ag05_event_rollup", "", """
+select cast(ts as date)::varchar as day, event_type as item, count(*) as n, round(avg(value), 6) as mean_value, round(stddev_pop(value), 5) as std_value, count(distinct user_id) as people
+from events group by 1, 2""")
+def _(t):
+    """Three batches out of order, each taken up by a run of its own that goes on from the checkpoint."""
+    source, target, progress = (scratch_path(t.spark, f"rollup-{n}") for n in ("in", "state", "progress"))
+    events = t.events.select("event_id", "ts", "user_id", "event_type", "value")
+    for part in (2, 0, 1):
+        IO.save_parquet(events.where(F.col("event_id") % 3 == part), source, mode="append")
+        add_events(t.spark, source, events.schema, target, progress, "ts", "event_type", "value", "user_id")
+    found = rollup(t.spark, close_days(t.spark, target, scratch_path(t.spark, "rollup-closed")))
+    return found.select(F.col("day").cast("string").alias("day"), "item", "n", r6("mean_value").alias("mean_value"), F.round("std_value", 5).alias("std_value"), "people")
+
+
 @query("io10_result_csv_json", "ratings", """
 select 'n_ratings' as metric, cast(count(*) as double) as value from ratings union all
 select 'mean_rating', round(avg(rating), 6) from ratings""")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.session import scratch_path
+from tablewright.sources.audit import audited_types, read_declared
 from tablewright.sources.schemas import BUILDING_TEXT, FILM_LINKS, GENOME_SCORES, GENOME_TAGS, RATINGS, TAGS
 
 
@@ -44,15 +45,15 @@ def read_film_links(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, FILM_LINKS)
 
 
-def read_buildings(spark: SparkSession, path: str) -> DataFrame:
-    """Known text columns stay text, the first unnamed column becomes `row_id`."""
-    df = spark.read.csv(path, header=True, inferSchema=True, encoding="UTF-8")
-    df = df.withColumnsRenamed({df.columns[0]: "row_id"})
-    return df.withColumns({c: F.col(c).cast("string") for c in BUILDING_TEXT if c in df.columns})
+def read_buildings(spark: SparkSession, path: str, types: dict[str, str] | None = None) -> DataFrame:
+    """Known text columns stay text, the others have audited (or given) types, the first unnamed column becomes `row_id`."""
+    df = read_declared(spark, path, types or audited_types(spark, path, text=BUILDING_TEXT))
+    return df.withColumnsRenamed({df.columns[0]: "row_id"})
 
 
-def read_trimmed_header(spark: SparkSession, path: str, infer: bool = True) -> DataFrame:
-    df = spark.read.csv(path, header=True, inferSchema=infer)
+def read_trimmed_header(spark: SparkSession, path: str, types: dict[str, str] | None = None) -> DataFrame:
+    """Audited (or given) types, white space around column names dropped."""
+    df = read_declared(spark, path, types or audited_types(spark, path))
     return df.toDF(*[c.strip() for c in df.columns])
 
 

@@ -15,9 +15,11 @@ from tablewright.operators import models as M
 from tablewright.operators import retail as R
 from tablewright.operators import topics as P
 from tablewright.session import scratch_path
+from tablewright.sources import audit as AU
 from tablewright.sources import files as IMG
 from tablewright.sources import tables as IO
 from tablewright.sources.schemas import RATINGS
+from tablewright.streaming import rollup as RU
 from tablewright.streaming.ingest import ingest_csv
 
 
@@ -277,6 +279,54 @@ def test_ingest_reads_only_new_files(spark, tmp_path):
     assert sorted((r["userId"], r["year"]) for r in got.collect()) == [(1, 1970), (3, 1971)]
 
 
+def test_audit_takes_the_narrowest_type(spark, tmp_path):
+    lines = ["id , code,x,flag,day,at,mixed,none", '1,007,1,true,2024-01-05,2024-01-05 10:11:12,1,', '-20,012,2.5,FALSE,2024-02-29,2024-03-01T00:00:00Z,x,', '3,,1e3,,,2024-01-01,2,']
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    path = str(tmp_path / "a.csv")
+    types = AU.audited_types(spark, path)
+    assert types == {"id ": "bigint", " code": "string", "x": "double", "flag": "boolean", "day": "date", "at": "timestamp", "mixed": "string", "none": "string"}
+    counts = {r["column"]: r for r in AU.audit(AU.read_text_columns(spark, path)).collect()}
+    assert counts["mixed"]["not_bigint"] == 1 and counts["mixed"]["n_values"] == 3 and counts["none"]["n_values"] == 0
+    rows = IO.read_trimmed_header(spark, path).orderBy("id").collect()
+    assert [r["code"] for r in rows] == ["012", "007", None] and [r["x"] for r in rows] == [2.5, 1.0, 1000.0]
+    assert str(rows[0]["day"]) == "2024-02-29" and rows[2]["flag"] is None
+    wrong = AU.read_declared(spark, path, types | {"mixed": "bigint"})
+    with pytest.raises(Exception, match="(?i)malformed"):
+        wrong.collect()
+
+
+def test_rollup_of_parts_in_any_order(spark, tmp_path):
+    schema = "ts timestamp, who long, kind string, v double"
+    rng = np.random.default_rng(2)
+    rows = [(f"2024-01-{1 + int(rng.integers(0, 9)):02d} 10:00:00", int(rng.integers(0, 20)), f"k{int(rng.integers(0, 3))}", float(rng.integers(0, 50)) / 4) for _ in range(300)]
+    events = spark.createDataFrame(rows, "t string, who long, kind string, v double").select(F.to_timestamp("t").alias("ts"), "who", "kind", "v")
+    names = ("ts", "kind", "v", "who")
+    source, state, progress = (str(tmp_path / n) for n in ("in", "state", "progress"))
+    fields = spark.createDataFrame([], schema).schema
+
+    def state_rows(folder):
+        return sorted((str(r.day), r["item"], r.n, round(r.mean_value, 9), round(r.std_value, 6), r.people, r["first"], r["last"]) for r in RU.rollup(spark, folder).collect())
+
+    parts = [events.where(F.pmod(F.xxhash64("who", "v"), F.lit(3)) == i) for i in (2, 0, 1)]
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(source)
+        RU.add_events(spark, source, fields, state, progress, *names)
+    RU.add_events(spark, source, fields, state, progress, *names)  # nothing new
+    whole = str(tmp_path / "whole")
+    RU.write_part(events, whole, "all", *names)
+    assert state_rows(state) == state_rows(whole)
+    # A batch that is run again after a crash replaces its part.
+    RU.write_part(parts[1], state, f"{1:012d}", *names)
+    assert state_rows(state) == state_rows(whole)
+    closed = RU.close_days(spark, state, str(tmp_path / "closed"))
+    assert state_rows(closed) == state_rows(whole)
+    # An event for a closed day still counts.
+    late = spark.createDataFrame([("2024-01-01 09:00:00", 99, "k0", 1.0)], "t string, who long, kind string, v double").select(F.to_timestamp("t").alias("ts"), "who", "kind", "v")
+    RU.write_part(late, closed, "late", *names)
+    RU.write_part(events.unionByName(late), whole, "all", *names)
+    assert state_rows(closed) == state_rows(whole)
+
+
 def test_partition_pruning_and_pushdown(spark, tables):
     path = IO.save_parquet(tables.ratings.withColumn("year", F.year("rated_at")), scratch_path(spark, "pruned"), partition_by="year")
     plan = spark.read.parquet(path).where("year = 1998 and rating > 3").select("userId")._jdf.queryExecution().executedPlan().toString()
