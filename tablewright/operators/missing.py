@@ -15,6 +15,7 @@ from tablewright.operators.columns import (
     parsed_date,
     parsed_moment,
     postcode,
+    text_to_boolean,
     trim_strings,
     with_lag_flag,
     constant_columns,
@@ -89,11 +90,20 @@ def clean_transactions(df: DataFrame) -> DataFrame:
     )
 
 
+def coerce_dates(df: DataFrame, day: str = "date_completude", missing: str = "date_completude_manquante") -> DataFrame:
+    """A text of a day to a date and a text of a truth value to a boolean, where the columns exist; what cannot be read is null."""
+    if day in df.columns:
+        text = F.col(day).cast("string")
+        df = df.withColumn(day, F.coalesce(text.try_cast("date"), parsed_date(text, "M/d/yyyy")))
+    return df.withColumn(missing, text_to_boolean(F.col(missing).cast("string"))) if missing in df.columns else df
+
+
 def clean_buildings(df: DataFrame) -> DataFrame:
     """Cleaning policy for buildings: narrow steps only, no shuffle."""
     return (
         df.transform(trim_strings)
         .withColumn("code_poste", postcode("code_poste"))
+        .transform(coerce_dates)
         .transform(in_bounds, {"x": (-5, 10), "y": (41, 52)})
         .transform(with_lag_flag)
         .transform(members_or_null, "catg_loc_imb", BUILDING_CATEGORIES)

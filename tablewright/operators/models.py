@@ -14,14 +14,15 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions.ladders import ordered_numbers, split_row_number, with_hash_piece
 from tablewright.functions.scalars import hash_bucket, ratio
 from tablewright.operators.decomposition import truncated_decomposition
 from tablewright.operators.isotonic import interpolated, isotonic_steps
-from tablewright.operators.metrics import regression_metrics
+from tablewright.operators.metrics import decisions, regression_metrics
 from tablewright.operators.recsys import contiguous_ids, mean_predictions, vector_topk
 from tablewright.sources.tables import stored
 
@@ -409,3 +410,29 @@ def save_bundle(model: PipelineModel, metrics: DataFrame, path: str) -> str:
 
 def load_bundle(df: DataFrame, path: str) -> tuple[PipelineModel, DataFrame]:
     return PipelineModel.load(f"{path}/model"), df.sparkSession.read.parquet(f"{path}/metrics")
+
+
+#: Decision threshold where none is stored.
+DEFAULT_THRESHOLD = 0.5
+
+
+def save_threshold(spark: SparkSession, value: float, path: str) -> str:
+    """A tuned decision threshold as one JSON row."""
+    spark.range(1).select(F.lit(float(value)).alias("threshold")).write.mode("overwrite").json(path)
+    return path
+
+
+def load_threshold(spark: SparkSession, path: str, default: float = DEFAULT_THRESHOLD) -> float:
+    """The stored threshold; the default where there is no file, or none with a number."""
+    try:
+        row = spark.read.schema("threshold double").json(path).agg(F.max("threshold")).first()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return default
+    return default if row[0] is None else row[0]
+
+
+def score_batch(model: Model, rows: DataFrame, threshold: float, score: str = "prediction") -> DataFrame:
+    """Rows with the model's score and `predicted`, 1 where the score reaches the threshold."""
+    return decisions(model.transform(rows), score, threshold)

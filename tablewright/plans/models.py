@@ -344,6 +344,24 @@ def _(t):
     return kept.withColumn("copy", F.lit("saved")).unionByName(again.withColumn("copy", F.lit("reloaded")))
 
 
+@query("ml24_batch_scoring", "links", f"""
+with p as (select *, {BUCKET('link_id')} / 4294967296::double as u from links)
+select link_id, cast(q_factor >= (select avg(q_factor) from p where u >= 0.7::double and u < 0.7::double + 0.15::double) as int) as predicted, cast(q_factor >= 0.5 as int) as by_default
+from p where u >= 0.7::double + 0.15::double""")
+def _(t):
+    """A model and a threshold tuned on validation rows, stored, read back and applied to new rows; without a stored one 0.5 holds."""
+    links = stored(t.links.withColumn("split", S.random_split("link_id", {"train": 0.7, "val": 0.15, "test": 0.15})), "links")
+    model = M.fitted(M.column_pipeline(LINKS, [], LinearRegression(labelCol="q_factor")), links.where(TRAIN))
+    level = links.where("split = 'val'").agg(F.avg("q_factor").alias("v"))
+    path = M.save_bundle(model, level, scratch_path(t.spark, "scorer"))
+    M.save_threshold(t.spark, level.first()["v"], f"{path}/threshold")
+    back, _ = M.load_bundle(links, path)
+    new = links.where("split = 'test'")
+    scored = M.score_batch(back, new, M.load_threshold(t.spark, f"{path}/threshold"))
+    default = M.load_threshold(t.spark, f"{path}/no-threshold")
+    return scored.select("link_id", "predicted", (F.col("prediction") >= default).cast("int").alias("by_default"))
+
+
 @query("tx06_bag_of_words", "")
 def _(t):
     docs = t.documents.select("doc_id", "text")

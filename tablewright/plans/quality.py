@@ -91,6 +91,17 @@ def _(t):
     return M.clean_buildings(t.buildings).withColumn("x", r6("x")).withColumn("y", r6("y"))
 
 
+@query("mv07_clean_building_dates", "buildings", """
+select imb_id, case num_voie when '' then null when '1' then date '2021-03-04' when '2' then null else cast('2021-0' || num_voie || '-15' as date) end as date_completude,
+ case when batiment = 'A' then 'true' when num_voie = '3' then null else 'false' end as date_completude_manquante
+from buildings where x between -5 and 10 and y between 41 and 52""")
+def _(t):
+    n = F.col("num_voie")
+    day = F.when(n == "1", "3/4/2021").when(n == "2", "2021-02-30").when(n == "", "n/a").otherwise(F.concat(F.lit("2021-0"), n, F.lit("-15")))
+    dated = t.buildings.withColumns({"date_completude": day, "date_completude_manquante": F.when(F.col("batiment") == "A", "T").when(n == "3", "?").otherwise("False")})
+    return M.clean_buildings(dated).select("imb_id", "date_completude", F.col("date_completude_manquante").cast("string").alias("date_completude_manquante"))
+
+
 @query("mv09_finite_drop_constant", "houses", """
 select pid, round(coalesce(total_bsmt_sf, 0), 6) as total_bsmt_sf, coalesce(first_flr_sf, 0) as first_flr_sf, coalesce(pool_area, 0) as pool_area,
  cast(year_built as double) as year_built, cast(year_remod as double) as year_remod, round(sale_price, 6) as sale_price from houses""")
