@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.ladders import quantile_table
+from tablewright.functions.ladders import ladder, quantile_columns, quantile_table
 from tablewright.functions.scalars import finite_or_zero, numeric_columns, string_columns
 from tablewright.operators.columns import (
     BUILDING_CATEGORIES,
@@ -20,6 +20,7 @@ from tablewright.operators.columns import (
     with_lag_flag,
     constant_columns,
 )
+from tablewright.sources.tables import stored
 
 
 def null_audit(df: DataFrame) -> DataFrame:
@@ -78,11 +79,27 @@ def impute_mode(df: DataFrame, columns: list[str] | None = None, fallback: str =
     return df.withColumns({c: F.coalesce(F.col(c), modes[c], F.lit(fallback)) for c in columns})
 
 
+def impute(df: DataFrame, medians: list[str], modes: list[str], fallback: str = "Missing") -> DataFrame:
+    """`impute_median` and `impute_mode` of different columns from one pass: equal values are counted once, and only counts are kept."""
+    text, number = F.lit(None).cast("string"), F.lit(None).cast("double")
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("text"), number.alias("number")) for c in modes]
+    cells += [F.struct(F.lit(c).alias("column"), text.alias("text"), F.col(c).cast("double").alias("number")) for c in medians]
+    counted = df.select(F.explode(F.array(*cells)).alias("r")).select("r.*").where("text is not null or number is not null")
+    counted = stored(counted.groupBy("column", "text", "number").agg(F.count(F.lit(1)).alias("c")), "counted")
+    if modes:
+        best = counted.where("text is not null").groupBy("column").agg(F.min_by("text", F.struct(-F.col("c"), "text")).alias("mode"))
+        one = _one_row(best, modes, "mode")
+        df = df.withColumns({c: F.coalesce(F.col(c), one[c], F.lit(fallback)) for c in modes})
+    if medians:
+        steps = ladder(counted.where("number is not null"), "number", ("column",), {"n": F.sum("c")})
+        one_median = _one_row(steps.groupBy("column").agg(*quantile_columns({"median": 0.5}, "number")), medians, "median")
+        df = df.withColumns({c: F.coalesce(F.col(c), one_median[c]) for c in medians})
+    return df
+
+
 def clean_transactions(df: DataFrame) -> DataFrame:
     """Cleaning policy for sales rows: drop without product, impute, recompute money, parse dates."""
-    kept = df.dropna(subset=["product_line"])
-    kept = impute_mode(kept, ["customer_type"])
-    kept = money_columns(impute_median(kept, ["unit_price", "quantity"]))
+    kept = money_columns(impute(df.dropna(subset=["product_line"]), ["unit_price", "quantity"], ["customer_type"]))
     return (
         kept.withColumn("sale_date", parsed_date("date_str"))
         .withColumn("moment", parsed_moment("date_str", "time_str"))

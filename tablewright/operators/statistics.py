@@ -106,7 +106,9 @@ def binned_information(df: DataFrame, columns: list[str], target: str, bins: int
     def bin_of(c: str) -> Column:
         return reduce(lambda a, b: a + b, [flag(F.col(c) > F.col("_q")[c][k]) for k in names])
 
-    coded = with_quantiles(df.select(*columns, target), [*columns, target], names).select(*[bin_of(c).alias(c) for c in columns], bin_of(target).alias("_t"))
+    # Written once: the input may be a join, and both the cuts and the bins pass over it.
+    kept = stored(df.select(*columns, target), "numbers")
+    coded = with_quantiles(kept, [*columns, target], names).select(*[bin_of(c).alias(c) for c in columns], bin_of(target).alias("_t"))
     cells = coded.unpivot(["_t"], columns, "column", "_x").groupBy("column", "_x", "_t").agg(F.count(F.lit(1)).alias("_n"))
     # The contingency tables hold bins x bins cells per column, whatever the data size.
     cells = stored(cells, "cells")

@@ -20,7 +20,9 @@ def clean_tags(tags: DataFrame, lemmas: dict[str, str] | None = None) -> DataFra
     if lemmas:
         table = F.create_map(*[F.lit(x) for pair in lemmas.items() for x in pair])
         clean = F.array_join(F.transform(F.split(clean, " "), lambda w: F.coalesce(F.try_element_at(table, w), w)), " ")
-    out = tags.select("userId", "movieId", clean.alias("tag_clean")).where(F.length("tag_clean") > 0)
+    # Dealt by pair first, so that the patterns run in as many tasks as the shuffle has and equal tags meet without another one.
+    dealt = tags.select("userId", "movieId", "tag").repartition("userId", "movieId")
+    out = dealt.select("userId", "movieId", clean.alias("tag_clean")).where(F.length("tag_clean") > 0)
     return out.dropDuplicates(["userId", "movieId", "tag_clean"])
 
 
