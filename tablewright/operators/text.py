@@ -91,24 +91,29 @@ def tokens(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     )
 
 
-def impact_index(documents: DataFrame, doc_id: str, text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """`(postings, blocks, idf)` of an inverted index whose blocks are ordered by impact.
-
-    The impact of a token in a document is its TF-IDF weight over the length of the document's
-    vector. Postings of a token with like impacts form a block, four to a factor of two, so no
-    posting list is ever sorted as a whole; `blocks` has the highest impact and the size of each.
-    """
+def token_weights(documents: DataFrame, doc_id: str, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """`(weights, idf)`: TF-IDF weight of every token of every document, and the smoothed idf of every token."""
     doc_tokens = stored(tokens(documents, doc_id, text), "tokens")
     n_docs = documents.agg(F.count(F.lit(1))).scalar()
     held = doc_tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     # Smoothed logarithm of documents over documents holding the token.
     idf = stored(held.select("token", (F.log((F.lit(1.0) + n_docs) / (F.col("df") + 1)) + 1).alias("idf")), "idf")
-    weighted = doc_tokens.join(idf, "token").select(doc_id, "token", (F.col("tf") * F.col("idf")).alias("_w"))
-    norms = weighted.groupBy(doc_id).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_dn"))
-    impact = weighted.join(norms, doc_id).select(doc_id, "token", ratio("_w", "_dn").alias("impact"))
-    postings = stored(impact.withColumn("level", F.floor(F.log2("impact") * 4).cast("int")), "postings")
-    blocks = stored(postings.groupBy("token", "level").agg(F.max("impact").alias("most"), F.count(F.lit(1)).alias("n")), "blocks")
-    return postings, blocks, idf
+    return doc_tokens.join(idf, "token").select(doc_id, "token", (F.col("tf") * F.col("idf")).alias("_w")), idf
+
+
+def impact_index(weights: DataFrame, doc_id: str, asked: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """`(postings, blocks)` of an inverted index whose blocks are ordered by impact; only tokens in `asked` if that is given.
+
+    The impact of a token in a document is its weight over the length of the document's vector.
+    Postings of a token with like impacts form a block, two to a factor of two, so no posting list
+    is ever sorted as a whole; `blocks` has the highest impact and the size of each.
+    """
+    norms = weights.groupBy(doc_id).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_dn"))
+    wanted = weights if asked is None else weights.join(asked, "token", "left_semi")
+    impact = wanted.join(norms, doc_id).select(doc_id, "token", ratio("_w", "_dn").alias("impact"))
+    postings = stored(impact.withColumn("level", F.floor(F.log2("impact") * 2).cast("int")), "postings")
+    blocks = postings.groupBy("token", "level").agg(F.max("impact").alias("most"), F.count(F.lit(1)).alias("n"))
+    return postings, blocks
 
 
 def _exact(pairs: DataFrame, q: DataFrame, postings: DataFrame, query_id: str, doc_id: str) -> DataFrame:
@@ -125,12 +130,14 @@ def search(queries: DataFrame, documents: DataFrame, k: int, query_id: str, doc_
     For each query the blocks of highest bound are opened until they hold `first_docs` x k postings;
     the k-th best score among their documents is a score that the answer reaches. Tokens whose bounds
     together stay under it cannot bring in a document, which is where stop words are, and of the
-    others only blocks are opened with which that score can still be reached. What is found is scored exactly.
+    others only blocks are opened with which that score can still be reached. A document goes on if
+    its sum over open blocks and the most that closed ones can add reach that score; it is then scored exactly.
     """
-    postings, blocks, idf = impact_index(documents, doc_id)
+    weights, idf = token_weights(documents, doc_id)
     weighted = tokens(queries, query_id).join(idf, "token").select(query_id, "token", (F.col("tf") * F.col("idf")).alias("_w"))
     q_norms = weighted.groupBy(query_id).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_qn"))
     q = stored(weighted.join(q_norms, query_id).select(query_id, "token", ratio("_w", "_qn").alias("qw")), "query-tokens")
+    postings, blocks = impact_index(weights, doc_id, q.select("token").distinct())
     # One row per query and block: the most that a document of the block gets from that token.
     bound = stored(q.join(blocks, "token").select(query_id, "token", "level", "n", (F.col("qw") * F.col("most")).alias("most")), "bounds")
     order = Window.partitionBy(query_id).orderBy(F.desc("most"), "token", "level").rowsBetween(Window.unboundedPreceding, -1)
@@ -140,13 +147,21 @@ def search(queries: DataFrame, documents: DataFrame, k: int, query_id: str, doc_
     ranked = _exact(first, q, postings, query_id, doc_id).withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k)
     # Scores count in billionths, so a bound must be lower by more than that.
     reached = ranked.groupBy(query_id).agg(F.when(F.count(F.lit(1)) >= k, F.min("score") - 2e-9).alias("_least"))
+    reached = stored(reached, "reached")
     per_token = bound.groupBy(query_id, "token").agg(F.max("most").alias("_token"))
     rising = Window.partitionBy(query_id).orderBy("_token", "token").rowsBetween(Window.unboundedPreceding, 0)
     sums = per_token.withColumns({"_lower": F.sum("_token").over(rising), "_all": F.sum("_token").over(Window.partitionBy(query_id))})
-    needed = sums.join(reached, query_id, "left").where(F.col("_least").isNull() | (F.col("_lower") >= F.col("_least")))
-    reach = F.col("_least").isNull() | (F.col("most") + F.col("_all") - F.col("_token") >= F.col("_least"))
-    found = bound.join(needed, [query_id, "token"]).where(reach).select(query_id, "token", "level")
-    pairs = found.join(postings, ["token", "level"]).select(query_id, doc_id).distinct()
+    judged = bound.join(sums, [query_id, "token"]).join(reached, query_id, "left")
+    needed = F.col("_lower") >= F.col("_least")
+    reach = F.col("most") + F.col("_all") - F.col("_token") >= F.col("_least")
+    judged = stored(judged.select(query_id, "token", "level", "most", (F.col("_least").isNull() | (needed & reach)).alias("open")), "judged")
+    # What closed blocks can still add to a document: at most the highest of each token.
+    closed = judged.where("not open").groupBy(query_id, "token").agg(F.max("most").alias("most")).groupBy(query_id).agg(F.sum("most").alias("_rest"))
+    parts = judged.where("open").select(query_id, "token", "level").join(postings, ["token", "level"]).join(q, [query_id, "token"])
+    parts = parts.groupBy(query_id, doc_id).agg(F.sum(F.col("qw") * F.col("impact")).alias("_part"))
+    limits = reached.join(closed, query_id, "left").select(query_id, "_least", F.coalesce("_rest", F.lit(0.0)).alias("_rest"))
+    hopeful = F.col("_least").isNull() | (F.col("_part") + F.col("_rest") >= F.col("_least"))
+    pairs = parts.join(limits, query_id, "left").where(hopeful).select(query_id, doc_id)
     scores = _exact(pairs, q, postings, query_id, doc_id)
     order = Window.partitionBy(query_id).orderBy(nine_digits("score").desc(), doc_id)
     return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
