@@ -182,14 +182,17 @@ def test_genome_and_link_readers(spark, tmp_path):
 
 
 def test_relevance_rows_hold_all_tags_and_items(spark, tables):
-    from tablewright.plans.recommend import VOCABULARY
+    from tablewright.operators.text import relevance_vectors, tag_relevance
     from tablewright.plans.registry import load_all
     from tablewright.plans.shared import tags_clean
 
     pairs = {(r.movieId, r.tag_clean) for r in tags_clean(tables).collect()}
     rows = load_all()["rc10_relevance_rows"].plan(tables).collect()
     assert {(r.movieId, r.tag_clean) for r in rows} == pairs and len(rows) == len(pairs)
-    assert {tag for _, tag in pairs} - set(VOCABULARY)
+    vectors, numbers = relevance_vectors(tag_relevance(tags_clean(tables)))
+    names = [r.tag_clean for r in numbers.orderBy("tag_number").collect()]
+    assert names == sorted({tag for _, tag in pairs}) and [r.tag_number for r in numbers.orderBy("tag_number").collect()] == list(range(len(names)))
+    assert {(r.movieId, names[i]) for r in vectors.collect() for i in r.places} == pairs
     top = {}
     for r in rows:
         top[r.movieId] = max(top.get(r.movieId, 0.0), r.relevance)
