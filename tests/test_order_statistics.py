@@ -187,6 +187,39 @@ def test_few_neighbours_leave_a_cell(ratings):
     assert 0 < sent.num_rows <= 3 * 60
 
 
+@pytest.mark.parametrize("work", [1 << 24, 300, 5])
+@pytest.mark.parametrize("held", [1 << 21, 40])
+def test_weighted_lists_equal_plain_sums(ratings, spark, work, held, monkeypatch):
+    """Blocks, cut blocks and long lists give the lists of a plain join; a null user, a null rating and a null target count as in SQL."""
+    monkeypatch.setattr(PR, "HELD_PRODUCTS", held)
+    monkeypatch.setattr(PR, "PART_ENTRIES", 7)
+    odd = spark.createDataFrame([(None, 3, 4.0), (None, 5, 1.0), (41, 4, None), (42, None, 2.0)], "userId long, movieId long, rating double")
+    train = ratings.unionByName(odd)
+    pairs = [(m, (m * 7 + d) % 60, round(((m + d) % 11 - 4) / 7, 9)) for m in range(60) for d in range(1, 9)] + [(3, None, 0.5)]
+    links = spark.createDataFrame(pairs, "movieId long, neighbour long, sim double").withColumnRenamed("movieId", "m")
+    got = PR.weighted_topk(train.withColumnRenamed("movieId", "m"), links, "userId", "m", "rating", "neighbour", "sim", "sim", 6, train.withColumnRenamed("movieId", "neighbour"), work)
+    train.createOrReplaceTempView("tr_w")
+    links.createOrReplaceTempView("links_w")
+    want = spark.sql("""
+    with s as (select userId, neighbour, try_divide(sum(sim * rating), sum(abs(sim))) as score from tr_w join links_w on movieId = m group by 1, 2),
+    u as (select * from s where not exists (select 1 from tr_w t where t.userId <=> s.userId and t.movieId <=> s.neighbour)),
+    r as (select *, row_number() over (partition by userId order by floor(score * 1e9 + 0.5) desc, neighbour) as rank from u)
+    select * from r where rank <= 6""")
+    told = lambda df: {(r.userId, r.neighbour, r.rank): r.score for r in df.collect()}
+    mine, plain = told(got), told(want)
+    assert mine.keys() == plain.keys() and any(u is None for u, _, _ in mine) and any(n is None for _, n, _ in mine)
+    assert all(mine[key] == (v if v is None else pytest.approx(v)) for key, v in plain.items())
+
+
+def test_products_stay_in_their_cell(ratings):
+    """What leaves a cell of whole rows is k rows for each, not one for every product."""
+    rows = ratings.toPandas()
+    left = pa.table({"r": rows["userId"], "c": rows["movieId"], "x": rows["rating"], "mark": np.zeros(len(rows), np.int32), "cuts": np.ones(len(rows), np.int32)})
+    kind = pa.list_(pa.struct([("t", pa.int64()), ("y", pa.float64())]))
+    right = pa.table({"c": pa.array(range(60)), "list": pa.array([[{"t": t, "y": 0.5} for t in range(50)]] * 60, kind)})
+    assert PR._cell_weighted(left, right, 3, False).num_rows == 3 * 40
+
+
 @pytest.mark.parametrize("block", [4096, 6])
 def test_sparse_product_equals_dense(ratings, spark, block, monkeypatch):
     monkeypatch.setattr(PR, "BLOCK_ROWS", block)
