@@ -270,6 +270,45 @@ def test_far_clusters_are_not_visited(spark, monkeypatch):
     assert visits[0] == 65 and visits[1] <= 64 * 3 + 20
 
 
+def test_lists_over_equal_vectors(spark, monkeypatch):
+    """Items of one vector are one class: unseen members come by id, seen ones drop out, and distinct vectors may tie."""
+    monkeypatch.setattr(V, "HELD_SCORES", 64)
+    vectors = [[1.0, 0.0], [0.0, 1.0], [0.5, 0.5], [0.0, 1.0], [2.0, -1.0]]
+    items = spark.createDataFrame([(i, vectors[i % 5]) for i in range(60)], "i long, v array<double>")
+    profiles = {0: [1.0, 1.0], 1: [1.0, 0.0], 2: [0.0, 0.0], 3: [-1.0, 2.0]}
+    queries = spark.createDataFrame(list(profiles.items()), "q long, v array<double>")
+    hidden = {0: set(range(0, 30)), 1: {4, 9, 14, 59}, 2: {0, 1, 2, 7}, 3: set(range(60)) - {5, 8, 44}}
+    seen = spark.createDataFrame([(q, i) for q, s in hidden.items() for i in s], "q long, i long")
+    for rows in (None, 1):
+        got = V.block_topk(queries, items, 7, "q", "i", "v", "v", seen=seen, block_rows=rows).orderBy("rank").collect()
+        for q, v in profiles.items():
+            score = {i: float(np.dot(v, vectors[i % 5])) for i in range(60) if i not in hidden[q]}
+            assert [r.item_id for r in got if r.query_id == q] == sorted(score, key=lambda i: (-score[i], i))[:7]
+
+
+def test_equal_vectors_are_scored_once(spark, monkeypatch):
+    sent, scored = [], V._scored
+    monkeypatch.setattr(V, "_scored", lambda v, items, *rest: (sent.append(items.count()), scored(v, items, *rest))[1])
+    items = spark.createDataFrame([(i, [float(i % 3), 1.0]) for i in range(300)], "i long, v array<double>")
+    assert V.block_topk(items.limit(5), items, 4, "i", "i", "v", "v", exclude_self=True).count() == 20
+    assert max(sent) == 3
+
+
+def test_user_lists_equal_dense_sums(ratings, spark):
+    near = {u: {(u + d) % 40: round(d / 11, 9) for d in range(1, 7)} for u in range(40)}
+    links = spark.createDataFrame([(u, v, s) for u, l in near.items() for v, s in l.items()], "userId long, neighbour long, sim double")
+    got = {(r.userId, r["rank"]): (r.movieId, r.score) for r in K.user_knn_topk(ratings, links, 5).collect()}
+    x = matrix(ratings)
+    for u in range(40):
+        score = {}
+        for m in np.flatnonzero(x[u] == 0):
+            by = [v for v in near[u] if x[v, m]]
+            if by:
+                score[m] = sum(near[u][v] * x[v, m] for v in by) / sum(near[u][v] for v in by)
+        for rank, m in enumerate(sorted(score, key=lambda m: (-np.floor(score[m] * 1e9 + 0.5), m))[:5], 1):
+            assert got[(u, rank)] == (m, pytest.approx(score[m]))
+
+
 def test_similar_items_leave_self_out(spark, tables):
     got = V.similar_items(tables.embeddings, 5, "vec_id", "embedding")
     assert got.where("query_id = item_id").count() == 0
