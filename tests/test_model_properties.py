@@ -83,6 +83,18 @@ def test_permutation_ranks_the_stronger_feature_first(points, linear):
     assert got["a"] > got["b"] > 0
 
 
+def test_permutation_runs_small_jobs(points, linear, monkeypatch):
+    """One shuffle of all features per repeat, and a result that no longer holds the plans of all repeats."""
+    calls, shuffled = [], M.permuted_columns
+    monkeypatch.setattr(M, "permuted_columns", lambda *a: (calls.append(a), shuffled(*a))[1])
+    got = M.permutation_importance(linear, points, "id", ["a", "b"], "y", repeats=3)
+    assert len(calls) == 3
+    assert len(got._jdf.queryExecution().optimizedPlan().toString()) < 5000
+    alone = lambda df: linear.transform(M.vectors(df, ["a", "b"])).agg(F.avg(F.abs(F.col("prediction") - F.col("y")))).first()[0]
+    want = {f: np.mean([alone(M.permuted(points, "id", f, M.SEED + 10 * r)) for r in range(3)]) - alone(points) for f in ("a", "b")}
+    assert {r.feature: r.importance for r in got.collect()} == pytest.approx(want)
+
+
 def test_permuting_keeps_the_values(points):
     shuffled = M.permuted(points, "id", "a", 1).toPandas()
     original = points.toPandas()
