@@ -309,6 +309,27 @@ def test_user_lists_equal_dense_sums(ratings, spark):
             assert got[(u, rank)] == (m, pytest.approx(score[m]))
 
 
+def test_pair_products_equal_dense(ratings, spark, monkeypatch):
+    """Each pair has its own product, in cut blocks and over shared and null vectors; sides without a row drop out."""
+    monkeypatch.setattr(PR, "CELL_ENTRIES", 5)
+    rng = np.random.default_rng(8)
+    u, m = rng.normal(size=(40, 4)), rng.normal(size=(9, 4))[np.arange(60) % 9]
+    users = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(u) if k != 6], "userId long, p array<double>")
+    items = spark.createDataFrame([(k, v.tolist() if k != 5 else None) for k, v in enumerate(m) if k != 3], "movieId long, e array<double>")
+    got = {(r.userId, r.movieId): r.score for r in PR.pair_dots(ratings, users, items, "userId", "movieId", "p", "e").collect()}
+    want = {(r.userId, r.movieId): None if r.movieId == 5 else pytest.approx(float(u[r.userId] @ m[r.movieId])) for r in ratings.collect() if r.userId != 6 and r.movieId != 3}
+    assert got == want
+
+
+def test_pair_products_send_no_vector_per_pair(ratings, spark):
+    """A vector that many pairs share goes to a block once."""
+    users = spark.createDataFrame([(k, [1.0] * 64) for k in range(40)], "userId long, p array<double>")
+    items = spark.createDataFrame([(k, [2.0] * 64) for k in range(60)], "movieId long, e array<double>")
+    plan = PR.pair_dots(ratings, users, items, "userId", "movieId", "p", "e")
+    assert plan.where("score <> 128").count() == 0 and plan.count() == ratings.count()
+    assert "aggregate(zip_with" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_similar_items_leave_self_out(spark, tables):
     got = V.similar_items(tables.embeddings, 5, "vec_id", "embedding")
     assert got.where("query_id = item_id").count() == 0
