@@ -221,6 +221,15 @@ def test_factors_rank_unseen_items(spark):
     assert hits >= 10
 
 
+def test_factor_rounds_leave_no_lineage(spark, monkeypatch):
+    """Every round ends in a checkpoint, after which the shuffle files of the rounds before it may go."""
+    made, als = [], M.ALS
+    monkeypatch.setattr(M, "ALS", lambda **given: (made.append(als(**given)), made[-1])[1])
+    rows = [(u, i, 1.0) for u in range(12) for i in range(8) if (u + i) % 3]
+    M.factor_model(spark.createDataFrame(rows, "userId long, movieId long, rating double"), 2, 2, 0.1, True)
+    assert [a.getCheckpointInterval() for a in made] == [1]
+
+
 def test_autoregression_equals_least_squares(spark):
     rng = np.random.default_rng(5)
     held = {"line": np.arange(56.0), "level": np.full(20, 3.0), "noise": rng.normal(size=80).cumsum(), "swing": np.tile([0.0, 1.0], 15), "six": rng.normal(size=6)}
