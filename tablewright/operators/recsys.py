@@ -27,7 +27,8 @@ def contiguous_ids(df: DataFrame, key: str, name: str) -> DataFrame:
 
 def interactions(ratings: DataFrame) -> DataFrame:
     """Ratings with contiguous user and item numbers, the latest rating of a pair kept."""
-    latest = ratings.groupBy("userId", "movieId").agg(F.max_by("rating", "rated_at").alias("rating"))
+    # Stored: the numbers of users and of items and the result all read it.
+    latest = stored(ratings.groupBy("userId", "movieId").agg(F.max_by("rating", "rated_at").alias("rating")), "latest")
     return latest.join(contiguous_ids(latest, "userId", "user_index"), "userId").join(
         contiguous_ids(latest, "movieId", "item_index"), "movieId"
     )
