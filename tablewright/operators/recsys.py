@@ -57,10 +57,14 @@ def popularity_topk(train: DataFrame, users: DataFrame, k: int = 10) -> DataFram
     """
     counts = train.groupBy("movieId").agg(F.count(F.lit(1)).alias("n"))
     ranked = global_rank(counts, "n", "movieId", "pop_rank")
-    seen = train.join(users.select("userId"), "userId", "left_semi").join(ranked, "movieId")
+    sizes = stored(train.join(users.select("userId"), "userId", "left_semi").groupBy("userId").agg(F.count(F.lit(1)).alias("_h")), "sizes")
+    longest = sizes.agg(F.max("_h")).first()[0] or 0
+    # With h seen items r(s) - s < k needs r(s) < h + k: less popular items matter for no count and are on no list.
+    ranked = stored(ranked.where(F.col("pop_rank") <= longest + k), "popular")
+    seen = train.select("userId", "movieId").join(ranked, "movieId").join(sizes, "userId").where(F.col("pop_rank") < F.col("_h") + k)
+    seen = stored(seen.select("userId", "pop_rank"), "seen")
     n = pieces(train.sparkSession)
-    n_items = counts.agg(F.count(F.lit(1))).scalar()
-    seen = seen.withColumn("_piece", F.floor((F.col("pop_rank") - 1) * F.lit(n) / n_items))
+    seen = seen.withColumn("_piece", F.floor((F.col("pop_rank") - 1) * F.lit(n) / F.lit(longest + k)))
     placed = split_row_number(seen, ("userId",), [F.col("pop_rank")], "_s", "_piece")
     gap = F.col("pop_rank") - F.col("_s")
     shifts = placed.groupBy("userId").agg(

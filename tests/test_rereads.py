@@ -22,3 +22,23 @@ def test_interactions_read_the_ratings_once(spark):
     users, items = sorted({u for u, _ in latest}), sorted({m for _, m in latest})
     want = sorted((u, m, r, users.index(u), items.index(m)) for (u, m), r in latest.items())
     assert sorted(tuple(r) for r in found.select("userId", "movieId", "rating", "user_index", "item_index").collect()) == want
+
+
+def test_popularity_lists_keep_only_seen_items_that_can_shift_a_rank(spark):
+    rng = np.random.default_rng(3)
+    pairs = sorted({(int(u), int(m)) for u, m in zip(rng.integers(0, 40, 400), rng.integers(0, 300, 400))})
+    pairs += [(99, m) for m in range(250)]  # a long history, and below a user who has seen nothing
+    train = spark.createDataFrame(pairs, "userId long, movieId long")
+    users = spark.createDataFrame([(u,) for u in (*range(20), 99, 1000)], "userId long")
+    found = K.popularity_topk(train, users, 4)
+    counts = {m: sum(1 for _, x in pairs if x == m) for m in {m for _, m in pairs}}
+    order = sorted(counts, key=lambda m: (-counts[m], m))
+    want = set()
+    for u in (*range(20), 99, 1000):
+        mine = {m for x, m in pairs if x == u}
+        want |= {(u, m, i + 1) for i, m in enumerate([m for m in order if m not in mine][:4])}
+    assert {(r.userId, r.movieId, r["rank"]) for r in found.collect()} == want
+    kept = spark.read.parquet(*[f for f in found.inputFiles() if "/seen-" in f])
+    sizes = {u: sum(1 for x, _ in pairs if x == u) for u in range(20)}
+    per_user = kept.where("userId < 20").groupBy("userId").agg(F.max("pop_rank").alias("far")).collect()
+    assert all(r.far < sizes[r.userId] + 4 for r in per_user)
