@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from functools import reduce
 
@@ -27,6 +28,8 @@ from tablewright.operators.recsys import contiguous_ids, mean_predictions, vecto
 from tablewright.sources.tables import stored
 
 SEED = 42
+#: Rows of one partition of an estimator's input: what a task reads again in every pass.
+PART_ROWS = 1 << 17
 
 # ---- preparation
 
@@ -96,6 +99,12 @@ def fitted(estimator: Estimator, train: DataFrame) -> Model:
         kept.unpersist()
 
 
+def in_parts(df: DataFrame) -> DataFrame:
+    """Rows dealt to so many partitions that none holds many more than `PART_ROWS`; few rows stay where they are."""
+    n = math.ceil(df.count() / PART_ROWS)
+    return df.repartition(n) if n > df.rdd.getNumPartitions() else df
+
+
 def fitted_by_count(estimator: Estimator, train: DataFrame) -> Model:
     """Fit with equal rows as one row that weighs their number: a tree's sums over rows stay what they are."""
     columns = [estimator.getFeaturesCol(), estimator.getLabelCol()]

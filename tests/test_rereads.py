@@ -58,3 +58,18 @@ def test_equal_rows_are_fitted_as_one_that_weighs_their_number(spark, monkeypatc
         points = M.vectors(df.select("a", "b").distinct().withColumn("treated", F.lit(value)), ["a", "b", "treated"])
         want = M.positive_probability(model.transform(points)).select("a", "b", "score").toPandas().sort_values(["a", "b"])
         assert got[name].to_numpy() == pytest.approx(want["score"].to_numpy(), abs=1e-9)
+
+
+def test_column_pipeline_keeps_only_the_columns_that_it_reads(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(PM, "stored", lambda df, label: (kept.update({label: df.columns}), stored(df, label))[1])
+    assert load_all()["ml05_column_pipeline"](spark, "/root/testdata/sf0.001").count() == 1
+    assert set(kept["sales"]) == {"unit_price", "quantity", "total", "customer_type", "payment", "product_line", "rating", "split"}
+
+
+def test_training_rows_are_dealt_to_partitions_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(M, "PART_ROWS", 100)
+    df = stored(spark.range(1050).coalesce(1), "one-part")
+    parts = M.in_parts(df).rdd.glom().map(len).collect()
+    assert sum(parts) == 1050 and len(parts) == 11 and max(parts) <= 200
+    assert M.in_parts(df.where("id < 90")).rdd.getNumPartitions() == df.rdd.getNumPartitions()
