@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tablewright.operators import models as M
+from tablewright.operators import products as PR
 from tablewright.operators import recsys as K
 from tablewright.plans import models as PM
 from tablewright.plans.registry import load_all
@@ -56,3 +57,15 @@ def test_training_rows_are_dealt_to_partitions_of_bounded_size(spark, monkeypatc
     parts = M.in_parts(df).rdd.glom().map(len).collect()
     assert sum(parts) == 1050 and len(parts) == 11 and max(parts) <= 200
     assert M.in_parts(df.where("id < 90")).rdd.getNumPartitions() == df.rdd.getNumPartitions()
+
+
+def test_rows_with_neighbouring_columns_send_few_sums(spark, monkeypatch):
+    """One sum for each range of columns that a row is in, not one for nearly every entry."""
+    counted = type("Counted", (), {"sum": staticmethod(F.count)})
+    monkeypatch.setattr(PR, "Summarizer", counted)
+    monkeypatch.setattr(PR, "vector_to_array", F.col)
+    monkeypatch.setattr(PR, "BLOCK_ROWS", 10)
+    entries = spark.createDataFrame([(u, 10 * u + i, 1.0) for u in range(20) for i in range(5)] + [(50, None, 1.0)], "r long, c long, x double")
+    dense = spark.createDataFrame([(c, [1.0]) for c in range(200)], "c long, v array<double>")
+    sums = {row.r: row["product"] for row in PR.sparse_times_dense(entries, dense, "r", "c", "x", "v").collect()}
+    assert set(sums) == set(range(20)) and max(sums.values()) <= 2
