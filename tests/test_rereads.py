@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tablewright.operators import models as M
 from tablewright.operators import products as PR
 from tablewright.operators import recsys as K
+from tablewright.operators import retrieval as V
 from tablewright.plans import models as PM
 from tablewright.plans.registry import load_all
 from tablewright.sources.tables import stored
@@ -69,3 +70,24 @@ def test_rows_with_neighbouring_columns_send_few_sums(spark, monkeypatch):
     dense = spark.createDataFrame([(c, [1.0]) for c in range(200)], "c long, v array<double>")
     sums = {row.r: row["product"] for row in PR.sparse_times_dense(entries, dense, "r", "c", "x", "v").collect()}
     assert set(sums) == set(range(20)) and max(sums.values()) <= 2
+
+
+def test_vector_search_makes_its_queries_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    vectors = [(i, [float(i % 7), float(i % 5), 1.0]) for i in range(60)]
+    items = spark.createDataFrame(vectors, "movieId long, embedding array<double>")
+    users = spark.createDataFrame(vectors[:20], "userId long, profile array<double>").mapInArrow(counted, "userId long, profile array<double>")
+    found = V.block_topk(users, items, 3, "userId", "movieId", "profile", "embedding").collect()
+    assert len(found) == 60 and seen.value == 20
+
+
+def test_blocks_grow_so_that_copies_do_not():
+    assert V.block_size(100, 100) == V.BLOCK_ROWS
+    assert 200_000 / V.block_size(200_000, 200_000) < 8.1
+    assert 1_200_000 / V.block_size(1_200_000, 1_200_000) < 10
