@@ -9,6 +9,7 @@ from tablewright.operators import models as M
 from tablewright.operators import products as PR
 from tablewright.operators import recsys as K
 from tablewright.operators import retrieval as V
+from tablewright.operators import topics as TO
 from tablewright.plans import models as PM
 from tablewright.plans.registry import load_all
 from tablewright.sources.tables import stored
@@ -91,3 +92,13 @@ def test_blocks_grow_so_that_copies_do_not():
     assert V.block_size(100, 100) == V.BLOCK_ROWS
     assert 200_000 / V.block_size(200_000, 200_000) < 8.1
     assert 1_200_000 / V.block_size(1_200_000, 1_200_000) < 10
+
+
+def test_terms_are_dealt_once(spark):
+    rows = [(1, "red fox red fox"), (1, "red hen"), (2, "red fox"), (None, "red hen blue"), (4, None), (5, "hen")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bag = TO.bag_of_words(docs, "doc_id", min_docs=3)
+    plan = bag._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "size(" not in plan
+    want = {(1, "red", 3), (1, "hen", 1), (2, "red", 1), (None, "red", 1), (None, "hen", 1), (5, "hen", 1)}
+    assert {(r.doc_id, r.term, r.n) for r in bag.collect()} == want
