@@ -11,6 +11,7 @@ from tablewright.operators import recsys as K
 from tablewright.operators import retrieval as V
 from tablewright.operators import topics as TO
 from tablewright.plans import models as PM
+from tablewright.plans import recommend as RP
 from tablewright.plans.registry import load_all
 from tablewright.sources.tables import stored
 
@@ -102,3 +103,31 @@ def test_terms_are_dealt_once(spark):
     assert plan.count("Exchange") == 1 and "size(" not in plan
     want = {(1, "red", 3), (1, "hen", 1), (2, "red", 1), (None, "red", 1), (None, "hen", 1), (5, "hen", 1)}
     assert {(r.doc_id, r.term, r.n) for r in bag.collect()} == want
+
+
+def test_item_neighbours_send_a_history_to_few_ranges(spark, monkeypatch):
+    """Histories whose items lie near each other meet the blocks of these items only; a repeated entry counts twice, one without a feature only in the length."""
+    rows = [(u, 100 * (u // 10) + (u * 3 + j) % 20, 1.0 + (u + j) % 4) for u in range(80) for j in range(12)]
+    rows += [(5, 7, 2.0), (None, 7, 2.0), (6, None, 2.0)]
+    data = spark.createDataFrame(rows, "userId long, movieId long, rating double")
+    sides, kind = [], type(data.groupBy("userId"))
+    plain = kind.cogroup
+    monkeypatch.setattr(kind, "cogroup", lambda a, b: (sides.append(b._df), plain(a, b))[1])
+    got = {(r.movieId, r.neighbour): r.sim for r in PR.nearest_rows(data, "movieId", "userId", "rating", 500).collect()}
+    # Eight blocks at least, of which a history spans one or two.
+    assert sides[0].count() <= 3 * 80
+    held = [(u, i, x) for u, i, x in rows if u is not None and i is not None]
+    size = {i: np.sqrt(sum(x * x for _, j, x in rows if j == i)) for _, i, _ in held}
+    want = {}
+    for u, i, x in held:
+        for v, j, y in held:
+            if u == v and i != j:
+                want[i, j] = want.get((i, j), 0.0) + x / size[i] * y / size[j]
+    assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-9 for p in want)
+
+
+def test_predictions_do_not_write_the_neighbours(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(RP, "stored", lambda df, label: (written.append(label), stored(df, label))[1])
+    assert load_all()["rc04_item_knn_predictions"](spark, "/root/testdata/sf0.001").count() > 0
+    assert "item-neighbours" not in written
