@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.functions.ladders import ordered_numbers
 from tablewright.functions.scalars import nine_digits, ratio
 from tablewright.operators.columns import exploded_genres, normalised_tag
+from tablewright.operators.products import hashed
+from tablewright.session import pieces
 from tablewright.sources.tables import stored
 
+#: Postings and query tokens of one cell of a search, and how many scores and products are held at a time.
+BLOCK_POSTINGS, BLOCK_TOKENS, HELD_SCORES = 1 << 20, 1 << 16, 1 << 21
+
 
 def clean_tags(tags: DataFrame, lemmas: dict[str, str] | None = None) -> DataFrame:
     """Normalised tags, empties dropped, one row per user, item and tag.
@@ -101,67 +110,78 @@ def token_weights(documents: DataFrame, doc_id: str, text: str = "text") -> tupl
     return doc_tokens.join(idf, "token").select(doc_id, "token", (F.col("tf") * F.col("idf")).alias("_w")), idf
 
 
-def impact_index(weights: DataFrame, doc_id: str, asked: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """`(postings, blocks)` of an inverted index whose blocks are ordered by impact; only tokens in `asked` if that is given.
-
-    The impact of a token in a document is its weight over the length of the document's vector.
-    Postings of a token with like impacts form a block, two to a factor of two, so no posting list
-    is ever sorted as a whole; `blocks` has the highest impact and the size of each.
-    """
+def impacts(weights: DataFrame, doc_id: str, asked: DataFrame) -> DataFrame:
+    """`(doc_id, token, impact)` of the tokens in `asked`: the weight of a token over the length of the document's vector."""
     norms = weights.groupBy(doc_id).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_dn"))
-    wanted = weights if asked is None else weights.join(asked, "token", "left_semi")
-    impact = wanted.join(norms, doc_id).select(doc_id, "token", ratio("_w", "_dn").alias("impact"))
-    postings = stored(impact.withColumn("level", F.floor(F.log2("impact") * 2).cast("int")), "postings")
-    blocks = postings.groupBy("token", "level").agg(F.max("impact").alias("most"), F.count(F.lit(1)).alias("n"))
-    return postings, blocks
-
-
-def _exact(pairs: DataFrame, q: DataFrame, postings: DataFrame, query_id: str, doc_id: str) -> DataFrame:
-    """Cosine of given (query, document) pairs, over all tokens they share."""
-    wanted = pairs.join(q.select(query_id, "token", "qw"), query_id)
-    return wanted.join(postings.select(doc_id, "token", "impact"), [doc_id, "token"]).groupBy(query_id, doc_id).agg(
-        F.sum(F.col("qw") * F.col("impact")).alias("score")
-    )
+    wanted = weights.join(asked, "token", "left_semi")
+    return wanted.join(norms, doc_id).select(doc_id, "token", ratio("_w", "_dn").alias("impact"))
+
+
+def _cell_scores(postings: pa.Table, asked: pa.Table, k: int) -> pa.Table:
+    """The k best documents of every query in a cell that holds its documents and queries whole."""
+    out = pa.schema([("q", asked.schema.field("q").type), ("d", postings.schema.field("d").type), ("score", pa.float64())])
+    if not postings.num_rows or not asked.num_rows:
+        return out.empty_table()
+    words, queries = pc.unique(asked["token"]), pc.unique(asked["q"])
+    docs = pc.unique(postings["d"])
+    docs = docs.take(pc.sort_indices(docs))
+    word, q = (pc.index_in(asked[c], v).to_numpy() for c, v in (("token", words), ("q", queries)))
+    at, d = (pc.index_in(postings[c], v).to_numpy(zero_copy_only=False) for c, v in (("token", words), ("d", docs)))
+    order = np.argsort(word, kind="stable")
+    word, q, qw = word[order], q[order], asked["qw"].to_numpy()[order]
+    order = np.argsort(d, kind="stable")
+    order = order[~np.isnan(at[order])]
+    at, d, impact = at[order].astype(np.int64), d[order].astype(np.int64), postings["impact"].to_numpy()[order]
+    begin, reps = np.searchsorted(word, at), np.searchsorted(word, at, "right") - np.searchsorted(word, at)
+    done = np.r_[0, np.cumsum(reps)]
+    best_q, best_d, best_s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    width = max(1, HELD_SCORES // len(queries))
+    for first in range(0, len(docs), width):
+        # The scores of some documents for all queries of the cell.
+        n = min(width, len(docs) - first)
+        score = np.zeros(len(queries) * n)
+        low, end = np.searchsorted(d, (first, first + n))
+        while low < end:
+            high = min(end, max(low + 1, int(np.searchsorted(done, done[low] + HELD_SCORES, "right")) - 1))
+            r = reps[low:high]
+            l = np.repeat(np.arange(low, high), r)
+            a = np.arange(len(l)) - np.repeat(np.cumsum(r) - r, r) + np.repeat(begin[low:high], r)
+            score += np.bincount(q[a] * n + d[l] - first, qw[a] * impact[l], len(score))
+            low = high
+        held = np.flatnonzero(score)
+        all_q, all_d = np.r_[best_q, held // n], np.r_[best_d, held % n + first]
+        all_s = np.r_[best_s, score[held]]
+        order = np.lexsort((all_d, -np.floor(all_s * 1e9 + 0.5), all_q))
+        keep = order[np.arange(len(order)) - np.searchsorted(all_q[order], all_q[order]) < k]
+        best_q, best_d, best_s = all_q[keep], all_d[keep], all_s[keep]
+    return pa.table([queries.take(pa.array(best_q)), docs.take(pa.array(best_d)), pa.array(best_s)], schema=out)
 
 
 def search(queries: DataFrame, documents: DataFrame, k: int, query_id: str, doc_id: str, first_docs: int = 20) -> DataFrame:
     """TF-IDF cosine of every query with every document sharing a token, best k per query, exact.
 
-    For each query the blocks of highest bound are opened until they hold `first_docs` x k postings;
-    the k-th best score among their documents is a score that the answer reaches. Tokens whose bounds
-    together stay under it cannot bring in a document, which is where stop words are, and of the
-    others only blocks are opened with which that score can still be reached. A document goes on if
-    its sum over open blocks and the most that closed ones can add reach that score; it is then scored exactly.
+    Documents and queries are cut into blocks; a cell gets the postings of its documents whose token is
+    asked and the tokens of its queries, so a score arises in one cell and only the k best of a query
+    leave it. Products are never shuffled, and a posting is once per block of queries. A block has at
+    least `first_docs` x k documents on average, if there are that many.
     """
     weights, idf = token_weights(documents, doc_id)
     weighted = tokens(queries, query_id).join(idf, "token").select(query_id, "token", (F.col("tf") * F.col("idf")).alias("_w"))
     q_norms = weighted.groupBy(query_id).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_qn"))
     q = stored(weighted.join(q_norms, query_id).select(query_id, "token", ratio("_w", "_qn").alias("qw")), "query-tokens")
-    postings, blocks = impact_index(weights, doc_id, q.select("token").distinct())
-    # One row per query and block: the most that a document of the block gets from that token.
-    bound = stored(q.join(blocks, "token").select(query_id, "token", "level", "n", (F.col("qw") * F.col("most")).alias("most")), "bounds")
-    order = Window.partitionBy(query_id).orderBy(F.desc("most"), "token", "level").rowsBetween(Window.unboundedPreceding, -1)
-    opened = bound.withColumn("_upto", F.coalesce(F.sum("n").over(order), F.lit(0))).where(F.col("_upto") < first_docs * k)
-    first = opened.select(query_id, "token", "level").join(postings, ["token", "level"]).select(query_id, doc_id).distinct()
-    best = Window.partitionBy(query_id).orderBy(F.desc("score"))
-    ranked = _exact(first, q, postings, query_id, doc_id).withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k)
-    # Scores count in billionths, so a bound must be lower by more than that.
-    reached = ranked.groupBy(query_id).agg(F.when(F.count(F.lit(1)) >= k, F.min("score") - 2e-9).alias("_least"))
-    reached = stored(reached, "reached")
-    per_token = bound.groupBy(query_id, "token").agg(F.max("most").alias("_token"))
-    rising = Window.partitionBy(query_id).orderBy("_token", "token").rowsBetween(Window.unboundedPreceding, 0)
-    sums = per_token.withColumns({"_lower": F.sum("_token").over(rising), "_all": F.sum("_token").over(Window.partitionBy(query_id))})
-    judged = bound.join(sums, [query_id, "token"]).join(reached, query_id, "left")
-    needed = F.col("_lower") >= F.col("_least")
-    reach = F.col("most") + F.col("_all") - F.col("_token") >= F.col("_least")
-    judged = stored(judged.select(query_id, "token", "level", "most", (F.col("_least").isNull() | (needed & reach)).alias("open")), "judged")
-    # What closed blocks can still add to a document: at most the highest of each token.
-    closed = judged.where("not open").groupBy(query_id, "token").agg(F.max("most").alias("most")).groupBy(query_id).agg(F.sum("most").alias("_rest"))
-    parts = judged.where("open").select(query_id, "token", "level").join(postings, ["token", "level"]).join(q, [query_id, "token"])
-    parts = parts.groupBy(query_id, doc_id).agg(F.sum(F.col("qw") * F.col("impact")).alias("_part"))
-    limits = reached.join(closed, query_id, "left").select(query_id, "_least", F.coalesce("_rest", F.lit(0.0)).alias("_rest"))
-    hopeful = F.col("_least").isNull() | (F.col("_part") + F.col("_rest") >= F.col("_least"))
-    pairs = parts.join(limits, query_id, "left").where(hopeful).select(query_id, doc_id)
-    scores = _exact(pairs, q, postings, query_id, doc_id)
-    order = Window.partitionBy(query_id).orderBy(nine_digits("score").desc(), doc_id)
-    return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    postings = stored(impacts(weights, doc_id, q.select("token").distinct()), "postings")
+    n = postings.agg(F.count(F.lit(1)).alias("postings"), F.approx_count_distinct(doc_id).alias("docs")).first()
+    few = max(1, n["docs"] // (first_docs * k))
+    doc_blocks = max(min(few, pieces(documents.sparkSession)), -(-n["postings"] // BLOCK_POSTINGS))
+    query_blocks = max(1, -(-q.count() // BLOCK_TOKENS))
+
+    def blocks(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    left = postings.select(F.col(doc_id).alias("d"), "token", "impact", hashed(doc_id, doc_blocks).alias("db"), blocks(query_blocks).alias("qb"))
+    right = q.select(F.col(query_id).alias("q"), "token", "qw", hashed(query_id, query_blocks).alias("qb"), blocks(doc_blocks).alias("db"))
+    kinds = T.StructType([T.StructField("q", q.schema[query_id].dataType), T.StructField("d", postings.schema[doc_id].dataType), T.StructField("score", T.DoubleType())])
+    found = left.groupBy("db", "qb").cogroup(right.groupBy("db", "qb")).applyInArrow(lambda a, b: _cell_scores(a, b, k), kinds)
+    order = Window.partitionBy("q").orderBy(nine_digits("score").desc(), "d")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select(F.col("q").alias(query_id), F.col("d").alias(doc_id), "score", "rank")

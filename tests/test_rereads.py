@@ -9,6 +9,7 @@ from tablewright.operators import models as M
 from tablewright.operators import products as PR
 from tablewright.operators import recsys as K
 from tablewright.operators import retrieval as V
+from tablewright.operators import text as X
 from tablewright.operators import topics as TO
 from tablewright.plans import models as PM
 from tablewright.plans import recommend as RP
@@ -131,3 +132,17 @@ def test_predictions_do_not_write_the_neighbours(spark, monkeypatch):
     monkeypatch.setattr(RP, "stored", lambda df, label: (written.append(label), stored(df, label))[1])
     assert load_all()["rc04_item_knn_predictions"](spark, "/root/testdata/sf0.001").count() > 0
     assert "item-neighbours" not in written
+
+
+def test_search_sends_postings_not_pairs(spark, monkeypatch):
+    """Every query meets every document in common words; what is dealt is a posting or a query token per cell, and k per query leave it."""
+    docs = [(i, f"the of w{i % 7} w{i % 11}") for i in range(300)] + [(None, "the w1"), (300, None), (7, "the zz")]
+    asked = [(i, f"the of w{i}") for i in range(30)] + [(None, "the")]
+    documents, queries = spark.createDataFrame(docs, "d long, text string"), spark.createDataFrame(asked, "q long, text string")
+    dealt, kind = [], type(documents.groupBy("d"))
+    plain = kind.cogroup
+    monkeypatch.setattr(kind, "cogroup", lambda a, b: (dealt.append((a._df, b._df)), plain(a, b))[1])
+    found = X.search(queries, documents, 3, "q", "d").collect()
+    assert len(found) == 30 * 3 and all(r.q is not None and r.d is not None for r in found)
+    (left, right), = dealt
+    assert left.count() <= 4 * 302 and right.count() <= 3 * 30 * 8
