@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from tablewright.operators import aggregates as A
 from tablewright.operators import models as M
 from tablewright.operators import products as PR
 from tablewright.operators import recsys as K
@@ -16,6 +17,8 @@ from tablewright.plans import recommend as RP
 from tablewright.plans.registry import load_all
 from tablewright.sources.tables import stored
 
+VECTORS, FITTED = M.vectors, M.fitted
+
 
 def test_interactions_read_the_ratings_once(spark):
     rows = [(u, u * m % 7, float(m), m) for u in range(1, 9) for m in range(5)]
@@ -146,3 +149,43 @@ def test_search_sends_postings_not_pairs(spark, monkeypatch):
     assert len(found) == 30 * 3 and all(r.q is not None and r.d is not None for r in found)
     (left, right), = dealt
     assert left.count() <= 4 * 302 and right.count() <= 3 * 30 * 8
+
+
+def test_customer_points_hold_only_the_measures(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(PM, "stored", lambda df, label: (kept.update({label: df.columns}), stored(df, label))[1])
+    assert load_all()["ag12_cluster_profile"](spark, "/root/testdata/sf0.001").count() == 4
+    assert kept["rfm"] == ["recency", "frequency", "monetary"]
+    rows = [(1, "2020-01-05", 2.0, 5.0), (1, "2020-01-02", 1.0, 4.0), (2, "2020-01-01", 1.0, 1.0), (None, "2020-01-09", 1.0, 1.0)]
+    sales = spark.createDataFrame(rows, "invoice_id long, d string, quantity double, total double").withColumn("ts", F.to_timestamp("d"))
+    got = {tuple(r) for r in A.rfm_measures(sales).select("invoice_id", "recency", "frequency", "monetary").collect()}
+    assert got == {(1, 5, 3.0, 9.0), (2, 9, 1.0, 1.0)}
+
+
+def test_clustering_reads_parts_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(M, "PART_ROWS", 100)
+    rows = stored(spark.range(600).selectExpr("cast(id % 4 * 100 + id / 600 as double) as x").coalesce(1), "points")
+    dealt = []
+    monkeypatch.setattr(M, "vectors", lambda df, columns: (dealt.append(df.rdd.getNumPartitions()), VECTORS(df, columns))[1])
+    assert M.kmeans(rows, ["x"], 4).groupBy("cluster").count().count() == 4
+    assert M.elbow(rows, ["x"], range(2, 4)).count() == 2
+    assert M.kmeans_by_silhouette(rows, ["x"], range(3, 5))[0].count() == 600
+    assert dealt == [6, 6, 6]
+
+
+def test_random_search_fits_each_draw_once(spark, monkeypatch):
+    rows = spark.range(200).selectExpr("cast(id as double) as x", "cast(id % 7 as double) as y", "'unused' as name")
+    gbt, fits, fit = M.boosted("y", 2, 2), [], type(M.boosted("y")).fit
+    monkeypatch.setattr(type(gbt), "fit", lambda self, df, draw=None: (fits.append(df.columns), fit(self, df, draw))[1])
+    found = M.random_search(gbt, {gbt.maxDepth: (2, 4), gbt.stepSize: (0.05, 0.3)}, 3, M.vectors(rows, ["x"]), "y").collect()
+    assert fits == [["features", "y"]] * 3 and len({r.setting for r in found}) == 3 and all(r.mae > 0 for r in found)
+
+
+def test_boosted_links_and_cleaned_rows_hold_only_what_is_read(spark, monkeypatch):
+    fitted, kept = [], {}
+    monkeypatch.setattr(M, "fitted", lambda e, df: (fitted.append(df.columns), FITTED(e, df))[1])
+    monkeypatch.setattr(PM, "stored", lambda df, label: (kept.update({label: df.columns}), stored(df, label))[1])
+    assert load_all()["ml08_boosted"](spark, "/root/testdata/sf0.001").count() == 1
+    assert fitted == [["features", "q_factor", "is_val"]]
+    assert load_all()["mv08_cleaning_strategies"](spark, "/root/testdata/sf0.001").count() == 3
+    assert all(len(kept[f"clean-{n}"]) == 6 for n in ("drop", "policy", "blind"))
