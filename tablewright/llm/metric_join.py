@@ -6,13 +6,15 @@ miss u's cell q if d(v, q) > d(v, h) + 2r (triangle inequality), or if v lies fu
 beyond the plane between h and q; all others are copied to q. So each vector meets all its
 neighbours in its own home cell, cells are joined by themselves, and links are counted once per end.
 
-Equal vectors are one vector with a number of copies from the start. Cells of any size are cut
-into parts; a pair of parts is the unit of work.
+Equal vectors are one vector with a number of copies from the start. The home vectors of a cell and
+all its members are cut into parts; a pair of parts is the unit of work. Copies are kept as names, and
+vectors go to the pairs in rounds whose shuffle files are freed, so disk does not grow with the pairs.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -24,7 +26,10 @@ from tablewright.llm.vectors import matrix, usable
 from tablewright.sources.tables import stored
 
 #: Vectors that one pivot stands for, the most pivots of a label, and vectors of one part of a cell.
-PER_PIVOT, MOST_PIVOTS, PART = 1024, 256, 2048
+#: Where vectors have no structure nearly every cell gets a copy, so cells are as large as one task compares at ease.
+PER_PIVOT, MOST_PIVOTS, PART = 8192, 256, 1 << 14
+#: Cosines held at a time, and bytes of vectors that one round of pairs of parts shuffles, about.
+HELD_COSINES, ROUND_BYTES = 1 << 22, 1 << 30
 _KEYS = ["label", "size", "cell", "i", "j"]
 
 
@@ -66,25 +71,26 @@ def _join(rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
         own, members = group[group.as_home], group[group.as_member]
         if own.empty or members.empty:
             continue
-        linked = _unit(own.vector) @ _unit(members.vector).T >= cosine
-        a, b = own.node.to_numpy(), members.node.to_numpy()
-        linked &= a[:, None] != b[None, :]
-        i, j = np.nonzero(linked)
-        if not len(i):
-            continue
-        names = np.unique(np.concatenate([a[i], b[j]]))
-        left, right = np.searchsorted(names, a[i]), np.searchsorted(names, b[j])
-        root = np.arange(len(names))
-        while True:
-            least = root.copy()
-            np.minimum.at(least, left, root[right])
-            np.minimum.at(least, right, root[left])
-            least = least[least]
-            if (least == root).all():
-                break
-            root = least
-        count = np.bincount(left, members.copies.to_numpy()[j], len(names)).astype("i8")
-        out.extend(zip(names, count, names[root], strict=True))
+        a, b, copies = _unit(own.vector), _unit(members.vector).T, members.copies.to_numpy()
+        names = np.unique(group.node.to_numpy())
+        left, right = np.searchsorted(names, own.node.to_numpy()), np.searchsorted(names, members.node.to_numpy())
+        root, count, linked = np.arange(len(names)), np.zeros(len(names)), np.zeros(len(names), bool)
+        step = max(1, HELD_COSINES // len(members))
+        for low in range(0, len(own), step):  # a few home vectors at a time against all members
+            i, j = np.nonzero(a[low:low + step] @ b >= cosine)
+            x, y = left[low + i], right[j]
+            other = x != y
+            x, y = x[other], y[other]
+            count += np.bincount(x, copies[j[other]], len(names))
+            linked[x] = linked[y] = True
+            while (root[x] != root[y]).any():
+                least, to = np.minimum(root[x], root[y]), np.arange(len(names))
+                np.minimum.at(to, root[x], least)
+                np.minimum.at(to, root[y], least)
+                while (to[to] != to).any():
+                    to = to[to]
+                root = to[root]
+        out.extend(zip(names[linked], count[linked].astype("i8"), names[root[linked]], strict=True))
     return pd.DataFrame(out, columns=["node", "links", "root"]).astype({"links": "int64"})
 
 
@@ -122,30 +128,44 @@ def near_vectors(
     dealt = distinct.join(per_label, group).withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int"))
     known = pivots.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
     keys = [*group, "chunk"]
-    shape = with_fields(distinct.select(*group, "node", "copies", "vector").schema, "cell int, home boolean")
+    shape = with_fields(distinct.select(*group, "node").schema, "cell int, home boolean")
     names = shape.names
     members = stored(
-        dealt.select(*keys, "node", "copies", "vector").groupBy(*keys).cogroup(known.select(*[F.col(c).alias(c) for c in (*keys, "place", "vector")]).groupBy(*keys))
+        dealt.select(*keys, "node", "vector").groupBy(*keys).cogroup(known.select(*[F.col(c).alias(c) for c in (*keys, "place", "vector")]).groupBy(*keys))
         .applyInPandas(lambda v, p: _spread(v, p, radius)[names], shape), "members"
     )
     cell = [*group, "cell"]
-    parts = members.groupBy(*cell).agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
-    placed = members.join(parts, cell).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    number = F.sequence(F.lit(0), F.col("parts") - 1)
+    def parts(n):
+        return F.greatest(F.lit(1), F.ceil(n / PART)).cast("int")
+
+    sizes = members.groupBy(*cell).agg(F.count_if("home").alias("_own"), F.count("*").alias("_n"))
+    sizes = sizes.select(*cell, "_own", "_n", parts(F.col("_own")).alias("homes"), parts(F.col("_n")).alias("parts"))
+    copied = F.col("_own") * F.col("parts") + F.col("_n") * F.col("homes")
+    total = sizes.agg(F.coalesce(F.sum(copied), F.lit(0)).alias("rows"), F.coalesce(F.sum(copied * (F.col("size") * 4 + 64)), F.lit(0)).alias("bytes")).first()
+    rounds = max(1, math.ceil(total["bytes"] / ROUND_BYTES))
+    placed = members.join(sizes.drop("_own", "_n"), cell)
+
+    def part(n: str):
+        return F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
 
     def pair(i, j, as_home, as_member):
         return F.struct(i.alias("i"), j.alias("j"), as_home.alias("as_home"), as_member.alias("as_member"))
 
-    part = F.col("part")
-    at_home = F.transform(number, lambda j: pair(part, j, F.col("home"), j == part))
-    as_member = F.transform(number, lambda i: pair(i, part, F.lit(False), i != part))
-    pairs = F.filter(F.concat(at_home, as_member), lambda x: x["as_home"] | x["as_member"])
-    blocks = max(partitions(spark), math.ceil(members.count() / (8 * PART)))
-    work = placed.withColumn("_p", F.explode(pairs)).select(*cell, "_p.*", "node", "copies", "vector")
-    work = work.withColumn("block", F.pmod(F.xxhash64(*_KEYS), F.lit(blocks)).cast("int"))
-    linked = stored(
-        work.groupBy("block").applyInPandas(lambda r: _join(r, cosine), "node binary, links long, root binary"), "links"
+    at_home = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: pair(part("homes"), j, F.col("home"), j == part("parts")))
+    as_member = F.transform(
+        F.sequence(F.lit(0), F.col("homes") - 1), lambda i: pair(i, part("parts"), F.lit(False), ~F.col("home") | (i != part("homes")))
     )
+    pairs = F.filter(F.concat(F.when(F.col("home"), at_home).otherwise(F.array().cast("array<struct<i:int,j:int,as_home:boolean,as_member:boolean>>")), as_member), lambda x: x["as_home"] | x["as_member"])
+    blocks = max(partitions(spark), math.ceil(total["rows"] / rounds / (4 * PART)))
+    work = placed.withColumn("_p", F.explode(pairs)).select(*cell, "_p.*", "node")
+    unit = F.xxhash64(*_KEYS)
+    work = work.withColumn("block", F.pmod(unit, F.lit(blocks)).cast("int"))
+    found = []
+    for r in range(rounds):
+        now = work.where(F.pmod(F.xxhash64(unit, F.lit(5)), F.lit(rounds)) == r) if rounds > 1 else work
+        now = now.join(distinct.select("node", "copies", "vector"), "node")
+        found.append(stored(now.groupBy("block").applyInPandas(lambda r: _join(r, cosine), "node binary, links long, root binary"), "links"))
+    linked = reduce(DataFrame.unionByName, found)
     hang = connected(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
     counts = linked.groupBy("node").agg(F.sum("links").alias("links"))
     classes = distinct.select("node", "rep", "copies").join(hang, "node", "left").join(counts, "node", "left")

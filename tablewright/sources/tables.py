@@ -10,6 +10,9 @@ from tablewright.session import scratch_path
 from tablewright.sources.audit import audited_types, read_declared
 from tablewright.sources.schemas import BUILDING_TEXT, FILM_LINKS, GENOME_SCORES, GENOME_TAGS, RATINGS, TAGS
 
+#: Spark's setting by which an execution ends with its shuffle files deleted.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> DataFrame:
     """CSV with a header and a declared schema; nothing is scanned before the query runs.
@@ -80,10 +83,26 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """The frame written to the shared folder and read back.
 
     For results that several steps use: lineage ends at the table, counts come from its footers,
-    and a lost executor costs a re-read, not a recomputation.
+    and a lost executor costs a re-read, not a recomputation. The shuffle files of the write go with
+    it: nothing reads them again, and the driver collects its garbage too seldom to free them.
     """
-    path = save_parquet(df, scratch_path(df.sparkSession, label))
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = scratch_path(spark, label), spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        save_parquet(df, path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_path = path
+    return table
+
+
+def dropped(table: DataFrame) -> None:
+    """Deletes a table made by `stored` that no later step reads, itself or by what was made of it lazily."""
+    jvm, conf = table.sparkSession._jvm, table.sparkSession._jsparkSession.sessionState().newHadoopConf()
+    path = jvm.org.apache.hadoop.fs.Path(table.stored_path)
+    path.getFileSystem(conf).delete(path, True)
 
 
 def save_csv(df: DataFrame, path: str, sep: str = ",") -> str:

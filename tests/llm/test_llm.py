@@ -393,3 +393,20 @@ def test_pipeline_stages(spark, tmp_path):
             assert docs.where("n_chars <> length(text)").isEmpty()
     assert docs.where("n_tokens <> size(ids)").isEmpty() and docs.count() == before.count()
     assert sorted(r.text for r in docs.collect()) == sorted(r.text for r in before.collect())
+
+
+def test_near_vectors_in_rounds_and_parts(spark, monkeypatch):
+    """Home vectors and members are cut apart, and rounds of pairs of parts together give the same rows."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(6, 8))
+    rows = [(i, (centres[i % 6] + rng.normal(size=8) * 0.12).tolist(), i % 2) for i in range(240)]
+    df = spark.createDataFrame([*rows, *[(300 + i, r[1], r[2]) for i, r in enumerate(rows[:9])]], "vec_id long, embedding array<float>, label int")
+    whole = sorted(map(tuple, metric_join.near_vectors(df).collect()))
+    written = []
+    monkeypatch.setattr(metric_join, "stored", lambda frame, label, put=metric_join.stored: written.append((label, frame.columns)) or put(frame, label))
+    for name, value in (("PART", 24), ("PER_PIVOT", 40), ("ROUND_BYTES", 80000), ("HELD_COSINES", 50)):
+        monkeypatch.setattr(metric_join, name, value)
+    assert sorted(map(tuple, metric_join.near_vectors(df).collect())) == whole
+    # Copies are written as names only.
+    assert all("vector" not in columns for label, columns in written if label == "members")
+    assert sum(label == "links" for label, _ in written) > 1
